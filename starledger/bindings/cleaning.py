@@ -326,7 +326,7 @@ def derive_expr(spark, sf_dir):
         "l_orderkey", "l_linenumber", "l_quantity", F.col("l_partkey").alias("p_partkey")
     )
     prices = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
-    sales = revenue(F.col("p_retailprice"), F.col("l_quantity")).cast("double")
+    sales = revenue(F.col("p_retailprice"), F.col("l_quantity").cast("smallint")).cast("double")
     return attach(items, prices, "p_partkey", "inner").select(
         "l_orderkey", "l_linenumber", sales.alias("sales")
     )

@@ -261,7 +261,7 @@ def count_star(spark, sf_dir):
     SELECT l_returnflag, CAST(sum(CAST(l_extendedprice AS DECIMAL(12, 2)) * CAST(l_quantity AS BIGINT))
         AS DOUBLE) AS amount FROM lineitem GROUP BY l_returnflag""")
 def sum_expression(spark, sf_dir):
-    amount = F.sum(revenue(F.col("l_extendedprice"), F.col("l_quantity")))
+    amount = F.sum(revenue(F.col("l_extendedprice"), F.col("l_quantity").cast("smallint")))
     return table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(
         amount.cast("double").alias("amount")
     )

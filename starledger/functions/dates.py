@@ -4,47 +4,54 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# The recognised layouts, tried in this order.
-ISO_START = r"^\d{4}-\d{2}-\d{2}"
-ISO_WHOLE = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)?$"
-SLASHED_START = r"^\d{4}/\d{1,2}/\d{1,2}"
-YEAR_MONTH_DAY_START = r"^\d{4} [a-zA-Z]{3,} \d{2}"
-LENIENT_LAYOUTS = [
-    "MMMM yyyy d",
-    "MMM yyyy d",
-    "yyyy MMMM d",
-    "yyyy MMM d",
-    "d MMMM yyyy",
-    "d MMM yyyy",
-    "MMMM d yyyy",
-    "MMM d yyyy",
-    "MMMM d, yyyy",
-    "MMM d, yyyy",
-    "M/d/yyyy",
-    "d/M/yyyy",
-    "M-d-yyyy",
-    "d-M-yyyy",
-    "yyyyMMdd",
+# The recognised layouts. A text that fits one is rewritten as year-month-day,
+# in this order. Year first with a two-digit day takes full month names only. Numeric dates
+# are month first unless only day first fits.
+ISO = r"^\d{4}-\d{2}-\d{2}$"
+NUMERIC_REWRITES = [
+    (r"^(\d{4})-(\d{2})-(\d{2})[ T]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?$", "$1-$2-$3"),
+    (r"^(\d{4})/(\d{1,2})/(\d{1,2})$", "$1-$2-$3"),
+    (r"^(1[3-9]|2\d|3[01])[/-](\d{1,2})[/-](\d{4})$", "$3-$2-$1"),
+    (r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})$", "$3-$1-$2"),
+    (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
 ]
+NAMED_REWRITES = [
+    (r"^(\d{4}) ([a-z]{4,}|may) (\d{2})$", "$1-$2-$3"),
+    (r"^(\d{4}) ([a-z]{3,}) (\d)$", "$1-$2-$3"),
+    (r"^([a-z]{3,}) (\d{4}) (\d{1,2})$", "$2-$1-$3"),
+    (r"^(\d{1,2}) ([a-z]{3,}) (\d{4})$", "$3-$2-$1"),
+    (r"^([a-z]{3,}) (\d{1,2}),? (\d{4})$", "$3-$1-$2"),
+    (
+        "-(?:(jan)uary|(feb)ruary|(mar)ch|(apr)il|(jun)e|(jul)y|(aug)ust|(sep)tember"
+        "|(oct)ober|(nov)ember|(dec)ember)-",
+        "-$1$2$3$4$5$6$7$8$9$10$11-",
+    ),
+]
+
+
+def _rewritten(text: Column, rewrites: list[tuple[str, str]], result: str) -> Column:
+    """Text after all rewrites, or NULL unless it ends up as ``result``."""
+    for shape, parts in rewrites:
+        text = F.regexp_replace(text, shape, parts)
+    return F.get(F.regexp_extract_all(text, F.lit(result), F.lit(0)), F.lit(0))
 
 
 def clean_dates(text: Column) -> Column:
     """Date of a mixed-format text; 'NULL', NULL and unreadable text give NULL.
 
-    The first layout whose start matches decides. Text that starts like a layout but
-    does not complete it is a reject (NULL), not a candidate for the lenient ones.
-    Numeric dates with slashes are month first, unless only day first is a date.
+    Only texts of a known shape reach a date parser, so junk costs no parse attempt. A
+    text of a known shape that is no date ('2001-13-45') is a reject like any other. Each
+    step names its input once, which keeps the generated code of a stage small.
     """
-    named = F.initcap(F.lower(text))
+    named = _rewritten(F.lower(text), NAMED_REWRITES, r"^\d{4}-[a-z]{3}-\d{1,2}$")
+    numeric = _rewritten(text, NUMERIC_REWRITES, r"^\d{4}-\d{1,2}-\d{1,2}$")
     return (
-        F.when(text == "NULL", F.lit(None).cast("date"))
+        F.when(text.rlike(ISO), F.try_to_date(text, "yyyy-MM-dd"))
         .when(
-            text.rlike(ISO_START),
-            F.when(text.rlike(ISO_WHOLE), F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd")),
+            text.rlike("[a-zA-Z]{3}"),
+            F.try_to_date(F.initcap(F.replace(named, F.lit("-"), F.lit(" "))), "yyyy MMM d"),
         )
-        .when(text.rlike(SLASHED_START), F.try_to_date(text, "yyyy/M/d"))
-        .when(text.rlike(YEAR_MONTH_DAY_START), F.try_to_date(named, "yyyy MMMM dd"))
-        .otherwise(F.coalesce(*[F.try_to_date(named, layout) for layout in LENIENT_LAYOUTS]))
+        .otherwise(F.try_to_date(numeric, "yyyy-M-d"))
     )
 
 

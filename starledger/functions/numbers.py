@@ -10,8 +10,8 @@ NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 def try_double(text: Column) -> Column:
     """Number or NULL, never an error."""
-    text = text.cast("string")
-    return F.when(text.rlike(NUMBER_PATTERN), F.trim(text).try_cast("double"))
+    literal = F.regexp_extract_all(text.cast("string"), F.lit(NUMBER_PATTERN), F.lit(0))
+    return F.get(literal, F.lit(0)).try_cast("double")
 
 
 def strip_symbol(text: Column, symbol: str = "£") -> Column:
@@ -20,8 +20,11 @@ def strip_symbol(text: Column, symbol: str = "£") -> Column:
 
 
 def revenue(price: Column, units: Column) -> Column:
-    """Exact money: two-decimal price times a whole number of units."""
-    return price.cast("decimal(12,2)") * units.cast("decimal(19,0)")
+    """Exact money: two-decimal price times a whole number.
+
+    With a SMALLINT quantity the product still fits the fast 18-digit decimals.
+    """
+    return price.cast("decimal(12,2)") * units
 
 
 def money(amount: Column) -> Column:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
-from starledger.operators.skew import attach
+from starledger.operators.skew import attach, salted_join
 
 
 def key_lookup(dim: DataFrame, natural: str, surrogate: str) -> DataFrame:
@@ -80,23 +82,24 @@ def fill_unknown_keys(fact: DataFrame, keys: list[str]) -> DataFrame:
 def merge_frames(how: str, first: DataFrame, second: DataFrame) -> DataFrame:
     """Join on all common columns; missing values match each other.
 
-    ``how`` is left, right, inner or outer. The keys come first-frame first, as do the rest.
+    ``how`` is left, right, inner or outer. Columns of the first frame come first. A right
+    join is a left join with the sides exchanged, an outer one adds the unmatched rows of
+    the second frame; so every form splits the heavy keys of the side it keeps.
     """
-    if how not in ("left", "right", "inner", "outer"):
-        raise ValueError(f"merge_frames does not do {how!r}")
     common = [c for c in first.columns if c in second.columns]
     if not common:
         raise ValueError("no common columns to merge on")
-    a, b = first.alias("a"), second.alias("b")
-    same = F.lit(True)
-    for c in common:
-        same = same & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
-    key = {
-        "left": lambda c: F.col(f"a.{c}"),
-        "inner": lambda c: F.col(f"a.{c}"),
-        "right": lambda c: F.col(f"b.{c}"),
-        "outer": lambda c: F.coalesce(F.col(f"a.{c}"), F.col(f"b.{c}")),
-    }[how]
-    columns = [key(c).alias(c) if c in common else F.col(f"a.{c}") for c in first.columns]
-    columns += [F.col(f"b.{c}") for c in second.columns if c not in common]
-    return a.join(b, same, "full" if how == "outer" else how).select(*columns)
+    order = [*first.columns, *[c for c in second.columns if c not in common]]
+    if how in ("left", "inner"):
+        return salted_join(first, second, common, how, null_safe=True).select(*order)
+    if how == "right":
+        return salted_join(second, first, common, "left", null_safe=True).select(*order)
+    if how == "outer":
+        matched = salted_join(first, second, common, "left", null_safe=True).select(*order)
+        known = first.select(*[F.col(c).alias(f"_first_{c}") for c in common]).distinct()
+        same = reduce(
+            lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_first_{c}")) for c in common]
+        )
+        unmatched = second.join(known, same, "left_anti")
+        return matched.unionByName(unmatched, allowMissingColumns=True)
+    raise ValueError(f"merge_frames does not do {how!r}")

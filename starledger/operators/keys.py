@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from starledger.session import checkpointed
+from starledger.session import materialised
 
 # monotonically_increasing_id keeps the partition number above this many row bits.
 _ROW_BITS = 33
@@ -16,18 +16,19 @@ def number_rows(df: DataFrame, order_by: Sequence[str], key: str) -> DataFrame:
     """``key`` = 1..n along ``order_by``, without bringing the rows into one task.
 
     One range shuffle sorts the rows; the per-partition counts are the only global state
-    (one row per partition). The sorted rows are checkpointed because the count and the
+    (one row per partition). The sorted rows are written out because the count and the
     numbering must see the same partitions, also after a lost executor. Rows that tie on
     ``order_by`` are told apart by a hash, which also spreads a large group of ties.
     """
     tie = F.xxhash64(F.spark_partition_id(), *df.columns)
     ordered = [*order_by, "_tie"]
-    placed = checkpointed(
+    placed = materialised(
         df.withColumn("_tie", tie)
         .repartitionByRange(*ordered)
         .sortWithinPartitions(*ordered)
         .drop("_tie")
-        .withColumn("_at", F.monotonically_increasing_id())
+        .withColumn("_at", F.monotonically_increasing_id()),
+        "numbered",
     )
     part = F.shiftright("_at", _ROW_BITS)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -1,13 +1,18 @@
 """Joins that hold up when one key owns a large part of the rows.
 
-``attach`` is the join every plan uses. The small side is broadcast only after its
-rows and bytes were checked; beyond the bound the join shuffles, and keys that are
-heavy on the big side are spread over several salts.
+``attach`` is the join every plan uses. A side is broadcast only when its size is known to
+be small; beyond the bound the join shuffles, and keys that are heavy on the big side are
+spread over several salts. Milder skew is left to the adaptive skew join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from starledger.functions.numbers import revenue
 
 BROADCAST_MAX_ROWS = 200_000
 BROADCAST_MAX_BYTES = 32 * 1024 * 1024
@@ -15,17 +20,17 @@ HEAVY_SHARE = 0.002
 SALTS = 64
 
 
-def fits_broadcast(
+def measured_small(
     df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
 ) -> bool:
-    """True when ``df`` is proven to stay within the broadcast bounds.
+    """True when ``df`` was counted and weighed, and stays within the broadcast bounds.
 
     Looks at no more than ``max_rows + 1`` rows, so the check itself stays small.
     """
-    texts = [F.octet_length(F.col(n)) for n, t in df.dtypes if t == "string"]
     width = F.lit(16 * len(df.columns))
-    for text in texts:
-        width = width + F.coalesce(text, F.lit(0))
+    for name, kind in df.dtypes:
+        if kind == "string":
+            width = width + F.coalesce(F.octet_length(F.col(name)), F.lit(0))
     seen = df.limit(max_rows + 1).agg(
         F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
     )
@@ -33,56 +38,71 @@ def fits_broadcast(
     return measured["rows"] <= max_rows and measured["bytes"] <= max_bytes
 
 
-def heavy_keys(df: DataFrame, key: str, share: float = HEAVY_SHARE) -> DataFrame:
-    """Keys that may own more than ``share`` of the rows: at most ``1 / share`` of them.
+def heavy_hashes(df: DataFrame, keys: Sequence[str], share: float = HEAVY_SHARE) -> DataFrame:
+    """Hashes of keys that may own more than ``share`` of the rows: at most ``1 / share``.
 
-    Frequent-item counting needs one pass and a bounded buffer per task. It can name a
-    key that is not heavy, never miss one that is; either way the join stays exact.
+    Frequent-item counting needs one pass over the key columns and a bounded buffer per
+    task. It can name a key that is not heavy, never miss one that is; the join is exact
+    either way.
     """
-    counted = df.where(F.col(key).isNotNull()).stat.freqItems([key], share)
-    return counted.select(F.explode(F.col(counted.columns[0])).alias("_heavy"))
+    hashes = df.select(F.xxhash64(*keys).alias("_hash"))
+    return hashes.stat.freqItems(["_hash"], share).select(
+        F.explode("_hash_freqItems").alias("_heavy")
+    )
 
 
 def salted_join(
     left: DataFrame,
     right: DataFrame,
-    key: str,
+    keys: str | Sequence[str],
     how: str = "left",
     profile: DataFrame | None = None,
     salts: int = SALTS,
+    null_safe: bool = False,
 ) -> DataFrame:
-    """Equi-join on ``key`` with the heavy keys of the left side split over ``salts`` tasks.
-
-    ``profile`` is the frame whose key column is counted, by default the left side
-    itself; handing in the base table avoids computing a derived left side twice.
-    The right rows of heavy keys, and only those, are repeated once per salt. Rows with a
-    NULL key match nothing and are spread too. The salt depends on the row and on the
-    partition that holds it, so a retried task gives the same salt and copies of one
-    row in different partitions still part.
+    """Equi-join with the heavy keys of the left side split over ``salts`` tasks.
+
+    ``profile`` is the frame whose keys are counted, by default the left side itself;
+    handing in the base table avoids computing a derived left side twice. The right rows
+    of heavy keys, and only those, are repeated once per salt. Left rows with a NULL key,
+    which match nothing unless ``null_safe``, are spread too. The salt depends on the row
+    and on the partition that holds it: a retried task gives the same salt, and copies of
+    one row in different partitions still part. Result columns are the left ones, then
+    the right ones without the keys.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"salted_join does not do {how!r}")
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    left_types, right_types = dict(left.dtypes), dict(right.dtypes)
+    for k in keys:
+        if left_types[k] != right_types[k]:
+            raise ValueError(f"{k} is {left_types[k]} on one side, {right_types[k]} on the other")
     # At most 1 / HEAVY_SHARE rows, hence the broadcast.
-    heavy = F.broadcast(heavy_keys(profile if profile is not None else left, key))
+    heavy = F.broadcast(heavy_hashes(profile if profile is not None else left, keys))
     spread = F.pmod(F.xxhash64(F.spark_partition_id(), *left.columns), F.lit(salts)).cast("int")
-    salted_left = (
-        left.join(heavy, left[key] == heavy["_heavy"], "left")
-        .withColumn(
-            "_salt",
-            F.when(F.col("_heavy").isNotNull() | F.col(key).isNull(), spread).otherwise(0),
-        )
-        .drop("_heavy")
+    loose = F.col("_heavy").isNotNull()
+    if not null_safe:
+        loose = reduce(lambda a, k: a | F.col(k).isNull(), keys, loose)
+    hashed_left = left.withColumn("_hash", F.xxhash64(*keys))
+    salted_left = hashed_left.join(heavy, F.col("_hash") == F.col("_heavy"), "left").select(
+        *left.columns, F.when(loose, spread).otherwise(0).alias("_salt")
     )
     every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    salted_right = (
-        right.join(heavy, right[key] == heavy["_heavy"], "left")
-        .withColumn(
-            "_salt",
-            F.explode(F.when(F.col("_heavy").isNotNull(), every_salt).otherwise(F.array(F.lit(0)))),
-        )
-        .drop("_heavy")
+    no_salt = F.array(F.lit(0))
+    rest = [c for c in right.columns if c not in keys]
+    hashed_right = right.withColumn("_hash", F.xxhash64(*keys))
+    salted_right = hashed_right.join(heavy, F.col("_hash") == F.col("_heavy"), "left").select(
+        *[F.col(k).alias(f"_right_{k}") for k in keys],
+        *rest,
+        F.explode(F.when(F.col("_heavy").isNotNull(), every_salt).otherwise(no_salt)).alias("_right_salt"),
     )
-    return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")
+
+    def same(k: str) -> Column:
+        a, b = F.col(k), F.col(f"_right_{k}")
+        return a.eqNullSafe(b) if null_safe else a == b
+
+    condition = reduce(lambda a, k: a & same(k), keys, F.col("_salt") == F.col("_right_salt"))
+    return salted_left.join(salted_right, condition, how).select(*left.columns, *rest)
 
 
 def attach(
@@ -98,8 +118,40 @@ def attach(
     ``reduced`` says that the left side was aggregated by this key and a few others, so
     no key owns many rows any more and a plain shuffled join is even.
     """
-    if fits_broadcast(right):
+    if measured_small(right):
         return left.join(F.broadcast(right), key, how)
     if reduced:
         return left.join(right, key, how)
     return salted_join(left, right, key, how, profile)
+
+
+def priced_totals(
+    sales: DataFrame, prices: DataFrame, key: str, groups: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Per group: ``amount``, the sum of price times quantity, and ``sales``, the row count.
+
+    With few prices they are broadcast and the rows go straight into the groups. Beyond
+    that, units are summed per product and group first: what is then shuffled by
+    product holds no more rows of one product than there are groups, however many sales
+    it has.
+    """
+    if measured_small(prices):
+        return (
+            sales.join(F.broadcast(prices), key, how)
+            .groupBy(*groups)
+            .agg(
+                F.sum(revenue(F.col("product_price"), F.col("product_quantity"))).alias("amount"),
+                F.count(F.lit(1)).alias("sales"),
+            )
+        )
+    units = sales.groupBy(key, *groups).agg(
+        F.sum("product_quantity").alias("units"), F.count(F.lit(1)).alias("sales")
+    )
+    return (
+        units.join(prices, key, how)
+        .groupBy(*groups)
+        .agg(
+            F.sum(revenue(F.col("product_price"), F.col("units"))).alias("amount"),
+            F.sum("sales").alias("sales"),
+        )
+    )

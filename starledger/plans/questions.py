@@ -1,8 +1,8 @@
 """The nine business questions.
 
-Revenue questions sum whole units per product and group before any price is joined:
-the sums stay in LONG, and a product, store or month that owns a third of the sales is
-a few rows per task before anything is shuffled by it.
+Revenue questions reduce the sales to one row per store, or per date part, before those
+are shuffled or joined further, so a store that owns a third of the sales is a few rows
+per task by then.
 """
 
 from __future__ import annotations
@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from starledger.functions.dates import sale_instant
 from starledger.functions.gaps import format_gap, mean_gap, micros
-from starledger.functions.numbers import money, percent_of_count, revenue
+from starledger.functions.numbers import money, percent_of_count
 from starledger.operators.order import gaps_by_group, top_k
-from starledger.operators.skew import attach
+from starledger.operators.skew import attach, priced_totals
 from starledger.plans.star import Star
 
 # The country codes of question 1 and the code of the web shop.
@@ -42,12 +42,9 @@ def q2_stores_by_locality(star: Star) -> DataFrame:
 def _revenue_by_date(star: Star, *parts: str) -> DataFrame:
     fact = star.orders.select("product_key", "date_key", "product_quantity")
     dated = attach(fact, star.date_times.select("date_key", *parts), "date_key", "inner", fact)
-    units = dated.groupBy("product_key", *parts).agg(F.sum("product_quantity").alias("units"))
     prices = star.product.select("product_key", "product_price")
-    return (
-        attach(units, prices, "product_key", "inner", reduced=True)
-        .groupBy(*parts)
-        .agg(money(F.sum(revenue(F.col("product_price"), F.col("units")))).alias("total_sales"))
+    return priced_totals(dated, prices, "product_key", parts).select(
+        *parts, money(F.col("amount")).alias("total_sales")
     )
 
 
@@ -81,19 +78,9 @@ def q4_online_vs_offline(star: Star) -> DataFrame:
 def q5_sales_by_store_type(star: Star) -> DataFrame:
     """Joins on natural codes and keeps unmatched sales; the share is one of sale counts."""
     fact = star.orders.select("product_code", "store_code", "product_quantity")
-    units = fact.groupBy("product_code", "store_code").agg(
-        F.sum("product_quantity").alias("units"), F.count(F.lit(1)).alias("sales")
-    )
     prices = star.product.where(F.col("product_code").isNotNull()).select("product_code", "product_price")
     types = star.store.where(F.col("store_code").isNotNull()).select("store_code", "store_type")
-    by_store = (
-        attach(units, prices, "product_code", "left", reduced=True)
-        .groupBy("store_code")
-        .agg(
-            F.sum(revenue(F.col("product_price"), F.col("units"))).alias("amount"),
-            F.sum("sales").alias("sales"),
-        )
-    )
+    by_store = priced_totals(fact, prices, "product_code", ["store_code"], "left")
     orders = fact.agg(F.count(F.lit(1)).alias("orders")).scalar()
     return (
         attach(by_store, types, "store_code", "left", reduced=True)
@@ -133,13 +120,8 @@ def q8_german_store_types(star: Star) -> DataFrame:
     fact = star.orders.where(F.col("country_code") == "DE").select(
         "store_key", "product_key", "product_quantity"
     )
-    units = fact.groupBy("product_key", "store_key").agg(F.sum("product_quantity").alias("units"))
     prices = star.product.select("product_key", "product_price")
-    by_store = (
-        attach(units, prices, "product_key", "inner", reduced=True)
-        .groupBy("store_key")
-        .agg(F.sum(revenue(F.col("product_price"), F.col("units"))).alias("amount"))
-    )
+    by_store = priced_totals(fact, prices, "product_key", ["store_key"])
     stores = star.store.select("store_key", "store_type", "country_code")
     return (
         attach(by_store, stores, "store_key", "inner", reduced=True)

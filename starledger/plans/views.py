@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from starledger.functions.numbers import money, percent_of_amount, revenue
 from starledger.operators.order import sort_rows
-from starledger.operators.skew import attach
+from starledger.operators.skew import attach, priced_totals
 from starledger.plans.star import Star
 
 DATE_PARTS = ["day", "month", "year"]
@@ -37,8 +37,8 @@ def customer_sales_ranked_view(star: Star) -> DataFrame:
 def store_sales_breakdown_germany(star: Star) -> DataFrame:
     """Revenue per German store and day.
 
-    The store filter comes first; units per product, store and date are summed before the
-    prices are joined.
+    The store filter comes first; sales are summed per store and day before the store's
+    texts are joined.
     """
     germany = star.store.where(F.col("country_code") == "DE").select(
         "store_key", "store_type", "city", "store_address", "country_code"
@@ -46,15 +46,8 @@ def store_sales_breakdown_germany(star: Star) -> DataFrame:
     fact = star.orders.select("store_key", "product_key", "date_key", "product_quantity")
     sold = attach(fact, germany.select("store_key"), "store_key", "inner", fact)
     dated = attach(sold, star.date_times.select("date_key", *DATE_PARTS), "date_key", "inner", fact)
-    units = dated.groupBy("product_key", "store_key", *DATE_PARTS).agg(
-        F.sum("product_quantity").alias("units")
-    )
     prices = star.product.select("product_key", "product_price")
-    amounts = (
-        attach(units, prices, "product_key", "inner", reduced=True)
-        .groupBy("store_key", *DATE_PARTS)
-        .agg(F.sum(revenue(F.col("product_price"), F.col("units"))).alias("amount"))
-    )
+    amounts = priced_totals(dated, prices, "product_key", ["store_key", *DATE_PARTS])
     keys = ["store_type", "country_code", "city", "store_address", *DATE_PARTS]
     return (
         attach(amounts, germany, "store_key", "inner", reduced=True)
@@ -77,12 +70,10 @@ def store_sales_breakdown(star: Star) -> DataFrame:
     sales = attach(
         sales, star.date_times.select("date_key", *DATE_PARTS, "time_period"), "date_key", "inner", fact
     )
-    by_store = sales.groupBy(
-        "store_key", "product_price", "product_quantity", *DATE_PARTS, "time_period"
-    ).agg(F.sum(revenue(F.col("product_price"), F.col("product_quantity"))).alias("amount"))
+    sales = sales.withColumn("amount", revenue(F.col("product_price"), F.col("product_quantity")))
     shown = ["store_type", "city", "region", "time_period", *DATE_PARTS]
     groups = (
-        attach(by_store, stores, "store_key", "inner", fact)
+        attach(sales, stores, "store_key", "inner", fact)
         .groupBy(*shown, "product_price", "product_quantity")
         .agg(F.sum("amount").alias("amount"))
     )

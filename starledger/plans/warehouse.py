@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark.sql import DataFrame
@@ -54,10 +55,11 @@ def load_warehouse(
         "currency": {"subset": CURRENCY_SUBSET},
         "currency_conversion": {"subset": CONVERSION_SUBSET},
     }
-    dims = {
-        dataset: layered_load(
+
+    def load(dataset: str) -> DataFrame:
+        return layered_load(
             raws[dataset],
-            clean,
+            cleaners[dataset],
             root,
             LAND_TABLES[dataset],
             DIM_TABLES[dataset],
@@ -65,11 +67,20 @@ def load_warehouse(
             additional_rows=DEFAULT_MEMBERS[DIM_TABLES[dataset]],
             **steps.get(dataset, {}),
         )
-        for dataset, clean in cleaners.items()
-    }
+
+    def stage() -> DataFrame:
+        """Staged, because several passes over the fact follow and its source may be slow."""
+        orders = pipelines.clean_orders(raws["orders"])
+        return load_table(orders, f"{root}/staged_{FACT_TABLE}", "replace", FACT_TABLE)
+
+    # The datasets do not depend on each other; their jobs share the cluster.
+    with ThreadPoolExecutor(len(cleaners) + 1) as pool:
+        staged = pool.submit(stage)
+        loading = {dataset: pool.submit(load, dataset) for dataset in cleaners}
+        dims = {dataset: done.result() for dataset, done in loading.items()}
     linked = link_currency_rate(dims["currency"], dims["currency_conversion"])
     unresolved = Star(
-        orders=pipelines.clean_orders(raws["orders"]),
+        orders=staged.result(),
         product=dims["products"],
         store=dims["stores"],
         users=dims["users"],
@@ -80,7 +91,8 @@ def load_warehouse(
         currency_conversion=dims["currency_conversion"],
     )
     keyed = resolve_keys(unresolved)
-    fact = load_table(keyed.orders, f"{root}/{FACT_TABLE}", "replace", FACT_TABLE)
+    # Typed when it was staged; the keys are LONG from the dimensions.
+    fact = load_table(keyed.orders, f"{root}/{FACT_TABLE}", "replace")
     return Star(
         orders=fact,
         product=keyed.product,

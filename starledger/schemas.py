@@ -138,8 +138,18 @@ def typed(column: str, declared: str) -> Column:
 
 
 def enforce_schema(df: DataFrame, layout: dict[str, str]) -> DataFrame:
-    """Type the columns the layout names; leave other columns as they are."""
-    return df.select(*[typed(c, layout[c]) if c in layout else F.col(c) for c in df.columns])
+    """Type the columns the layout names; leave other and already typed ones as they are."""
+
+    def fits(field: T.StructField) -> bool:
+        declared = layout.get(field.name)
+        return declared is None or (
+            field.dataType == parse_type(declared)
+            and declared.split("(")[0].strip().upper() not in ("UUID", "TIME")
+        )
+
+    return df.select(
+        *[F.col(f.name) if fits(f) else typed(f.name, layout[f.name]) for f in df.schema.fields]
+    )
 
 
 def schema_rejects(df: DataFrame, layout: dict[str, str]) -> DataFrame:

@@ -50,10 +50,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/starledger-{label}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably, so later passes see one and the same row set."""
-    sc = df.sparkSession.sparkContext
-    folder = shared_dir(df.sparkSession)
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+def materialised(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a written table in the shared folder, read back.
+
+    Later passes see one and the same row set, also after lost executors, and read only
+    the columns they need. The files stay until the shared folder is cleaned.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
