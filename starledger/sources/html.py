@@ -107,7 +107,8 @@ def harvest_tables_lenient(
 ) -> DataFrame:
     """Like ``harvest_tables`` for markup with unclosed cells or rows, or nested tables.
 
-    Pages are parsed one by one inside Arrow batches, spread over all tasks.
+    Pages are parsed one by one inside Arrow batches, spread over all tasks. Only outermost
+    tables count; the text of a nested one belongs to the cell around it.
     """
     width = len(columns)
 
