@@ -6,14 +6,14 @@ from pyspark.sql import Window, functions as F
 
 from starledger.bindings.registry import register
 from starledger.bindings.tables import (
-    BUYER_SQL, oracle_text, run_sql, star, star_ctes, star_part, table,
+    BUYER_SQL, oracle_text, star, star_ctes, table,
 )
 from starledger.functions.gaps import micros
 from starledger.functions.numbers import money, percent_of_amount, percent_of_count, revenue
 from starledger.operators import audits, joins
 from starledger.operators.order import previous_value, sort_rows, top_k
 from starledger.operators.rows import default_members, literal_rows, union_tables
-from starledger.operators.skew import attach, salted_join
+from starledger.operators.skew import KeyProfile, attach, salted_join
 
 BUYERS = oracle_text(BUYER_SQL)
 
@@ -42,22 +42,22 @@ def currency(spark):
     return default_members(literal_rows(spark, schema, CURRENCY_ROWS), "dim_currency")
 
 
-def _resolve(name, dim, natural, surrogate, table_name, users=False):
-    source = f"orders_table o JOIN ({BUYERS}) b ON b.date_key = o.date_key" if users else "orders_table o"
-    fact = "b" if users else "o"
-    names = ["orders", dim] if dim != "orders" else ["orders"]
-    sql = star_ctes(*names) + f"""
-        SELECT o.date_key AS order_no, o.product_code, {fact}.{natural} AS {natural}, d.{surrogate}
-        FROM {source} LEFT JOIN {table_name} d ON {fact}.{natural} = d.{natural}"""
+def _resolve(name, dim, natural, surrogate, dim_table, users=False):
+    if users:
+        source, side = f"orders_table o JOIN ({BUYERS}) b ON b.date_key = o.date_key", "b"
+    else:
+        source, side = "orders_table o", "o"
+    sql = star_ctes("orders", dim) + f"""
+        SELECT o.date_key AS order_no, o.product_key AS product_no, {side}.{natural}, d.{surrogate}
+        FROM {source} LEFT JOIN {dim_table} d ON {side}.{natural} = d.{natural}"""
 
     @register(name, sql)
     def query(spark, sf_dir):
         bound = star(spark, sf_dir, users=users)
-        fact = bound.orders.select(F.col("date_key").alias("order_no"), "product_code", natural) \
-            if natural != "product_code" else bound.orders.select(
-                F.col("date_key").alias("order_no"), "product_code")
-        base = star_part(spark, sf_dir, "orders") if not users else None
-        return joins.resolve_fk(fact, getattr(bound, dim), natural, surrogate, profile=base)
+        order_no = F.col("date_key").alias("order_no")
+        product_no = F.col("product_key").alias("product_no")
+        fact = bound.orders.select(order_no, product_no, natural)
+        return joins.resolve_fk(fact, getattr(bound, dim), natural, surrogate)
 
     return query
 
@@ -66,15 +66,7 @@ _resolve("resolve_fk_card", "card", "card_number", "card_key", "dim_card_details
 _resolve("resolve_fk_date", "date_times", "date_uuid", "date_key", "dim_date_times")
 _resolve("resolve_fk_store", "store", "store_code", "store_key", "dim_store_details")
 _resolve("resolve_fk_user", "users", "user_uuid", "user_key", "dim_users", users=True)
-
-
-@register("resolve_fk_product", star_ctes("orders", "product") + """
-    SELECT o.date_key AS order_no, o.product_code, d.product_key
-    FROM orders_table o LEFT JOIN dim_product d ON o.product_code = d.product_code""")
-def resolve_fk_product(spark, sf_dir):
-    bound = star(spark, sf_dir)
-    fact = bound.orders.select(F.col("date_key").alias("order_no"), "product_code")
-    return joins.resolve_fk(fact, bound.product, "product_code", "product_key")
+_resolve("resolve_fk_product", "product", "product_code", "product_key", "dim_product")
 
 
 @register("resolve_fk_duplicate_codes", """
@@ -212,10 +204,11 @@ def union_bag(spark, sf_dir):
 def inner_join_chain(spark, sf_dir):
     bound = star(spark, sf_dir)
     fact = bound.orders.select("date_key", "product_key", "store_key")
+    profile = KeyProfile(fact, "date_key", "product_key", "store_key")
     prices = bound.product.select("product_key", F.col("product_price").cast("double").alias("product_price"))
-    sales = attach(fact, prices, "product_key", "inner", fact)
-    sales = attach(sales, bound.date_times.select("date_key", "year"), "date_key", "inner", fact)
-    sales = attach(sales, bound.store.select("store_key", "store_type"), "store_key", "inner", fact)
+    sales = attach(fact, prices, "product_key", "inner", profile)
+    sales = attach(sales, bound.date_times.select("date_key", "year"), "date_key", "inner", profile)
+    sales = attach(sales, bound.store.select("store_key", "store_type"), "store_key", "inner", profile)
     return sales.select("date_key", "product_key", "store_type", "year", "product_price")
 
 
@@ -226,8 +219,9 @@ def inner_join_chain(spark, sf_dir):
 def left_outer_chain(spark, sf_dir):
     bound = star(spark, sf_dir)
     fact = bound.orders.select("date_key", "product_code", "store_code")
-    sales = attach(fact, bound.product.select("product_code", "product_name"), "product_code", "left", fact)
-    sales = attach(sales, bound.store.select("store_code", "store_type"), "store_code", "left", fact)
+    profile = KeyProfile(fact, "product_code", "store_code")
+    sales = attach(fact, bound.product.select("product_code", "product_name"), "product_code", "left", profile)
+    sales = attach(sales, bound.store.select("store_code", "store_type"), "store_code", "left", profile)
     return sales.select("date_key", "product_code", "product_name", "store_type")
 
 

@@ -275,13 +275,12 @@ class BoundStar:
         setattr(self, name, df)
         return df
 
-    def _extended(self, base: DataFrame) -> DataFrame:
-        fact = base
+    def _extended(self, fact: DataFrame) -> DataFrame:
         if self._country:
-            fact = lookup_scalar(fact, self.store, "store_code", "country_code", profile=base)
+            fact = lookup_scalar(fact, self.store, "store_code", "country_code")
         if self._users:
             buyers = run_sql(self._spark, self._sf_dir, BUYER_SQL)
-            fact = attach(fact, buyers, "date_key", "inner", base)
+            fact = attach(fact, buyers, "date_key", "inner")
         return fact
 
 

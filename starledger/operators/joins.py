@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from starledger.operators.skew import attach, salted_join
+from starledger.operators.skew import KeyProfile, attach, salted_join
 
 
 def key_lookup(dim: DataFrame, natural: str, surrogate: str) -> DataFrame:
@@ -24,7 +24,7 @@ def resolve_fk(
     natural: str,
     surrogate: str,
     dim_natural: str | None = None,
-    profile: DataFrame | None = None,
+    profile: KeyProfile | None = None,
 ) -> DataFrame:
     """Fill ``surrogate`` from the dimension row with the same natural key.
 
@@ -46,7 +46,7 @@ def resolve_fk(
 
 
 def lookup_scalar(
-    fact: DataFrame, dim: DataFrame, key: str, value: str, profile: DataFrame | None = None
+    fact: DataFrame, dim: DataFrame, key: str, value: str, profile: KeyProfile | None = None
 ) -> DataFrame:
     """Set ``value`` to that of the one dimension row with this key, NULL without one.
 

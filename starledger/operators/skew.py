@@ -38,17 +38,33 @@ def measured_small(
     return measured["rows"] <= max_rows and measured["bytes"] <= max_bytes
 
 
-def heavy_hashes(df: DataFrame, keys: Sequence[str], share: float = HEAVY_SHARE) -> DataFrame:
-    """Hashes of keys that may own more than ``share`` of the rows: at most ``1 / share``.
+class KeyProfile:
+    """Heavy keys of a frame, for one or several join keys, counted in one pass when needed.
 
-    Frequent-item counting needs one pass over the key columns and a bounded buffer per
-    task. It can name a key that is not heavy, never miss one that is; the join is exact
-    either way.
+    Keys are told by hash. Frequent-item counting keeps a bounded buffer per task and
+    returns at most ``1 / share`` hashes per key. It can name a key that is not heavy,
+    never miss one that owns more than ``share`` of the rows; joins are exact either way.
+    A missing key is a key like any other here.
     """
-    hashes = df.select(F.xxhash64(*keys).alias("_hash"))
-    return hashes.stat.freqItems(["_hash"], share).select(
-        F.explode("_hash_freqItems").alias("_heavy")
-    )
+
+    def __init__(self, df: DataFrame, *keys: str | Sequence[str], share: float = HEAVY_SHARE):
+        self._df, self._share = df, share
+        self._keys = [_names(k) for k in keys]
+        self._found: dict[tuple[str, ...], list[int]] | None = None
+
+    def heavy(self, key: str | Sequence[str]) -> list[int]:
+        if self._found is None:
+            names = [f"_hash_{i}" for i in range(len(self._keys))]
+            hashes = self._df.select(
+                *[F.xxhash64(*key).alias(name) for name, key in zip(names, self._keys)]
+            )
+            items = hashes.stat.freqItems(names, self._share).first()
+            self._found = {k: list(found) for k, found in zip(self._keys, items)}
+        return self._found[_names(key)]
+
+
+def _names(keys: str | Sequence[str]) -> tuple[str, ...]:
+    return (keys,) if isinstance(keys, str) else tuple(keys)
 
 
 def salted_join(
@@ -56,52 +72,43 @@ def salted_join(
     right: DataFrame,
     keys: str | Sequence[str],
     how: str = "left",
-    profile: DataFrame | None = None,
+    profile: KeyProfile | None = None,
     salts: int = SALTS,
     null_safe: bool = False,
 ) -> DataFrame:
     """Equi-join with the heavy keys of the left side split over ``salts`` tasks.
 
-    ``profile`` is the frame whose keys are counted, by default the left side itself;
-    handing in the base table avoids computing a derived left side twice. The right rows
-    of heavy keys, and only those, are repeated once per salt. Left rows with a NULL key,
-    which match nothing unless ``null_safe``, are spread too. The salt depends on the row
-    and on the partition that holds it: a retried task gives the same salt, and copies of
-    one row in different partitions still part. Result columns are the left ones, then
-    the right ones without the keys.
+    ``profile`` counts the keys, by default on the left side itself; one made of the base
+    table avoids computing a derived left side twice. The right rows of heavy keys, and
+    only those, are repeated once per salt. The salt depends on the row and on the
+    partition that holds it: a retried task gives the same salt, and copies of one row in
+    different partitions still part. Result columns are the left ones, then the right
+    ones without the keys.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"salted_join does not do {how!r}")
-    keys = [keys] if isinstance(keys, str) else list(keys)
+    names = _names(keys)
     left_types, right_types = dict(left.dtypes), dict(right.dtypes)
-    for k in keys:
+    for k in names:
         if left_types[k] != right_types[k]:
             raise ValueError(f"{k} is {left_types[k]} on one side, {right_types[k]} on the other")
-    # At most 1 / HEAVY_SHARE rows, hence the broadcast.
-    heavy = F.broadcast(heavy_hashes(profile if profile is not None else left, keys))
+    heavy = (profile or KeyProfile(left, names)).heavy(names)
+    is_heavy = F.xxhash64(*names).isin(heavy) if heavy else F.lit(False)
     spread = F.pmod(F.xxhash64(F.spark_partition_id(), *left.columns), F.lit(salts)).cast("int")
-    loose = F.col("_heavy").isNotNull()
-    if not null_safe:
-        loose = reduce(lambda a, k: a | F.col(k).isNull(), keys, loose)
-    hashed_left = left.withColumn("_hash", F.xxhash64(*keys))
-    salted_left = hashed_left.join(heavy, F.col("_hash") == F.col("_heavy"), "left").select(
-        *left.columns, F.when(loose, spread).otherwise(0).alias("_salt")
-    )
     every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    no_salt = F.array(F.lit(0))
-    rest = [c for c in right.columns if c not in keys]
-    hashed_right = right.withColumn("_hash", F.xxhash64(*keys))
-    salted_right = hashed_right.join(heavy, F.col("_hash") == F.col("_heavy"), "left").select(
-        *[F.col(k).alias(f"_right_{k}") for k in keys],
+    rest = [c for c in right.columns if c not in names]
+    salted_left = left.withColumn("_salt", F.when(is_heavy, spread).otherwise(0))
+    salted_right = right.select(
+        *[F.col(k).alias(f"_right_{k}") for k in names],
         *rest,
-        F.explode(F.when(F.col("_heavy").isNotNull(), every_salt).otherwise(no_salt)).alias("_right_salt"),
+        F.explode(F.when(is_heavy, every_salt).otherwise(F.array(F.lit(0)))).alias("_right_salt"),
     )
 
     def same(k: str) -> Column:
         a, b = F.col(k), F.col(f"_right_{k}")
         return a.eqNullSafe(b) if null_safe else a == b
 
-    condition = reduce(lambda a, k: a & same(k), keys, F.col("_salt") == F.col("_right_salt"))
+    condition = reduce(lambda a, k: a & same(k), names, F.col("_salt") == F.col("_right_salt"))
     return salted_left.join(salted_right, condition, how).select(*left.columns, *rest)
 
 
@@ -110,7 +117,7 @@ def attach(
     right: DataFrame,
     key: str,
     how: str = "left",
-    profile: DataFrame | None = None,
+    profile: KeyProfile | None = None,
     reduced: bool = False,
 ) -> DataFrame:
     """Join ``right`` onto ``left`` by an equally named key.

@@ -41,7 +41,7 @@ def q2_stores_by_locality(star: Star) -> DataFrame:
 
 def _revenue_by_date(star: Star, *parts: str) -> DataFrame:
     fact = star.orders.select("product_key", "date_key", "product_quantity")
-    dated = attach(fact, star.date_times.select("date_key", *parts), "date_key", "inner", fact)
+    dated = attach(fact, star.date_times.select("date_key", *parts), "date_key", "inner")
     prices = star.product.select("product_key", "product_price")
     return priced_totals(dated, prices, "product_key", parts).select(
         *parts, money(F.col("amount")).alias("total_sales")

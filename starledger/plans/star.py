@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from starledger.operators.joins import link_currency_rate, lookup_scalar, resolve_fk
+from starledger.operators.skew import KeyProfile
 
 
 @dataclass(frozen=True)
@@ -27,15 +28,18 @@ def resolve_keys(star: Star) -> Star:
     """All surrogate keys of the fact, and the rate key of the currencies.
 
     The country comes before the currency, which is looked up by it. Heavy natural keys
-    are counted on the fact as it came, not on the growing join.
+    are counted on the fact as it came, in one pass, not on the growing join.
     """
     base = star.orders
-    fact = resolve_fk(base, star.card, "card_number", "card_key", profile=base)
-    fact = resolve_fk(fact, star.date_times, "date_uuid", "date_key", profile=base)
-    fact = resolve_fk(fact, star.product, "product_code", "product_key", profile=base)
-    fact = resolve_fk(fact, star.store, "store_code", "store_key", profile=base)
-    fact = resolve_fk(fact, star.users, "user_uuid", "user_key", profile=base)
-    fact = lookup_scalar(fact, star.store, "store_code", "country_code", profile=base)
+    profile = KeyProfile(
+        base, "card_number", "date_uuid", "product_code", "store_code", "user_uuid"
+    )
+    fact = resolve_fk(base, star.card, "card_number", "card_key", profile=profile)
+    fact = resolve_fk(fact, star.date_times, "date_uuid", "date_key", profile=profile)
+    fact = resolve_fk(fact, star.product, "product_code", "product_key", profile=profile)
+    fact = resolve_fk(fact, star.store, "store_code", "store_key", profile=profile)
+    fact = resolve_fk(fact, star.users, "user_uuid", "user_key", profile=profile)
+    fact = lookup_scalar(fact, star.store, "store_code", "country_code", profile=profile)
     fact = lookup_scalar(fact, star.currency, "country_code", "currency_key")
     return Star(
         orders=fact.select(*base.columns),

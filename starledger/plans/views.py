@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from starledger.functions.numbers import money, percent_of_amount, revenue
 from starledger.operators.order import sort_rows
-from starledger.operators.skew import attach, priced_totals
+from starledger.operators.skew import KeyProfile, attach, priced_totals
 from starledger.plans.star import Star
 
 DATE_PARTS = ["day", "month", "year"]
@@ -18,17 +18,18 @@ COUNTRY_NAMES = {"GB": "Great Britain", "DE": "Germany", "US": "United States"}
 def customer_sales_ranked_view(star: Star) -> DataFrame:
     """Every sale with its customer, highest amount first."""
     fact = star.orders.select("product_key", "date_key", "user_key", "product_quantity")
+    profile = KeyProfile(fact, "product_key", "date_key", "user_key")
     sales = attach(
-        fact, star.product.select("product_key", "product_price"), "product_key", "inner", fact
+        fact, star.product.select("product_key", "product_price"), "product_key", "inner", profile
     )
     sales = sales.withColumn(
         "sales", money(revenue(F.col("product_price"), F.col("product_quantity")))
     ).drop("product_price", "product_quantity")
     sales = attach(
-        sales, star.date_times.select("date_key", *DATE_PARTS, "time_period"), "date_key", "inner", fact
+        sales, star.date_times.select("date_key", *DATE_PARTS, "time_period"), "date_key", "inner", profile
     )
     sales = attach(
-        sales, star.users.select("user_key", "first_name", "last_name"), "user_key", "inner", fact
+        sales, star.users.select("user_key", "first_name", "last_name"), "user_key", "inner", profile
     )
     shown = sales.select("first_name", "last_name", "sales", *DATE_PARTS, "time_period")
     return sort_rows(shown, F.desc_nulls_first("sales"))
@@ -44,8 +45,9 @@ def store_sales_breakdown_germany(star: Star) -> DataFrame:
         "store_key", "store_type", "city", "store_address", "country_code"
     )
     fact = star.orders.select("store_key", "product_key", "date_key", "product_quantity")
-    sold = attach(fact, germany.select("store_key"), "store_key", "inner", fact)
-    dated = attach(sold, star.date_times.select("date_key", *DATE_PARTS), "date_key", "inner", fact)
+    profile = KeyProfile(fact, "store_key", "date_key")
+    sold = attach(fact, germany.select("store_key"), "store_key", "inner", profile)
+    dated = attach(sold, star.date_times.select("date_key", *DATE_PARTS), "date_key", "inner", profile)
     prices = star.product.select("product_key", "product_price")
     amounts = priced_totals(dated, prices, "product_key", ["store_key", *DATE_PARTS])
     keys = ["store_type", "country_code", "city", "store_address", *DATE_PARTS]
@@ -65,15 +67,16 @@ def store_sales_breakdown(star: Star) -> DataFrame:
     groups, taken as a scalar, not as a window over all groups in one task.
     """
     fact = star.orders.select("store_key", "product_key", "date_key", "product_quantity")
+    profile = KeyProfile(fact, "store_key", "product_key", "date_key")
     stores = star.store.select("store_key", "store_type", "city", "region")
-    sales = attach(fact, star.product.select("product_key", "product_price"), "product_key", "inner", fact)
+    sales = attach(fact, star.product.select("product_key", "product_price"), "product_key", "inner", profile)
     sales = attach(
-        sales, star.date_times.select("date_key", *DATE_PARTS, "time_period"), "date_key", "inner", fact
+        sales, star.date_times.select("date_key", *DATE_PARTS, "time_period"), "date_key", "inner", profile
     )
     sales = sales.withColumn("amount", revenue(F.col("product_price"), F.col("product_quantity")))
     shown = ["store_type", "city", "region", "time_period", *DATE_PARTS]
     groups = (
-        attach(sales, stores, "store_key", "inner", fact)
+        attach(sales, stores, "store_key", "inner", profile)
         .groupBy(*shown, "product_price", "product_quantity")
         .agg(F.sum("amount").alias("amount"))
     )

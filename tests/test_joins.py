@@ -27,11 +27,32 @@ def test_salted_join_equals_a_plain_join(spark, how):
     assert rows(skew.salted_join(left, right, "k", how)) == rows(plain)
 
 
-def test_salted_join_splits_the_heavy_key(spark):
+def test_profile_finds_the_heavy_keys(spark):
     left = skewed(spark)
-    heavy = {r["_heavy"] for r in skew.heavy_hashes(left, ["k"]).collect()}
-    seven = spark.range(1).select(F.xxhash64(F.lit(7).cast("long")).alias("h")).first()["h"]
-    assert seven in heavy and len(heavy) <= 1 / skew.HEAVY_SHARE
+    profile = skew.KeyProfile(left, "k", ["k", "same"])
+    heavy = profile.heavy("k")
+    hashes = spark.range(1).select(
+        F.xxhash64(F.lit(7).cast("long")).alias("seven"), F.xxhash64(F.lit(None).cast("long")).alias("none")
+    ).first()
+    assert hashes["seven"] in heavy and hashes["none"] in heavy
+    assert len(heavy) <= 1 / skew.HEAVY_SHARE
+    assert len(profile.heavy(["k", "same"])) >= 2
+
+
+def test_salted_join_spreads_the_heavy_key(spark):
+    """Also where the rows of the key come from few partitions."""
+    left = skewed(spark).coalesce(2)
+    right = spark.range(900).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    before = {n: spark.conf.get(n) for n in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = skew.salted_join(left, right, "k").withColumn("p", F.spark_partition_id())
+        sizes = [r["count"] for r in joined.groupBy("p").count().collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sum(sizes) == 30_000 and max(sizes) < 2 * 30_000 / 8
 
 
 def test_salted_join_refuses_keys_of_different_type(spark):
