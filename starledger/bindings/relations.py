@@ -442,13 +442,46 @@ def audit_fk(spark, sf_dir):
     )
 
 
-@register("unresolved_key_counts", star_ctes("orders") + """
-    SELECT 'date_key' AS key_column, count(*) FILTER (date_key = 0) AS unresolved FROM orders_table
+@register("audit_fk_people", star_ctes("users", "card") + """
+    SELECT 'user_key' AS fk, count(DISTINCT o_custkey) AS orphan_keys, count(*) AS orphan_rows
+    FROM orders ANTI JOIN (SELECT * FROM dim_users WHERE first_name <> 'MACHINERY') d
+        ON o_custkey + 1 = d.user_key
+    UNION ALL SELECT 'card_key', count(DISTINCT o_custkey), count(*)
+    FROM orders ANTI JOIN dim_card_details d ON o_custkey + 1 = d.card_key""")
+def audit_fk_people(spark, sf_dir):
+    bound = star(spark, sf_dir)
+    key = F.col("o_custkey") + 1
+    fact = table(spark, sf_dir, "orders").select(key.alias("user_key"), key.alias("card_key"))
+    return audits.audit_fk(
+        fact,
+        {
+            "user_key": (bound.users.where("first_name <> 'MACHINERY'"), "user_key"),
+            "card_key": (bound.card, "card_key"),
+        },
+    )
+
+
+@register("audit_fk_currency", """
+    SELECT 'currency_conversion_key' AS fk, count(DISTINCT s_suppkey) AS orphan_keys,
+        count(*) AS orphan_rows
+    FROM supplier ANTI JOIN (SELECT DISTINCT p_size FROM part) p ON s_suppkey = p_size""")
+def audit_fk_currency(spark, sf_dir):
+    """Currencies against their rates."""
+    rates = table(spark, sf_dir, "part").select(F.col("p_size").alias("rate_key")).distinct()
+    currency = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("currency_conversion_key"))
+    return audits.audit_fk(currency, {"currency_conversion_key": (rates, "rate_key")})
+
+
+@register("unresolved_key_counts", star_ctes("orders") + f"""
+    SELECT 'date_key' AS key_column, count(*) FILTER (o.date_key = 0) AS unresolved
+    FROM orders_table o
     UNION ALL SELECT 'product_key', count(*) FILTER (product_key = 0) FROM orders_table
-    UNION ALL SELECT 'store_key', count(*) FILTER (coalesce(store_key, 0) = 0) FROM orders_table""")
+    UNION ALL SELECT 'store_key', count(*) FILTER (coalesce(store_key, 0) = 0) FROM orders_table
+    UNION ALL SELECT 'user_key', count(*) FILTER (user_key IS NULL)
+        FROM orders_table o LEFT JOIN ({BUYERS}) b ON o.date_key = b.date_key""")
 def unresolved_key_counts(spark, sf_dir):
-    fact = joins.fill_unknown_keys(star(spark, sf_dir).orders, ["store_key"])
-    return audits.unresolved_key_counts(fact, ["date_key", "product_key", "store_key"])
+    fact = joins.fill_unknown_keys(star(spark, sf_dir, users=True).orders, ["store_key", "user_key"])
+    return audits.unresolved_key_counts(fact, ["date_key", "product_key", "store_key", "user_key"])
 
 
 @register("row_reconciliation", """

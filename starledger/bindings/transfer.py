@@ -8,17 +8,27 @@ from starledger.bindings.pipelines import CLEAN_CARDS
 from starledger.bindings.registry import register
 from starledger.bindings.tables import raw, table
 from starledger.operators.columns import AVAILABILITY_TEXTS
+from starledger.operators.keys import number_rows
 from starledger.operators.rows import DEFAULT_MEMBERS
 from starledger.plans import pipelines
 from starledger.schemas import DIM_TABLES, LAND_TABLES, RAW_TABLES, TABLE_LAYOUTS
 from starledger.session import scratch_path
 from starledger.sources import files, html, sinks
 
-# A document or page holds this many records, so its size does not grow with the table.
+# A document or page holds this many records, whatever keys the table repeats.
 RECORDS = 500
 ROWS_PER_PAGE = 50
 
 
+def numbered(spark, sf_dir, name, key):
+    """Rows of a table with ``n`` = 0, 1, 2, ... along its key."""
+    return number_rows(table(spark, sf_dir, name), [key], "n").withColumn("n", F.col("n") - 1)
+
+
+def numbered_sql(name, key):
+    return f"(SELECT *, row_number() OVER (ORDER BY {key}) - 1 AS n FROM {name})"
+
+
 @register("src_csv", """
     SELECT o_orderkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate,
         o_orderpriority FROM orders""")
@@ -31,39 +41,39 @@ def src_csv(spark, sf_dir):
 
 
 @register("src_json_keyed", f"""
-    SELECT c_custkey, c_name, c_mktsegment, CAST(row_number() OVER (
-        PARTITION BY c_custkey // {RECORDS} ORDER BY CAST(c_custkey AS VARCHAR)) - 1 AS INT) AS position
-    FROM customer""")
+    SELECT n AS row_no, c_name, c_mktsegment, CAST(row_number() OVER (
+        PARTITION BY n // {RECORDS} ORDER BY CAST(n AS VARCHAR)) - 1 AS INT) AS position
+    FROM {numbered_sql("customer", "c_custkey")}""")
 def src_json_keyed(spark, sf_dir):
     documents = (
-        table(spark, sf_dir, "customer")
-        .groupBy(F.floor(F.col("c_custkey") / RECORDS))
+        numbered(spark, sf_dir, "customer", "c_custkey")
+        .groupBy(F.floor(F.col("n") / RECORDS))
         .agg(
             files.json_object(
-                F.col("c_custkey").cast("string").alias("key"),
+                F.col("n").cast("string").alias("key"),
                 F.struct("c_name", "c_mktsegment").alias("record"),
             ).alias("value")
         )
     )
     path = scratch_path(spark, "json-keyed")
     documents.select("value").write.text(path)
-    records = files.read_json_keyed(
-        spark, path, ["c_name", "c_mktsegment"], "c_custkey", one_per_line=True
-    )
-    return records.withColumn("c_custkey", F.col("c_custkey").cast("long"))
+    fields = ["c_name", "c_mktsegment"]
+    records = files.read_json_keyed(spark, path, fields, "row_no", one_per_line=True)
+    return records.withColumn("row_no", F.col("row_no").cast("long"))
 
 
 @register("src_json_columnar", f"""
-    SELECT event_id, event_id % {RECORDS} AS row_id, event_type, user_id, props FROM events""")
+    SELECT event_id, n % {RECORDS} AS row_id, event_type, user_id, props
+    FROM {numbered_sql("events", "event_id")}""")
 def src_json_columnar(spark, sf_dir):
     def column(name):
-        cell = F.struct((F.col("event_id") % RECORDS).cast("string"), F.col(name).cast("string"))
+        cell = F.struct((F.col("n") % RECORDS).cast("string"), F.col(name).cast("string"))
         return F.map_from_entries(F.collect_list(cell)).alias(name)
 
     names = ["event_id", "event_type", "user_id", "props"]
     documents = (
-        table(spark, sf_dir, "events")
-        .groupBy(F.floor(F.col("event_id") / RECORDS))
+        numbered(spark, sf_dir, "events", "event_id")
+        .groupBy(F.floor(F.col("n") / RECORDS))
         .agg(*[column(n) for n in names])
         .select(F.to_json(F.struct(*names)).alias("value"))
     )
@@ -92,32 +102,33 @@ def src_mapping_file(spark, sf_dir):
 
 
 def _pages(spark, sf_dir, closed: bool):
-    """Pages of two tables: a menu, and one row per order."""
+    """Pages of two tables: a menu, and one row per order, with or without end tags."""
     td, tr = ("</td>", "</tr>") if closed else ("", "")
+    buyer = F.when(F.col("o_orderkey") % 5 > 0, F.col("o_custkey").cast("string")).otherwise("")
     row = F.concat(
         F.lit("<tr><td class='k'>"), F.col("o_orderkey").cast("string"), F.lit(f"{td}\n<TD>"),
-        F.col("o_orderpriority"), F.lit(f" &amp; <b>"), F.col("o_orderstatus"),
-        F.lit(f"</b>{td}<td>"), F.when(F.col("o_orderkey") % 5 > 0, F.col("o_custkey").cast("string"))
-        .otherwise(""), F.lit(f"{td}{tr}"),
+        F.col("o_orderpriority"), F.lit(" &amp; <b>"), F.col("o_orderstatus"),
+        F.lit(f"</b>{td}<td>"), buyer, F.lit(f"{td}{tr}"),
+    )
+    in_order = F.sort_array(F.collect_list(F.struct("n", row.alias("row"))))
+    body = F.array_join(F.transform(in_order, lambda r: r["row"]), "\n")
+    head = (
+        "<html><body><table><tr><td>menu</td></tr></table><p>x</p><table border=1>"
+        "<tr><th>order</th><th>label</th><th>buyer</th></tr>"
     )
-    body = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("o_orderkey", row.alias("row")))),
-                                    lambda r: r["row"]), "\n")
-    head = "<html><body><table><tr><td>menu</td></tr></table><p>x</p><table border=1>" \
-           "<tr><th>order</th><th>label</th><th>buyer</th></tr>"
-    page = F.floor(F.col("o_orderkey") / ROWS_PER_PAGE)
     return (
-        table(spark, sf_dir, "orders")
-        .groupBy(page.alias("page_id"))
+        numbered(spark, sf_dir, "orders", "o_orderkey")
+        .groupBy(F.floor(F.col("n") / ROWS_PER_PAGE).alias("page_id"))
         .agg(F.concat(F.lit(head), body, F.lit("</table></body></html>")).alias("html"))
     )
 
 
 HTML_SQL = f"""
-    SELECT o_orderkey // {ROWS_PER_PAGE} AS page_id, CAST(o_orderkey AS VARCHAR) AS order_no,
+    SELECT n // {ROWS_PER_PAGE} AS page_id, CAST(o_orderkey AS VARCHAR) AS order_no,
         o_orderpriority || ' & ' || o_orderstatus AS label,
         CASE WHEN o_orderkey % 5 > 0 THEN CAST(o_custkey AS VARCHAR) END AS buyer,
-        CAST(o_orderkey % {ROWS_PER_PAGE} + 1 AS INT) AS row_no
-    FROM orders"""
+        CAST(n % {ROWS_PER_PAGE} + 1 AS INT) AS row_no
+    FROM {numbered_sql("orders", "o_orderkey")}"""
 
 
 @register("src_html_table", HTML_SQL)

@@ -64,7 +64,7 @@ def map_values(df: DataFrame, column: str, mapping, to: str | None = None) -> Da
         return df.withColumn(target, map_literal(F.col(column), mapping))
     order = [c for c in df.columns if c != target] + [target]
     lookup = mapping.groupBy(F.col("name").alias("_name")).agg(F.max("code").alias("_code"))
-    joined = attach(df.withColumn("_name", F.col(column)), lookup, "_name", "left")
+    joined = attach(df.withColumn("_name", F.col(column)), lookup, "_name", "left", bound=mapping)
     return joined.withColumn(target, F.col("_code")).select(*order)
 
 

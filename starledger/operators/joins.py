@@ -32,10 +32,9 @@ def resolve_fk(
     the column is new).
     """
     found = f"_found_{surrogate}"
-    lookup = key_lookup(
-        dim.select(F.col(dim_natural or natural).alias(natural), surrogate), natural, surrogate
-    ).withColumnRenamed(surrogate, found)
-    joined = attach(fact, lookup, natural, "left", profile)
+    pairs = dim.select(F.col(dim_natural or natural).alias(natural), surrogate)
+    lookup = key_lookup(pairs, natural, surrogate).withColumnRenamed(surrogate, found)
+    joined = attach(fact, lookup, natural, "left", profile, bound=pairs)
     if surrogate in fact.columns:
         value = F.coalesce(F.col(found), F.col(surrogate))
         order = fact.columns
@@ -60,7 +59,7 @@ def lookup_scalar(
     order = [c for c in fact.columns if c != value] + [value]
     ambiguous = F.raise_error(F.concat(F.lit(f"more than one {value} for {key} "), F.col(key).cast("string")))
     return (
-        attach(fact.drop(value), lookup, key, "left", profile)
+        attach(fact.drop(value), lookup, key, "left", profile, bound=dim.select(key, value))
         .withColumn(value, F.when(F.col("_matches") > 1, ambiguous).otherwise(F.col("_value")))
         .select(*order)
     )

@@ -25,17 +25,17 @@ def measured_small(
 ) -> bool:
     """True when ``df`` was counted and weighed, and stays within the broadcast bounds.
 
-    Looks at no more than ``max_rows + 1`` rows, so the check itself stays small.
+    The count comes first: for a written table it reads file footers only, and a table
+    over the bound is never weighed. Only texts need weighing, other values have a width.
     """
-    width = F.lit(16 * len(df.columns))
-    for name, kind in df.dtypes:
-        if kind == "string":
-            width = width + F.coalesce(F.octet_length(F.col(name)), F.lit(0))
-    seen = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
-    )
-    measured = seen.first()
-    return measured["rows"] <= max_rows and measured["bytes"] <= max_bytes
+    rows = df.count()
+    if rows > max_rows:
+        return False
+    size = rows * 16 * len(df.columns)
+    texts = [F.coalesce(F.octet_length(name), F.lit(0)) for name, kind in df.dtypes if kind == "string"]
+    if texts and size <= max_bytes:
+        size += df.agg(F.coalesce(F.sum(reduce(Column.__add__, texts)), F.lit(0))).first()[0]
+    return size <= max_bytes
 
 
 class KeyProfile:
@@ -119,13 +119,15 @@ def attach(
     how: str = "left",
     profile: KeyProfile | None = None,
     reduced: bool = False,
+    bound: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``right`` onto ``left`` by an equally named key.
 
     ``reduced`` says that the left side was aggregated by this key and a few others, so
-    no key owns many rows any more and a plain shuffled join is even.
+    no key owns many rows any more and a plain shuffled join is even. ``bound`` is a frame
+    no smaller than ``right`` that is cheaper to measure, such as the table it groups.
     """
-    if measured_small(right):
+    if measured_small(right if bound is None else bound):
         return left.join(F.broadcast(right), key, how)
     if reduced:
         return left.join(right, key, how)
