@@ -48,15 +48,23 @@ def number_rows(df: DataFrame, order_by: Sequence[str], key: str) -> DataFrame:
     )
 
 
-def key_dense(df: DataFrame, order_by: Sequence[str], key: str) -> DataFrame:
-    """Keys 1..n in source order over the rows that are left, replacing ``key`` if present."""
-    kept = [c for c in df.columns if c != key]
-    if key not in order_by:
-        return number_rows(df.select(*kept), order_by, key)
+def key_dense(
+    df: DataFrame, order_by: Sequence[str], key: str, keep: Column | None = None
+) -> DataFrame:
+    """Keys 1..n in source order over the rows that ``keep`` leaves, replacing ``key`` if present.
+
+    Rows to drop are sorted behind the others and dropped once the keys are written.
+    Filtering before would make Spark compute a cleaned column twice, in the filter and
+    in the rows that pass it.
+    """
     source = f"_source_{key}"
-    renamed = df.withColumnRenamed(key, source)
     order = [source if c == key else c for c in order_by]
-    return number_rows(renamed, order, key).drop(source)
+    df = df.withColumnRenamed(key, source) if key in order_by else df.drop(key)
+    if keep is None:
+        return number_rows(df, order, key).drop(source)
+    marked = df.withColumn("_dropped", ~F.coalesce(keep, F.lit(False)))
+    numbered = number_rows(marked, ["_dropped", *order], key)
+    return numbered.where(~F.col("_dropped")).drop("_dropped", source)
 
 
 def key_ordinal(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
 
@@ -107,11 +108,10 @@ def literal_rows(spark: SparkSession, schema: T.StructType, rows: Sequence[dict]
     unknown = named - set(schema.names)
     if unknown:
         raise ValueError(f"no such columns: {sorted(unknown)}")
-    structs = [
-        F.struct(*[F.lit(row.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields])
-        for row in rows
-    ]
-    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+    records = F.from_json(
+        F.lit(json.dumps(list(rows), default=str)), T.ArrayType(schema), {"mode": "FAILFAST"}
+    )
+    return spark.range(0, 1, 1, 1).select(F.inline(records))
 
 
 def prepend_rows(df: DataFrame, rows: Sequence[dict]) -> DataFrame:

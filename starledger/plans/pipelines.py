@@ -76,15 +76,15 @@ def clean_users(raw: DataFrame, position: str) -> DataFrame:
     dated = raw.withColumns(
         {c: clean_dates(F.col(c)) for c in ("date_of_birth", "join_date")}
     )
-    kept = rows.drop_null_rows(dated, ["date_of_birth", "join_date"])
-    return key_dense(kept, [position], "user_key").select(*USER_COLUMNS)
+    complete = F.col("date_of_birth").isNotNull() & F.col("join_date").isNotNull()
+    return key_dense(dated, [position], "user_key", complete).select(*USER_COLUMNS)
 
 
 def clean_stores(raw: DataFrame) -> DataFrame:
     """The first column of the source is its row index and gives the order."""
     named = cols.positional_rename(raw, STORE_SOURCE).drop("null_column")
     dated = named.withColumn("opening_date", clean_dates(F.col("opening_date")))
-    keyed = key_dense(rows.drop_null_rows(dated, ["opening_date"]), ["store_key"], "store_key")
+    keyed = key_dense(dated, ["store_key"], "store_key", F.col("opening_date").isNotNull())
     fixed = cols.replace_values(keyed, cols.REGION_FIXES)
     fixed = cols.repair_codes(fixed, "number_of_staff", cols.STAFF_FIXES, "smallint")
     for c in ("longitude", "latitude"):

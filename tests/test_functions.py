@@ -51,6 +51,14 @@ def test_clean_dates(spark):
     assert apply(spark, clean_dates, list(DATES)) == [day(d) for d in DATES.values()]
 
 
+def test_clean_dates_in_every_layout(spark):
+    """Many days, each written in each layout, all read back as the same day."""
+    days = [datetime.date(1950, 1, 1) + datetime.timedelta(days=97 * i) for i in range(250)]
+    layouts = ["%Y-%m-%d", "%Y/%m/%d", "%Y %B %d", "%B %Y %d", "%m/%d/%Y", "%d %B %Y", "%B %d, %Y", "%Y%m%d"]
+    written = [d.strftime(layout) for layout in layouts for d in days]
+    assert apply(spark, clean_dates, written) == days * len(layouts)
+
+
 def test_clean_dates_is_idempotent(spark):
     again = lambda c: clean_dates(clean_dates(c).cast("string"))
     assert apply(spark, again, list(DATES)) == [day(d) for d in DATES.values()]

@@ -27,6 +27,12 @@ def test_dense_key_replaces_the_source_index(spark):
     assert rows(key_dense(df, ["k"], "k").select("k", "v")) == [(1, "a"), (2, "b"), (3, "c")]
 
 
+def test_dense_keys_skip_dropped_rows(spark):
+    df = spark.createDataFrame([(3, "c"), (1, None), (2, "b"), (4, "d")], "p long, v string")
+    got = key_dense(df, ["p"], "k", F.col("v").isNotNull())
+    assert got.columns == ["p", "v", "k"] and rows(got) == [(2, "b", 1), (3, "c", 2), (4, "d", 3)]
+
+
 def test_ordinal_keys_keep_gaps(spark):
     df = spark.range(10).select(F.col("id").alias("p"))
     keep = F.col("p") % 3 != 0
