@@ -8,9 +8,10 @@ from starledger.bindings.registry import register
 from starledger.bindings.tables import dirty_date, oracle_text, raw, raw_sql, run_sql, table
 from starledger.functions.dates import clean_dates, make_full_date, parse_date_uniform
 from starledger.functions.goods import availability_to_bool, weight_class, weight_to_kg
-from starledger.functions.numbers import strip_symbol
+from starledger.functions.numbers import revenue, strip_symbol
 from starledger.functions.text import concat_skip_null, digits_only
 from starledger.operators import columns as cols, rows
+from starledger.operators.skew import attach
 from starledger.schemas import LAYOUTS, alter_types, enforce_schema, schema_rejects
 
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
@@ -44,7 +45,8 @@ def class_of(kg: str) -> str:
 
 
 def order_dates(spark: bool) -> str:
-    return f"SELECT o_orderkey, {dirty_date('CAST(o_orderdate AS DATE)', 'o_orderkey', spark)} AS text FROM {{orders}}"
+    text = dirty_date("CAST(o_orderdate AS DATE)", "o_orderkey", spark)
+    return f"SELECT o_orderkey, {text} AS text FROM {{orders}}"
 
 
 @register("clean_dates", f"""
@@ -319,9 +321,6 @@ def rename_column(spark, sf_dir):
         * CAST(l_quantity AS BIGINT) AS DOUBLE) AS sales
     FROM lineitem JOIN part ON l_partkey = p_partkey""")
 def derive_expr(spark, sf_dir):
-    from starledger.functions.numbers import revenue
-    from starledger.operators.skew import attach
-
     items = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", F.col("l_partkey").alias("p_partkey")
     )

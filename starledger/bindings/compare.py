@@ -46,7 +46,11 @@ def compare(df: DataFrame, connection, sql: str | None) -> str | None:
     place = [other.index(n) for n in names]
     types = {d[0]: str(d[1]) for d in cursor.description}
     mine = {n: t.upper() if t.startswith("decimal") else _SAME.get(t, t) for n, t in df.dtypes}
-    wrong = {n: (mine[n], types[n]) for n in names if mine[n] != types[n].replace(" ", "") and mine[n] != types[n]}
+    wrong = {
+        n: (mine[n], types[n])
+        for n in names
+        if mine[n] not in (types[n], types[n].replace(" ", ""))
+    }
     if wrong:
         return f"types {wrong}"
     expected = [tuple(r[i] for i in place) for r in cursor.fetchall()]

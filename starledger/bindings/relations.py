@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import Window, functions as F, types as T
 
 from starledger.bindings.registry import register
 from starledger.bindings.tables import (
@@ -11,6 +11,7 @@ from starledger.bindings.tables import (
 from starledger.functions.gaps import micros
 from starledger.functions.numbers import money, percent_of_amount, percent_of_count, revenue
 from starledger.operators import audits, joins
+from starledger.operators.keys import number_rows
 from starledger.operators.order import previous_value, sort_rows, top_k
 from starledger.operators.rows import default_members, literal_rows, union_tables
 from starledger.operators.skew import KeyProfile, attach, salted_join
@@ -29,8 +30,6 @@ CURRENCY_CTE = """dim_currency(currency_key, currency_code, country_code) AS (
 
 
 def currency(spark):
-    from pyspark.sql import types as T
-
     schema = T.StructType(
         [
             T.StructField("currency_key", T.LongType()),
@@ -192,7 +191,8 @@ def union_tables_query(spark, sf_dir):
     SELECT o_custkey AS user_no FROM orders UNION ALL SELECT c_custkey FROM customer""")
 def union_bag(spark, sf_dir):
     buyers = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("user_no"))
-    return buyers.unionByName(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_no")))
+    users = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_no"))
+    return buyers.unionByName(users)
 
 
 @register("inner_join_chain", star_ctes("orders", "product", "date_times", "store") + """
@@ -365,8 +365,6 @@ def lead_event_gap(spark, sf_dir):
     FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 10 > 0 THEN o_totalprice END AS amount FROM orders)""")
 def order_by_desc_nulls_first(spark, sf_dir):
     """Places of the global order, missing amounts first; the numbering is distributed too."""
-    from starledger.operators.keys import number_rows
-
     amount = F.when(F.col("o_orderkey") % 10 > 0, F.col("o_totalprice"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", amount.alias("amount"))
     # Missing amounts sort before the highest.

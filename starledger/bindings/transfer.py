@@ -33,7 +33,8 @@ def numbered_sql(name, key):
     SELECT o_orderkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate,
         o_orderpriority FROM orders""")
 def src_csv(spark, sf_dir):
-    schema = "o_orderkey long, o_orderstatus string, o_totalprice double, o_orderdate date, o_orderpriority string"
+    schema = """o_orderkey long, o_orderstatus string, o_totalprice double, o_orderdate date,
+        o_orderpriority string"""
     path = scratch_path(spark, "csv")
     orders = table(spark, sf_dir, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
     orders.drop("o_custkey").write.option("header", True).csv(path)

@@ -7,8 +7,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from starledger.operators.skew import attach
-
 
 def audit_pk(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Key values that are missing or used more than once, with their row count."""

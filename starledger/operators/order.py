@@ -34,7 +34,9 @@ def previous_value(df: DataFrame, column: str) -> DataFrame:
     ranked = number_rows(counted.where(F.col("value").isNotNull()), ["value"], "rank")
     lower = ranked.select((F.col("rank") + 1).alias("rank"), F.col("value").alias("lower"))
     paired = ranked.join(lower, "rank", "left")
-    to_lower = paired.select("value", F.col("lower").alias("next_value"), F.lit(1).cast("long").alias("row_count"))
+    to_lower = paired.select(
+        "value", F.col("lower").alias("next_value"), F.lit(1).cast("long").alias("row_count")
+    )
     to_same = paired.where(F.col("n") > 1).select(
         "value", F.col("value").alias("next_value"), (F.col("n") - 1).alias("row_count")
     )

@@ -135,14 +135,19 @@ def attach(
 
 
 def priced_totals(
-    sales: DataFrame, prices: DataFrame, key: str, groups: Sequence[str], how: str = "inner"
+    sales: DataFrame,
+    prices: DataFrame,
+    key: str,
+    groups: Sequence[str],
+    how: str = "inner",
+    profile: KeyProfile | None = None,
 ) -> DataFrame:
     """Per group: ``amount``, the sum of price times quantity, and ``sales``, the row count.
 
     With few prices they are broadcast and the rows go straight into the groups. Beyond
-    that, units are summed per product and group first: what is then shuffled by
-    product holds no more rows of one product than there are groups, however many sales
-    it has.
+    that, units are summed per product and group first, so that all sales of a hot
+    product in one group are one row per task before they are shuffled; a product that is
+    heavy still, because it has many groups, is salted.
     """
     if measured_small(prices):
         return (
@@ -157,7 +162,7 @@ def priced_totals(
         F.sum("product_quantity").alias("units"), F.count(F.lit(1)).alias("sales")
     )
     return (
-        units.join(prices, key, how)
+        salted_join(units, prices, key, how, profile or KeyProfile(sales, key))
         .groupBy(*groups)
         .agg(
             F.sum(revenue(F.col("product_price"), F.col("units"))).alias("amount"),

@@ -13,7 +13,7 @@ from starledger.functions.dates import sale_instant
 from starledger.functions.gaps import format_gap, mean_gap, micros
 from starledger.functions.numbers import money, percent_of_count
 from starledger.operators.order import gaps_by_group, top_k
-from starledger.operators.skew import attach, priced_totals
+from starledger.operators.skew import KeyProfile, attach, priced_totals
 from starledger.plans.star import Star
 
 # The country codes of question 1 and the code of the web shop.
@@ -41,9 +41,11 @@ def q2_stores_by_locality(star: Star) -> DataFrame:
 
 def _revenue_by_date(star: Star, *parts: str) -> DataFrame:
     fact = star.orders.select("product_key", "date_key", "product_quantity")
-    dated = attach(fact, star.date_times.select("date_key", *parts), "date_key", "inner")
+    profile = KeyProfile(fact, "date_key", "product_key")
+    dates = star.date_times.select("date_key", *parts)
+    dated = attach(fact, dates, "date_key", "inner", profile)
     prices = star.product.select("product_key", "product_price")
-    return priced_totals(dated, prices, "product_key", parts).select(
+    return priced_totals(dated, prices, "product_key", parts, profile=profile).select(
         *parts, money(F.col("amount")).alias("total_sales")
     )
 

@@ -45,11 +45,12 @@ def store_sales_breakdown_germany(star: Star) -> DataFrame:
         "store_key", "store_type", "city", "store_address", "country_code"
     )
     fact = star.orders.select("store_key", "product_key", "date_key", "product_quantity")
-    profile = KeyProfile(fact, "store_key", "date_key")
+    profile = KeyProfile(fact, "store_key", "date_key", "product_key")
     sold = attach(fact, germany.select("store_key"), "store_key", "inner", profile)
     dated = attach(sold, star.date_times.select("date_key", *DATE_PARTS), "date_key", "inner", profile)
     prices = star.product.select("product_key", "product_price")
-    amounts = priced_totals(dated, prices, "product_key", ["store_key", *DATE_PARTS])
+    by_day = ["store_key", *DATE_PARTS]
+    amounts = priced_totals(dated, prices, "product_key", by_day, profile=profile)
     keys = ["store_type", "country_code", "city", "store_address", *DATE_PARTS]
     return (
         attach(amounts, germany, "store_key", "inner", reduced=True)
