@@ -138,31 +138,31 @@ def anti_join(spark, sf_dir):
     return table(spark, sf_dir, "customer").select("c_custkey").join(buyers, "c_custkey", "left_anti")
 
 
-# Two overlapping frames: the first half of the customers and the later two thirds.
-MERGE_CTES = """
-    WITH n AS (SELECT count(*) AS n FROM customer),
-    a AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 17 > 0 THEN c_mktsegment END AS seg,
-        c_name AS name FROM customer, n WHERE c_custkey < n // 2),
-    b AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 17 > 0 THEN c_mktsegment END AS seg,
-        c_acctbal AS balance FROM customer, n WHERE c_custkey >= n // 3)
-    SELECT coalesce(a.k, b.k) AS k, coalesce(a.seg, b.seg) AS seg, name, balance
-    FROM a {how} JOIN b ON a.k = b.k AND a.seg IS NOT DISTINCT FROM b.seg"""
+# Sales and users with two common columns, of which the second is missing on both sides at times.
+MERGE_SQL = """
+    WITH a AS (SELECT o_custkey AS k, nullif(o_orderstatus, 'P') AS status, o_orderkey AS order_no
+        FROM orders),
+    b AS (SELECT c_custkey AS k, CASE c_nationkey % 3 WHEN 0 THEN 'F' WHEN 1 THEN 'O' END AS status,
+        c_name AS name FROM customer)
+    SELECT coalesce(a.k, b.k) AS k, coalesce(a.status, b.status) AS status, order_no, name
+    FROM a {how} JOIN b ON a.k = b.k AND a.status IS NOT DISTINCT FROM b.status"""
 
 
 def _merge(how):
-    @register(f"merge_frames_{how}", MERGE_CTES.format(how="FULL" if how == "outer" else how.upper()))
+    @register(f"merge_frames_{how}", MERGE_SQL.format(how="FULL" if how == "outer" else how.upper()))
     def query(spark, sf_dir):
-        customer = table(spark, sf_dir, "customer")
-        n = customer.agg(F.count(F.lit(1)).cast("int").alias("n")).scalar()
-        segment = F.when(F.col("c_custkey") % 17 > 0, F.col("c_mktsegment")).alias("seg")
-        key = F.col("c_custkey").alias("k")
-        first = customer.where(F.col("c_custkey") < F.floor(n / 2)).select(
-            key, segment, F.col("c_name").alias("name")
+        sales = table(spark, sf_dir, "orders").select(
+            F.col("o_custkey").alias("k"),
+            F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("status"),
+            F.col("o_orderkey").alias("order_no"),
         )
-        second = customer.where(F.col("c_custkey") >= F.floor(n / 3)).select(
-            key, segment, F.col("c_acctbal").alias("balance")
+        nation = F.col("c_nationkey") % 3
+        users = table(spark, sf_dir, "customer").select(
+            F.col("c_custkey").alias("k"),
+            F.when(nation == 0, "F").when(nation == 1, "O").alias("status"),
+            F.col("c_name").alias("name"),
         )
-        return joins.merge_frames(how, first, second)
+        return joins.merge_frames(how, sales, users)
 
 
 for _how in ("left", "right", "inner", "outer"):

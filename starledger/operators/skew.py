@@ -10,14 +10,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starledger.functions.numbers import revenue
 
 BROADCAST_MAX_ROWS = 200_000
 BROADCAST_MAX_BYTES = 32 * 1024 * 1024
 HEAVY_SHARE = 0.002
-SALTS = 64
+MIN_SALTS = 64
 
 
 def measured_small(
@@ -67,16 +67,26 @@ def _names(keys: str | Sequence[str]) -> tuple[str, ...]:
     return (keys,) if isinstance(keys, str) else tuple(keys)
 
 
+def default_salts(spark: SparkSession) -> int:
+    partitions = spark.conf.get(
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum", None
+    ) or spark.conf.get("spark.sql.shuffle.partitions")
+    return max(MIN_SALTS, 2 * int(partitions))
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
     keys: str | Sequence[str],
     how: str = "left",
     profile: KeyProfile | None = None,
-    salts: int = SALTS,
+    salts: int | None = None,
     null_safe: bool = False,
 ) -> DataFrame:
-    """Equi-join with the heavy keys of the left side split over ``salts`` tasks.
+    """Equi-join with the heavy keys of the left side split over ``salts`` parts.
+
+    By default there are two salts per shuffle partition, so that even a key with a third
+    of all rows is spread over the whole cluster.
 
     ``profile`` counts the keys, by default on the left side itself; one made of the base
     table avoids computing a derived left side twice. The right rows of heavy keys, and
@@ -92,6 +102,7 @@ def salted_join(
     for k in names:
         if left_types[k] != right_types[k]:
             raise ValueError(f"{k} is {left_types[k]} on one side, {right_types[k]} on the other")
+    salts = salts or default_salts(left.sparkSession)
     heavy = (profile or KeyProfile(left, names)).heavy(names)
     is_heavy = F.xxhash64(*names).isin(heavy) if heavy else F.lit(False)
     spread = F.pmod(F.xxhash64(F.spark_partition_id(), *left.columns), F.lit(salts)).cast("int")

@@ -39,6 +39,16 @@ def test_profile_finds_the_heavy_keys(spark):
     assert len(profile.heavy(["k", "same"])) >= 2
 
 
+def test_salts_follow_the_shuffle_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert skew.default_salts(spark) == skew.MIN_SALTS
+        spark.conf.set("spark.sql.shuffle.partitions", "20000")
+        assert skew.default_salts(spark) == 40_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_salted_join_spreads_the_heavy_key(spark):
     """Also where the rows of the key come from few partitions."""
     left = skewed(spark).coalesce(2)
