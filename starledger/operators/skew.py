@@ -39,12 +39,12 @@ def measured_small(
 
 
 class KeyProfile:
-    """Heavy keys of a frame, for one or several join keys, counted in one pass when needed.
+    """Heavy keys of a frame, for one or several join keys, found together when first needed.
 
     Keys are told by hash. Frequent-item counting keeps a bounded buffer per task and
-    returns at most ``1 / share`` hashes per key. It can name a key that is not heavy,
-    never miss one that owns more than ``share`` of the rows; joins are exact either way.
-    A missing key is a key like any other here.
+    returns at most ``1 / share`` candidates per key, among them every hash with more than
+    ``share`` of the rows. A second pass counts the candidates, so that only keys that
+    really are heavy are salted. A missing key is a key like any other here.
     """
 
     def __init__(self, df: DataFrame, *keys: str | Sequence[str], share: float = HEAVY_SHARE):
@@ -54,14 +54,30 @@ class KeyProfile:
 
     def heavy(self, key: str | Sequence[str]) -> list[int]:
         if self._found is None:
-            names = [f"_hash_{i}" for i in range(len(self._keys))]
-            hashes = self._df.select(
-                *[F.xxhash64(*key).alias(name) for name, key in zip(names, self._keys)]
-            )
-            items = hashes.stat.freqItems(names, self._share).first()
-            self._found = {k: list(found) for k, found in zip(self._keys, items)}
+            self._found = self._find()
         return self._found[_names(key)]
 
+    def _find(self) -> dict[tuple[str, ...], list[int]]:
+        names = [f"_hash_{i}" for i in range(len(self._keys))]
+        hashes = self._df.select(
+            *[F.xxhash64(*key).alias(name) for name, key in zip(names, self._keys)]
+        )
+        candidates = hashes.stat.freqItems(names, self._share).first()
+        least = max(self._share * self._df.count(), MIN_SALTS)
+        pairs = hashes.select(
+            F.inline(F.array(*[F.struct(F.lit(n).alias("key"), F.col(n).alias("hash")) for n in names]))
+        )
+        candidate = F.lit(False)
+        for name, found in zip(names, candidates):
+            if found:
+                candidate = candidate | ((F.col("key") == name) & F.col("hash").isin(list(found)))
+        # At most 1 / share rows per key.
+        counts = pairs.where(candidate).groupBy("key", "hash").count().where(F.col("count") > least)
+        heavy = [(row["key"], row["hash"]) for row in counts.collect()]
+        return {
+            key: [found for of, found in heavy if of == name] for name, key in zip(names, self._keys)
+        }
+
 
 def _names(keys: str | Sequence[str]) -> tuple[str, ...]:
     return (keys,) if isinstance(keys, str) else tuple(keys)
@@ -102,24 +118,28 @@ def salted_join(
     for k in names:
         if left_types[k] != right_types[k]:
             raise ValueError(f"{k} is {left_types[k]} on one side, {right_types[k]} on the other")
-    salts = salts or default_salts(left.sparkSession)
     heavy = (profile or KeyProfile(left, names)).heavy(names)
-    is_heavy = F.xxhash64(*names).isin(heavy) if heavy else F.lit(False)
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *left.columns), F.lit(salts)).cast("int")
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
     rest = [c for c in right.columns if c not in names]
-    salted_left = left.withColumn("_salt", F.when(is_heavy, spread).otherwise(0))
-    salted_right = right.select(
-        *[F.col(k).alias(f"_right_{k}") for k in names],
-        *rest,
-        F.explode(F.when(is_heavy, every_salt).otherwise(F.array(F.lit(0)))).alias("_right_salt"),
-    )
+    renamed = right.select(*[F.col(k).alias(f"_right_{k}") for k in names], *rest)
 
     def same(k: str) -> Column:
         a, b = F.col(k), F.col(f"_right_{k}")
         return a.eqNullSafe(b) if null_safe else a == b
 
-    condition = reduce(lambda a, k: a & same(k), names, F.col("_salt") == F.col("_right_salt"))
+    condition = reduce(Column.__and__, [same(k) for k in names])
+    if not heavy:
+        return left.join(renamed, condition, how).select(*left.columns, *rest)
+    salts = salts or default_salts(left.sparkSession)
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *left.columns), F.lit(salts)).cast("int")
+    salted_left = left.withColumn(
+        "_salt", F.when(F.xxhash64(*names).isin(heavy), spread).otherwise(0)
+    )
+    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
+    right_heavy = F.xxhash64(*[f"_right_{k}" for k in names]).isin(heavy)
+    salted_right = renamed.withColumn(
+        "_right_salt", F.explode(F.when(right_heavy, every_salt).otherwise(F.array(F.lit(0))))
+    )
+    condition = condition & (F.col("_salt") == F.col("_right_salt"))
     return salted_left.join(salted_right, condition, how).select(*left.columns, *rest)
 
 
