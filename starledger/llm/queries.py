@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from starledger.llm import minhash, quality
+from starledger.llm import minhash, mixing, packing, pii, quality, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file of this machine; another one may be given to the operator."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@register("op1_pii")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.found(table(spark, sf_dir, "documents"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *[count(kind.name) for kind in pii.BASE_KINDS],
+        F.sha2(pii.digest("base"), 256).alias("base_sha256"), pii.digest("spans").alias("spans"),
+    )
+
+
 @register("op4_host_quality_rules")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents")).select(
@@ -36,6 +56,27 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op5_virtual_slot_sharding")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents"), shards=24).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("place").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", F.col("version").alias("map_version"),
+    )
+
+
+@register("op6_mix_min_cost_flow")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", F.col("sources")[0]["source_size"].alias("source_size"),
+        F.col("sources")[0]["target"].alias("target"), "taken", "copies",
+    )
+
+
 @register("op7_superminhash_near_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
+@register("op9_best_fit_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), tokenizer_path())
