@@ -178,7 +178,7 @@ def near_duplicates(
     placed = _placed(_narrow(docs, doc_id, text), words, percent)
     return placed.select(
         "doc_id", "n_shingles", "component_id",
-        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"),
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
     )
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from starledger.llm import minhash, mixing, packing, pii, quality, sharding
+from starledger.llm import embedjoin, minhash, mixing, packing, pii, quality, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,6 +48,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op3_epsilon_grid_join")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedjoin.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @register("op4_host_quality_rules")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents")).select(
