@@ -91,7 +91,20 @@ def hash_runs(
     if not starts:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     start, end, found = (np.concatenate(x) for x in (starts, ends, hashes))
-    return start, end, mix(found + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    return start, end, _finished(found, end - start)
+
+
+def _finished(sums: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    return mix(sums + lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def hash_heads(data: np.ndarray, starts: np.ndarray, width: int, fold: np.ndarray | None = None) -> np.ndarray:
+    """Hash of the first ``width`` bytes of runs that are at least so long, equal to that of a run of these bytes."""
+    values = _RANDOM if fold is None else _RANDOM[fold]
+    total = np.zeros(len(starts), dtype=np.uint64)
+    for k in range(width):
+        total += values[data[starts + k]] * _UP[k]
+    return _finished(total, np.full(len(starts), width))
 
 
 def owners(offsets: np.ndarray, starts: np.ndarray) -> np.ndarray:

@@ -91,3 +91,23 @@ def attach_weighed(left: DataFrame, right: DataFrame, key: str, weight: str) ->
     with_heavy = left.join(F.broadcast(heavy), key).select(names)
     others = left.join(F.broadcast(heavy.select(key)), key, "left_anti")
     return with_heavy.union(others.join(light, key).select(names))
+
+
+def spread_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Inner join of a written ``left`` with ``right``, which has one wide row per key.
+
+    Rows of keys with more than ``HEAVY_SHARE`` of ``left`` are dealt over as many salts as make parts of about
+    a task's share, and only their right rows are repeated, once per salt. Only the heavy keys
+    with their numbers of salts, 1 / ``HEAVY_SHARE`` rows at most, are broadcast.
+    """
+    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    total = left.count()
+    tasks = 2 * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    heavy = counts.where(F.col("rows") > max(total * HEAVY_SHARE, HEAVY_LEAST)).select(
+        key, F.ceil(F.col("rows") / max(total / tasks, HEAVY_LEAST / 2)).cast("int").alias("salts")
+    )
+    heavy = F.broadcast(materialised(heavy, "heavy"))
+    salts = F.coalesce("salts", F.lit(1))
+    dealt = left.join(heavy, key, "left").withColumn("salt", F.pmod(F.xxhash64(*left.columns), salts).cast("int"))
+    repeated = right.join(heavy, key, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    return dealt.drop("salts").join(repeated.drop("salts"), [key, "salt"]).drop("salt")

@@ -14,7 +14,8 @@ so that a pair at the limit is missed with a probability below ``MISS``. Inside
 paired with each other: all are compared with one *leader*, the member that shares most buckets with
 most others (in a group of near copies that is the text they were copied from). Leaders are exact from
 then on and leave; what is left in a bucket is looked at again only while it belongs to
-different components. After ``LEADER_ROUNDS`` the few members left are compared pair by pair across
+different components, and only texts that share enough shingles with any other one left to be linked at all.
+After ``LEADER_ROUNDS`` the few members left are compared pair by pair across
 components, so no link that could join two components goes untested. Every link is confirmed
 on the full sets.
 
@@ -30,15 +31,15 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from starledger.llm.arrowtext import LOWER, WORD_BYTES, hash_runs, mix, owners, slices, windows, with_text_columns
-from starledger.llm.components import attach_weighed, components
+from starledger.llm.components import attach_weighed, components, spread_join
 from starledger.session import materialised
 
 ROWS = 5
 MISS = 1e-6
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 2
 #: Elements that take their steps together; bounds the permutations held at once.
 BLOCK = 1 << 16
 _FRACTION = 24
@@ -274,16 +275,20 @@ def _sets(docs: DataFrame, classes: DataFrame, members: DataFrame, words: int) -
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     common = F.size(F.array_intersect("set_a", "set_b"))
     union = F.size("set_a") + F.size("set_b") - common
+    pairs = materialised(pairs, "candidates")
+    # b is a leader and may have a large part of the pairs; a has few leaders.
+    with_b = spread_join(pairs, sets.select(F.col("cls").alias("b"), F.col("elements").alias("set_b")), "b")
     return (
-        pairs.join(sets.select(F.col("cls").alias("b"), F.col("elements").alias("set_b")), "b")
-        .join(sets.select(F.col("cls").alias("a"), F.col("elements").alias("set_a")), "a")
+        with_b.join(sets.select(F.col("cls").alias("a"), F.col("elements").alias("set_a")), "a")
         .where(100 * common >= percent * union)
         .select("a", "b")
     )
 
 
-def _near_sizes(a: str, b: str, percent: int):
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+def _possible(n_a: str, n_b: str, shared_a: str, shared_b: str, percent: int) -> Column:
+    """Whether two sets can reach the similarity, by their sizes and what each shares with any other."""
+    most = F.least(n_a, n_b, shared_a, shared_b)
+    return (100 + percent) * most >= percent * (F.col(n_a) + F.col(n_b))
 
 
 def _links(docs, classes, members, words: int, percent: int) -> DataFrame | None:
@@ -291,25 +296,46 @@ def _links(docs, classes, members, words: int, percent: int) -> DataFrame | None
     if members.isEmpty():
         return None
     sets = _sets(docs, classes, members, words)
+    members = members.withColumn("shared", F.col("n"))
     links = None
-    for _ in range(LEADER_ROUNDS):
-        leaders = members.groupBy("key").agg(F.max(F.struct("central", "cls", "n")).alias("top")).select(
-            "key", F.col("top.cls").alias("b"), F.col("top.n").alias("size_b")
+    for number in range(LEADER_ROUNDS):
+        leaders = members.groupBy("key").agg(F.max(F.struct("central", "cls", "n", "shared")).alias("top")).select(
+            "key", F.col("top.cls").alias("b"), F.col("top.n").alias("n_b"), F.col("top.shared").alias("shared_b")
         )
         led = members.join(leaders, "key").where("cls != b")
-        pairs = led.where(_near_sizes("n", "size_b", percent)).select(F.col("cls").alias("a"), "b").distinct()
-        found = materialised(_confirmed(pairs, sets, percent), "links")
+        pairs = led.where(_possible("n", "n_b", "shared", "shared_b", percent))
+        found = materialised(_confirmed(pairs.select(F.col("cls").alias("a"), "b").distinct(), sets, percent), "links")
         links = found if links is None else links.union(found)
-        members = _undecided(led.select("key", "cls", "n", "central"), links)
+        members = _undecided(led.select("key", "cls", "n", "central", "shared"), links)
+        if number == 0 and not members.isEmpty():
+            members = _undecided(_with_shared(members, sets, percent), links)
         if members.isEmpty():
             return links
-    left = members.select("key", F.col("cls").alias("a"), F.col("n").alias("size_a"), F.col("component").alias("of_a"))
-    right = members.select("key", F.col("cls").alias("b"), F.col("n").alias("size_b"), F.col("component").alias("of_b"))
-    apart = (left["key"] == right["key"]) & (F.col("of_a") < F.col("of_b")) & _near_sizes("size_a", "size_b", percent)
-    pairs = left.join(right, apart).select("a", "b").distinct()
+    names = {"cls": "a", "n": "n_a", "shared": "shared_a", "component": "of_a"}
+    left = members.select("key", *[F.col(k).alias(v) for k, v in names.items()])
+    right = members.select("key", *[F.col(k).alias(v[:-1] + "b") for k, v in names.items()])
+    apart = (left["key"] == right["key"]) & (F.col("of_a") < F.col("of_b"))
+    pairs = left.join(right, apart & _possible("n_a", "n_b", "shared_a", "shared_b", percent)).select("a", "b").distinct()
     return links.union(materialised(_confirmed(pairs, sets, percent), "links"))
 
 
+def _with_shared(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``members`` with how many of its shingles any other undecided class has, without those that have too few.
+
+    A shingle of one class only cannot be in an intersection, so a text with many changes of its own
+    is out of reach of all others, however large the group of copies around it is.
+    """
+    tag = F.xxhash64("cls")
+    open_ = sets.join(members.select("cls").distinct(), "cls").select(tag.alias("tag"), F.explode("elements").alias("e"))
+    single = open_.groupBy("e").agg(F.count(F.lit(1)).alias("classes"), F.min("tag").alias("tag")).where("classes = 1")
+    single = materialised(single.groupBy("tag").agg(F.count(F.lit(1)).cast("int").alias("alone")), "alone")
+    known = members.drop("shared").withColumn("tag", tag).join(single, "tag", "left").drop("tag")
+    known = known.withColumn("shared", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone")
+    least = known.groupBy("key").agg(F.min("n").alias("least"))
+    enough = (100 + percent) * F.col("shared") >= percent * (F.col("n") + F.col("least"))
+    return known.join(least, "key").where(enough).drop("least")
+
+
 def _undecided(members: DataFrame, links: DataFrame) -> DataFrame:
     """The members of the buckets that still hold more than one component."""
     named = members.drop("component").join(components(links).withColumnRenamed("node", "cls"), "cls", "left")

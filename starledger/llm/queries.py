@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from starledger.llm import embedjoin, minhash, mixing, packing, pii, quality, sharding
+from starledger.llm import (
+    embedjoin, langid, minhash, mixing, packing, pii, quality, secretscan, sharding, toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,6 +50,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op2_bigru_language")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identified(table(spark, sf_dir, "documents"))
+
+
 @register("op3_epsilon_grid_join")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedjoin.near_vectors(table(spark, sf_dir, "embeddings"))
@@ -82,6 +89,24 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+@register("op8_toxicity_trees")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @register("op9_best_fit_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@register("op10_markov_secrets")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secretscan.found(table(spark, sf_dir, "documents"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *[count(kind) for kind in secretscan.KINDS],
+        F.sha2(secretscan.digest("base"), 256).alias("base_sha256"), secretscan.digest("spans").alias("spans"),
+    )
