@@ -35,6 +35,7 @@ SYMBOLS = b"#*$%&|<>"
 SYMBOLS_PER_WORD = 0.25
 CAPITALS_SHARE = 0.4
 DUPLICATE_LINES_SHARE = 0.5
+STUTTERS_SHARE = 0.5
 #: Limits of the shrunk failure rate of a host.
 TRUSTED_BELOW = 0.02
 REJECTED_FROM = 0.6
@@ -42,6 +43,7 @@ REJECTED_FROM = 0.6
 COUNTS = {
     "n_words": "long", "word_chars": "long", "n_symbols": "long", "n_lines": "long",
     "n_dup_lines": "long", "n_repeat_words": "long", "n_capitals": "long",
+    "n_stutters": "long",
 }
 
 _BYTES = np.arange(256)
@@ -100,6 +102,7 @@ def count_texts(texts: pa.Array) -> dict[str, pa.Array]:
             "n_dup_lines": again,
             "n_repeat_words": _repeated_words(hashes, owner, n),
             "n_capitals": _per_text(_CAPITAL[data], offsets),
+            "n_stutters": np.bincount(owner[1:][(hashes[1:] == hashes[:-1]) & (owner[1:] == owner[:-1])], minlength=n),
         }
         for name, values in found.items():
             parts[name].append(np.asarray(values, dtype=np.int64))
@@ -116,6 +119,7 @@ def _soft_failures() -> Column:
         F.col("n_symbols") > SYMBOLS_PER_WORD * F.col("n_words"),
         F.col("n_capitals") > CAPITALS_SHARE * F.col("word_chars"),
         F.col("n_dup_lines") > DUPLICATE_LINES_SHARE * F.col("n_lines"),
+        F.col("n_stutters") > STUTTERS_SHARE * F.col("n_words"),
     ]
     return sum((r.cast("int") for r in rules), F.lit(0))
 
