@@ -12,12 +12,11 @@ any of its positions, which for a long text is after one or two.
 Bands of ``ROWS`` positions make buckets; the number of bands follows from the similarity asked for,
 so that a pair at the limit is missed with a probability below ``MISS``. Inside a bucket members are not
 paired with each other: all are compared with one *leader*, the member that shares most buckets with
-most others (in a group of near copies that is the text they were copied from). Leaders are exact from
-then on and leave; what is left in a bucket is looked at again only while it belongs to
-different components, and only texts that share enough shingles with any other one left to be linked at all.
-After ``LEADER_ROUNDS`` the few members left are compared pair by pair across
-components, so no link that could join two components goes untested. Every link is confirmed
-on the full sets.
+most others (in a group of near copies that is the text they were copied from). A bucket is looked at again
+only while it holds different components, and only those of its texts that share enough shingles
+with any other one left to be linked at all. What is left is compared inside tasks, block by block and across
+components only; a task reports one link per text and component. So no link that could join two
+components goes untested, pairs are never listed, and every link is confirmed on the full sets.
 
 Defined cases: null and empty texts have no shingles and are linked with nothing; a text of fewer
 words than a shingle is one shingle; repeated rows and equal texts share a component whatever their
@@ -39,7 +38,9 @@ from starledger.session import materialised
 
 ROWS = 5
 MISS = 1e-6
-LEADER_ROUNDS = 2
+#: Shingles of the sets that a task compares with as many others, and what a set counts besides its shingles.
+BLOCK_SHINGLES = 400_000
+MEMBER_WEIGHT = 64
 #: Elements that take their steps together; bounds the permutations held at once.
 BLOCK = 1 << 16
 _FRACTION = 24
@@ -191,7 +192,8 @@ def keep_one(
     It is a row with the smallest id; rows without words all stay.
     """
     placed = _placed(_narrow(docs, doc_id, text), words, percent)
-    kept = placed.where("n_shingles > 0").groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("one"))
+    named = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    kept = placed.where("n_shingles > 0").groupBy("component").agg(F.min(named).alias("one"))
     kept = kept.select(F.col("one.doc_id").alias("_kept_id"), F.col("one.text_hash").alias("_kept_hash"))
     keyed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
@@ -285,38 +287,79 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _possible(n_a: str, n_b: str, shared_a: str, shared_b: str, percent: int) -> Column:
-    """Whether two sets can reach the similarity, by their sizes and what each shares with any other."""
-    most = F.least(n_a, n_b, shared_a, shared_b)
-    return (100 + percent) * most >= percent * (F.col(n_a) + F.col(n_b))
-
-
 def _links(docs, classes, members, words: int, percent: int) -> DataFrame | None:
     """Confirmed links that connect the same classes as all links do."""
     if members.isEmpty():
         return None
     sets = _sets(docs, classes, members, words)
-    members = members.withColumn("shared", F.col("n"))
-    links = None
-    for number in range(LEADER_ROUNDS):
-        leaders = members.groupBy("key").agg(F.max(F.struct("central", "cls", "n", "shared")).alias("top")).select(
-            "key", F.col("top.cls").alias("b"), F.col("top.n").alias("n_b"), F.col("top.shared").alias("shared_b")
-        )
-        led = members.join(leaders, "key").where("cls != b")
-        pairs = led.where(_possible("n", "n_b", "shared", "shared_b", percent))
-        found = materialised(_confirmed(pairs.select(F.col("cls").alias("a"), "b").distinct(), sets, percent), "links")
-        links = found if links is None else links.union(found)
-        members = _undecided(led.select("key", "cls", "n", "central", "shared"), links)
-        if number == 0 and not members.isEmpty():
-            members = _undecided(_with_shared(members, sets, percent), links)
-        if members.isEmpty():
-            return links
-    names = {"cls": "a", "n": "n_a", "shared": "shared_a", "component": "of_a"}
-    left = members.select("key", *[F.col(k).alias(v) for k, v in names.items()])
-    right = members.select("key", *[F.col(k).alias(v[:-1] + "b") for k, v in names.items()])
-    apart = (left["key"] == right["key"]) & (F.col("of_a") < F.col("of_b"))
-    pairs = left.join(right, apart & _possible("n_a", "n_b", "shared_a", "shared_b", percent)).select("a", "b").distinct()
-    return links.union(materialised(_confirmed(pairs, sets, percent), "links"))
+    leaders = members.groupBy("key").agg(F.max(F.struct("central", "cls", "n")).alias("top")).select(
+        "key", F.col("top.cls").alias("b"), F.col("top.n").alias("n_b")
+    )
+    led = members.join(leaders, "key").where("cls != b")
+    near = led.where(100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b"))
+    links = materialised(_confirmed(near.select(F.col("cls").alias("a"), "b").distinct(), sets, percent), "links")
+    named = led.select("key", "cls", "n").join(components(links).withColumnRenamed("node", "cls"), "cls", "left")
+    open_ = _undecided(materialised(named.withColumn("component", F.coalesce("component", "cls")), "led"))
+    if open_.isEmpty():
+        return links
+    open_ = _undecided(materialised(_with_shared(open_, sets, percent), "possible"))
+    return links.union(materialised(_compared(open_, sets, percent), "links"))
+
+
+def _compared(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between members of a bucket that belong to different components, at least one for each two components.
+
+    A bucket is cut by hash into blocks of about ``BLOCK_SHINGLES``; a task compares two blocks in memory.
+    """
+    weight = F.col("n") + MEMBER_WEIGHT
+    blocks = members.groupBy("key").agg(F.ceil(F.sum(weight) / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    dealt = members.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select(
+        "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+        "block", "cls", "component",
+    )
+
+    def kernel(table: pa.Table) -> pa.Table:
+        return _cross_links(table.combine_chunks(), percent)
+
+    sent = dealt.join(sets, "cls").select("key", "low", "high", "block", "cls", "component", "elements")
+    return sent.groupBy("key", "low", "high").applyInArrow(kernel, "a binary, b binary").distinct()
+
+
+def _cross_links(table: pa.Table, percent: int) -> pa.Table:
+    """Links across components within a table of sets; of two blocks, only from the first to the second."""
+    n = table.num_rows
+    names = table.column("cls").to_pylist()
+    _, component = np.unique(np.array(table.column("component").to_pylist(), dtype=object), return_inverse=True)
+    block = table.column("block").to_numpy()
+    lists = table.column("elements").combine_chunks()
+    sizes = np.asarray(lists.value_lengths(), dtype=np.int64)
+    _, words = np.unique(np.asarray(lists.flatten()), return_inverse=True)
+    begin = np.concatenate([[0], np.cumsum(sizes)])
+    holder = np.repeat(np.arange(n), sizes)
+    by_word = np.argsort(words, kind="stable")
+    held = holder[by_word]
+    first = np.concatenate([[0], np.cumsum(np.bincount(words))])
+    # The largest component need not be compared with itself.
+    outer = np.flatnonzero(component != np.bincount(component).argmax())
+    two = block.min() != block.max()
+    out_a, out_b = [], []
+    for u in outer:
+        own = words[begin[u] : begin[u + 1]]
+        low, count = first[own], first[own + 1] - first[own]
+        at = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
+        common = np.bincount(held[at], minlength=n)
+        linked = (100 + percent) * common >= percent * (sizes[u] + sizes)
+        linked &= component != component[u]
+        if two:
+            linked &= block != block[u]
+        rows = np.flatnonzero(linked)
+        # One link to each component is enough.
+        for v in rows[np.unique(component[rows], return_index=True)[1]]:
+            out_a.append(names[u])
+            out_b.append(names[v])
+    return pa.table({"a": pa.array(out_a, pa.binary()), "b": pa.array(out_b, pa.binary())})
 
 
 def _with_shared(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -329,16 +372,14 @@ def _with_shared(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     open_ = sets.join(members.select("cls").distinct(), "cls").select(tag.alias("tag"), F.explode("elements").alias("e"))
     single = open_.groupBy("e").agg(F.count(F.lit(1)).alias("classes"), F.min("tag").alias("tag")).where("classes = 1")
     single = materialised(single.groupBy("tag").agg(F.count(F.lit(1)).cast("int").alias("alone")), "alone")
-    known = members.drop("shared").withColumn("tag", tag).join(single, "tag", "left").drop("tag")
+    known = members.withColumn("tag", tag).join(single, "tag", "left").drop("tag")
     known = known.withColumn("shared", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone")
     least = known.groupBy("key").agg(F.min("n").alias("least"))
     enough = (100 + percent) * F.col("shared") >= percent * (F.col("n") + F.col("least"))
     return known.join(least, "key").where(enough).drop("least")
 
 
-def _undecided(members: DataFrame, links: DataFrame) -> DataFrame:
-    """The members of the buckets that still hold more than one component."""
-    named = members.drop("component").join(components(links).withColumnRenamed("node", "cls"), "cls", "left")
-    named = materialised(named.withColumn("component", F.coalesce("component", "cls")), "led")
-    open_ = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return materialised(named.join(open_.where("low != high").select("key"), "key"), "open")
+def _undecided(members: DataFrame) -> DataFrame:
+    """The members of the buckets that hold more than one component."""
+    open_ = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return materialised(members.join(open_.where("low != high").select("key"), "key"), "open")
