@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starledger.bindings import cleaning, pipelines, relations, reports, transfer  # noqa: F401
+from starledger.bindings import cleaning, pipelines, relations, reports, transfer, warehouse  # noqa: F401
 from starledger.bindings.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

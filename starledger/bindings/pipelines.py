@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from starledger.bindings.cleaning import (
     CARDS, EVENTS, MAPPING, PRODUCTS, RATES, RUN_TS, STORES, USERS,
-    class_of, kilograms, number, parsed_date,
+    kilograms, number, parsed_date,
 )
 from starledger.bindings.registry import register
 from starledger.bindings.tables import raw, raw_all, raw_sql, table
@@ -33,7 +33,8 @@ def key_dense_query(spark, sf_dir):
     WHERE o_orderstatus <> 'F'""")
 def key_ordinal_query(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
-    keyed = key_ordinal(orders, ["o_orderdate", "o_orderkey"], "order_key", F.col("o_orderstatus") != "F")
+    rules = {"status": F.col("o_orderstatus") != "F"}
+    keyed = key_ordinal(orders, ["o_orderdate", "o_orderkey"], "order_key", rules)
     return keyed.select("o_orderkey", "order_key")
 
 
@@ -119,7 +120,7 @@ def clean_date_times(spark, sf_dir):
 @register("clean_products", f"""
     SELECT position + 1 AS product_key, ean, product_name,
         CAST(replace(product_price, '£', '') AS DOUBLE) AS product_price, kg AS weight,
-        {class_of('kg')} AS weight_class, category,
+        CAST(NULL AS VARCHAR) AS weight_class, category,
         CAST(try_strptime(date_added, '%Y-%m-%d') AS DATE) AS date_added, uuid,
         removed AS availability, product_code
     FROM (SELECT *, {kilograms('weight')} AS kg FROM ({PRODUCTS}))

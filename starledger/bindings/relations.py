@@ -315,8 +315,9 @@ def cte_chain(spark, sf_dir):
 
 
 @register("share_of_count", """
-    SELECT o_orderstatus, count(*) AS sales, CAST((count(*) * 20000 + sum(count(*)) OVER ())
-        // (2 * sum(count(*)) OVER ()) AS DOUBLE) / 100 AS share FROM orders GROUP BY o_orderstatus""")
+    SELECT o_orderstatus, count(*) AS sales, CAST(round(CAST(count(*) * 100 AS DECIMAL(20, 0))
+        / CAST(sum(count(*)) OVER () AS DECIMAL(20, 0)), 2) AS DOUBLE) AS share
+    FROM orders GROUP BY o_orderstatus""")
 def share_of_count(spark, sf_dir):
     groups = table(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("sales"))
     whole = F.sum("sales").over(Window.partitionBy())

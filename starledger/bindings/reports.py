@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from functools import partial
+
+from pyspark.sql import functions as F
 
 from starledger.bindings.registry import register
 from starledger.bindings.tables import star, star_ctes
 from starledger.plans.questions import QUESTIONS, sale_gaps
+from starledger.plans.star import Star
 from starledger.plans.views import VIEWS
 from starledger.sources.sinks import create_views
 
@@ -26,14 +31,14 @@ SQL = {
     "q4_online_vs_offline": star_ctes("orders") + """
         SELECT count(*) AS number_of_sales,
             CAST(sum(product_quantity) AS BIGINT) AS product_quantity_count,
-            CAST((count(*) * 20000 + sum(count(*)) OVER ()) // (2 * sum(count(*)) OVER ())
-                AS DOUBLE) / 100 AS percentage_total,
+            CAST(round(CAST(count(*) * 100 AS DECIMAL(20, 0)) / CAST(sum(count(*)) OVER () AS DECIMAL(20, 0)), 2)
+                AS DOUBLE) AS percentage_total,
             CASE WHEN store_code = 'WEB-1388012W' THEN 'Web' ELSE 'Offline' END AS location
         FROM orders_table GROUP BY location""",
     "q5_sales_by_store_type": star_ctes("orders", "product", "store") + f"""
         SELECT s.store_type, CAST(round(sum({SALE}), 2) AS DOUBLE) AS total_sales,
-            CAST((count(*) * 20000 + (SELECT count(*) FROM orders_table))
-                // (2 * (SELECT count(*) FROM orders_table)) AS DOUBLE) / 100 AS percentage_total,
+            CAST(round(CAST(count(*) * 100 AS DECIMAL(20, 0))
+                / CAST((SELECT count(*) FROM orders_table) AS DECIMAL(20, 0)), 2) AS DOUBLE) AS percentage_total,
             count(*) AS count, (SELECT count(*) FROM orders_table) AS total_orders
         FROM orders_table o LEFT JOIN dim_product p ON o.product_code = p.product_code
             LEFT JOIN dim_store_details s ON o.store_code = s.store_code
@@ -120,8 +125,50 @@ register("avg_interval", GAPS + " SELECT year, mean_gap FROM means")(_bind(sale_
     FROM dim_store_details WHERE country_code IN ('GB', 'DE', 'US') GROUP BY 1""")
 def create_view(spark, sf_dir):
     bound = star(spark, sf_dir)
-    create_views({"store_view": VIEWS["store_view"](bound)})
+    create_views({"store_view": lambda: VIEWS["store_view"](bound)})
     return spark.sql(
         """SELECT country_name, count(*) AS stores, sum(number_of_staff) AS staff
            FROM store_view GROUP BY country_name"""
     )
+
+
+_SALES = f"CAST(round(sum({SALE}), 2) AS DOUBLE)"
+
+
+@register("create_views_all", star_ctes("orders", "product", "date_times", "store", "users") + f"""
+    SELECT 'customer_sales_ranked_view' AS view_name, count(*) AS rows, {_SALES} AS total
+    FROM {BY_KEYS} {DATES} JOIN orders b ON b.o_orderkey + 1 = o.date_key
+        JOIN dim_users u ON u.user_key = b.o_custkey + 1
+    UNION ALL SELECT 'store_sales_breakdown_germany',
+        count(DISTINCT (s.store_type, s.city, s.store_address, d.day, d.month, d.year)), {_SALES}
+    FROM {BY_KEYS} {DATES} JOIN dim_store_details s ON s.store_key = o.store_key WHERE s.country_code = 'DE'
+    UNION ALL SELECT 'store_sales_breakdown', count(DISTINCT (s.store_type, p.product_price, o.product_quantity,
+        s.city, s.region, d.day, d.month, d.year, d.time_period)), {_SALES}
+    FROM {BY_KEYS} {DATES} JOIN dim_store_details s ON s.store_key = o.store_key
+    UNION ALL SELECT 'store_view', count(*), CAST(sum(number_of_staff) AS DOUBLE)
+    FROM dim_store_details WHERE country_code IN ('GB', 'DE', 'US')""")
+def create_views_all(spark, sf_dir):
+    """All four views, created without hints and read by name: rows and sum of each."""
+    bound = star(spark, sf_dir, users=True)
+    create_views({name: partial(plan, bound) for name, plan in VIEWS.items()})
+    amount = {"customer_sales_ranked_view": "sales", "store_view": "number_of_staff"}
+
+    def summed(name):
+        exact = f"CAST({amount.get(name, 'total_sales')} AS DECIMAL(18, 2))"
+        return f"SELECT '{name}' AS view_name, count(*) AS rows, CAST(sum({exact}) AS DOUBLE) AS total FROM {name}"
+
+    return spark.sql(" UNION ALL ".join(summed(name) for name in VIEWS))
+
+
+IMPOSSIBLE = re.sub(r"dim_date_times AS \(", "all_dates AS (", GAPS).replace(
+    "instants AS (", "dim_date_times AS (SELECT * FROM all_dates WHERE date_key % 7 <> 3),\n    instants AS ("
+)
+
+
+@register("q9_impossible_dates", IMPOSSIBLE + " SELECT year, mean_gap FROM means")
+def q9_impossible_dates(spark, sf_dir):
+    """Every seventh sale has a 31 February, which the cleaning keeps with its year and without a date."""
+    dates = star(spark, sf_dir).date_times
+    odd = F.col("date_key") % 7 == 3
+    dates = dates.withColumns({"month": F.when(odd, 2).otherwise(F.col("month")), "day": F.when(odd, 31).otherwise(F.col("day"))})
+    return sale_gaps(Star(orders=None, date_times=dates))

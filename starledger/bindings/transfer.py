@@ -41,6 +41,65 @@ def src_csv(spark, sf_dir):
     return files.read_csv(spark, path, schema)
 
 
+def _note(spark: bool) -> str:
+    """Text with quotes, commas, backslashes and line breaks."""
+    line_break = "char(10)" if spark else "chr(10)"
+    backslash = "char(92)" if spark else "chr(92)"
+    return (
+        f"CASE o_orderkey % 4 WHEN 0 THEN 'say \"' || o_orderpriority || '\", ok' "
+        f"WHEN 1 THEN o_orderpriority || ',' || {line_break} || '\"second line\"' "
+        f"WHEN 2 THEN {backslash} || o_orderstatus || {backslash} ELSE '\"' END"
+    )
+
+
+@register("src_csv_quoted", f"SELECT o_orderkey, {_note(False)} AS note, o_custkey FROM orders")
+def src_csv_quoted(spark, sf_dir):
+    path = scratch_path(spark, "csv-quoted")
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey", f"{_note(True)} AS note", "o_custkey")
+    sinks.export_csv(orders, path, orders.columns)
+    return files.read_csv(spark, path, "o_orderkey long, note string, o_custkey long", multiline=True)
+
+
+@register("export_csv_indexed", """
+    SELECT row_number() OVER (ORDER BY p_name, p_partkey) - 1 AS row_index, p_partkey AS product, p_name AS name
+    FROM part""")
+def export_csv_indexed(spark, sf_dir):
+    path = scratch_path(spark, "export-indexed")
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    sinks.export_csv(parts, path, ["product", "name"], "row_index", ["p_name", "p_partkey"])
+    return files.read_csv(spark, path, "row_index long, product long, name string")
+
+
+@register("src_json_records", f"""
+    SELECT event_id, n % {RECORDS} AS row_id, event_type, CASE WHEN event_id % 3 > 0 THEN props END AS props
+    FROM {numbered_sql("events", "event_id")}""")
+def src_json_records(spark, sf_dir):
+    """Documents that are arrays of records; a record without the field has no value there."""
+    record = F.struct(
+        "n", F.col("event_id").cast("string").alias("event_id"), "event_type",
+        F.when(F.col("event_id") % 3 > 0, F.col("props")).alias("props"),
+    )
+    records = F.transform(F.sort_array(F.collect_list(record)), lambda r: r.dropFields("n"))
+    documents = numbered(spark, sf_dir, "events", "event_id").groupBy(F.floor(F.col("n") / RECORDS)).agg(
+        F.to_json(records).alias("value")
+    )
+    path = scratch_path(spark, "json-records")
+    documents.select("value").write.text(path)
+    rows = files.read_json_columnar(spark, path, ["event_id", "event_type", "props"], one_per_line=True)
+    return rows.select(F.col("event_id").cast("long").alias("event_id"), "row_id", "event_type", "props")
+
+
+@register("src_json_columnar_repeated", """
+    SELECT CAST(r AS BIGINT) AS row_id, CASE r WHEN 0 THEN o_orderpriority ELSE o_orderstatus END AS word
+    FROM orders, (SELECT unnest([0, 1]) AS r)""")
+def src_json_columnar_repeated(spark, sf_dir):
+    """One small document per order; many of them are the same text."""
+    word = F.create_map(F.lit("0"), "o_orderpriority", F.lit("1"), "o_orderstatus")
+    path = scratch_path(spark, "json-repeated")
+    table(spark, sf_dir, "orders").select(F.to_json(F.struct(word.alias("word"))).alias("value")).write.text(path)
+    return files.read_json_columnar(spark, path, ["word"], one_per_line=True).select("row_id", "word")
+
+
 @register("src_json_keyed", f"""
     SELECT n AS row_no, c_name, c_mktsegment, CAST(row_number() OVER (
         PARTITION BY n // {RECORDS} ORDER BY CAST(n AS VARCHAR)) - 1 AS INT) AS position

@@ -67,5 +67,6 @@ def make_full_date(year: Column, month: Column, day: Column) -> Column:
 
 
 def sale_instant(day: Column, time_of_day: Column) -> Column:
-    """Zone-free timestamp of a date and an 'HH:mm:ss' text."""
-    return F.concat_ws(" ", day.cast("string"), time_of_day).try_cast("timestamp_ntz")
+    """Zone-free timestamp of a date and an 'HH:mm:ss' text; NULL without a date."""
+    text = F.concat_ws(" ", day.cast("string"), time_of_day)
+    return F.when(day.isNotNull(), text.try_cast("timestamp_ntz"))

@@ -65,6 +65,31 @@ def lookup_scalar(
     )
 
 
+def resolve_store(fact: DataFrame, store: DataFrame, profile: KeyProfile | None = None) -> DataFrame:
+    """``store_key`` and ``country_code`` of every sale by its store code, in one join.
+
+    As ``resolve_fk`` and ``lookup_scalar`` would set them: unmatched sales keep their key and lose
+    their country, and two stores with a code that a sale uses fail the job.
+    """
+    code = "store_code"
+    lookup = (
+        store.where(F.col(code).isNotNull())
+        .groupBy(code)
+        .agg(
+            F.min("store_key").alias("_key"), F.min("country_code").alias("_country"),
+            F.count(F.lit(1)).alias("_matches"),
+        )
+    )
+    ambiguous = F.raise_error(F.concat(F.lit(f"more than one store for {code} "), F.col(code).cast("string")))
+    joined = attach(fact, lookup, code, "left", profile, bound=store.select(code, "store_key", "country_code"))
+    return joined.withColumns(
+        {
+            "store_key": F.when(F.col("_matches") > 1, ambiguous).otherwise(F.coalesce("_key", "store_key")),
+            "country_code": F.col("_country"),
+        }
+    ).select(*fact.columns)
+
+
 def link_currency_rate(currency: DataFrame, conversion: DataFrame) -> DataFrame:
     """Rate key of every currency by its code; currencies without a rate keep theirs."""
     return resolve_fk(currency, conversion, "currency_code", "currency_conversion_key")
@@ -99,6 +124,8 @@ def merge_frames(how: str, first: DataFrame, second: DataFrame) -> DataFrame:
         same = reduce(
             lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_first_{c}")) for c in common]
         )
-        unmatched = second.join(known, same, "left_anti")
+        # One row per key on both sides of the anti join; the rows of a key follow by a salted join.
+        lone = second.select(*common).distinct().join(known, same, "left_anti")
+        unmatched = salted_join(second, lone, common, "inner", null_safe=True)
         return matched.unionByName(unmatched, allowMissingColumns=True)
     raise ValueError(f"merge_frames does not do {how!r}")

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starledger.session import materialised
 
+#: Sees the rows before some are dropped, and the rules by name; returns the rows.
+Watch = Callable[[DataFrame, Mapping[str, Column]], DataFrame]
+
 # monotonically_increasing_id keeps the partition number above this many row bits.
 _ROW_BITS = 33
 
@@ -18,15 +22,17 @@ def number_rows(df: DataFrame, order_by: Sequence[str], key: str) -> DataFrame:
     One range shuffle sorts the rows; the per-partition counts are the only global state
     (one row per partition). The sorted rows are written out because the count and the
     numbering must see the same partitions, also after a lost executor. Rows that tie on
-    ``order_by`` are told apart by a hash, which also spreads a large group of ties.
+    ``order_by`` are told apart by a hash of their content, so they get the same numbers
+    whatever the layout of the files; only exact copies are told apart by where they lie,
+    which spreads a large group of them.
     """
-    tie = F.xxhash64(F.spark_partition_id(), *df.columns)
-    ordered = [*order_by, "_tie"]
+    ordered = [*order_by, "_tie", "_copy"]
     placed = materialised(
-        df.withColumn("_tie", tie)
+        df.withColumn("_tie", F.xxhash64(*df.columns))
+        .withColumn("_copy", F.spark_partition_id())
         .repartitionByRange(*ordered)
         .sortWithinPartitions(*ordered)
-        .drop("_tie")
+        .drop("_tie", "_copy")
         .withColumn("_at", F.monotonically_increasing_id()),
         "numbered",
     )
@@ -48,34 +54,62 @@ def number_rows(df: DataFrame, order_by: Sequence[str], key: str) -> DataFrame:
     )
 
 
+def all_hold(rules: Mapping[str, Column]) -> Column:
+    return reduce(Column.__and__, [F.coalesce(rule, F.lit(False)) for rule in rules.values()], F.lit(True))
+
+
+def _flagged(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, dict[str, Column]]:
+    """``df`` with one flag per rule, and the rules in terms of the flags."""
+    flags = {name: f"_rule_{i}" for i, name in enumerate(rules)}
+    marked = df.withColumns({flags[n]: F.coalesce(rule, F.lit(False)) for n, rule in rules.items()}) if rules else df
+    return marked, {n: F.col(flag) for n, flag in flags.items()}
+
+
 def key_dense(
-    df: DataFrame, order_by: Sequence[str], key: str, keep: Column | None = None
+    df: DataFrame,
+    order_by: Sequence[str],
+    key: str,
+    rules: Mapping[str, Column] | None = None,
+    watch: Watch | None = None,
 ) -> DataFrame:
-    """Keys 1..n in source order over the rows that ``keep`` leaves, replacing ``key`` if present.
+    """Keys 1..n in source order over the rows that all ``rules`` leave, replacing ``key`` if present.
 
-    Rows to drop are sorted behind the others and dropped once the keys are written.
-    Filtering before would make Spark compute a cleaned column twice, in the filter and
-    in the rows that pass it.
+    Where rows are dropped the cleaned rows are written first, so that each is cleaned once, and only
+    those that stay are sorted. ``watch`` is given the rows before they are dropped, and the rules.
     """
     source = f"_source_{key}"
     order = [source if c == key else c for c in order_by]
     df = df.withColumnRenamed(key, source) if key in order_by else df.drop(key)
-    if keep is None:
+    if not rules:
         return number_rows(df, order, key).drop(source)
-    marked = df.withColumn("_dropped", ~F.coalesce(keep, F.lit(False)))
-    numbered = number_rows(marked, ["_dropped", *order], key)
-    return numbered.where(~F.col("_dropped")).drop("_dropped", source)
+    marked, flags = _flagged(df, rules)
+    if watch:
+        marked = watch(marked, flags)
+    written = materialised(marked, "cleaned")
+    kept = written.where(all_hold(flags)).drop(*[f"_rule_{i}" for i in range(len(flags))])
+    return number_rows(kept, order, key).drop(source)
 
 
 def key_ordinal(
-    df: DataFrame, order_by: Sequence[str], key: str, keep: Column, dense: bool = False
+    df: DataFrame,
+    order_by: Sequence[str],
+    key: str,
+    rules: Mapping[str, Column],
+    dense: bool = False,
+    watch: Watch | None = None,
 ) -> DataFrame:
-    """Key = source row position, assigned before ``keep`` drops rows, so keys have gaps.
+    """Key = source row position, assigned before ``rules`` drop rows, so keys have gaps.
 
     ``dense`` states that the one ``order_by`` column already counts rows 0, 1, 2, ...;
-    the key is then read off it and nothing is shuffled.
+    the key is then read off it and nothing is shuffled. ``watch`` is given the rows before they
+    are dropped, and the rules.
     """
     if dense:
         (position,) = order_by
-        return df.where(keep).withColumn(key, F.col(position).cast("long") + 1)
-    return number_rows(df, order_by, key).where(keep)
+        keyed, flags = df.withColumn(key, F.col(position).cast("long") + 1), dict(rules)
+    else:
+        marked, flags = _flagged(df, rules)
+        keyed = number_rows(marked, order_by, key)
+    if watch:
+        keyed = watch(keyed, flags)
+    return keyed.where(all_hold(flags)).select(*[c for c in df.columns if c != key], key)

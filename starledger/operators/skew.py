@@ -7,8 +7,11 @@ spread over several salts. Milder skew is left to the adaptive skew join.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import reduce
+from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -18,6 +21,10 @@ BROADCAST_MAX_ROWS = 200_000
 BROADCAST_MAX_BYTES = 32 * 1024 * 1024
 HEAVY_SHARE = 0.002
 MIN_SALTS = 64
+MIN_HEAVY_ROWS = 64
+
+# Inside ``unhinted`` joins are left to Spark's planner.
+_PLAIN: ContextVar[bool] = ContextVar("plain_joins", default=False)
 
 
 def measured_small(
@@ -25,17 +32,15 @@ def measured_small(
 ) -> bool:
     """True when ``df`` was counted and weighed, and stays within the broadcast bounds.
 
-    The count comes first: for a written table it reads file footers only, and a table
-    over the bound is never weighed. Only texts need weighing, other values have a width.
+    One job that reads no more rows than the bound. Only texts need weighing, other values
+    have a width.
     """
-    rows = df.count()
-    if rows > max_rows:
-        return False
-    size = rows * 16 * len(df.columns)
     texts = [F.coalesce(F.octet_length(name), F.lit(0)) for name, kind in df.dtypes if kind == "string"]
-    if texts and size <= max_bytes:
-        size += df.agg(F.coalesce(F.sum(reduce(Column.__add__, texts)), F.lit(0))).first()[0]
-    return size <= max_bytes
+    weight = reduce(Column.__add__, texts, F.lit(0)).cast("long").alias("weight")
+    rows, weight = (
+        df.select(weight).limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum("weight"), F.lit(0))).first()
+    )
+    return rows <= max_rows and rows * 16 * len(df.columns) + weight <= max_bytes
 
 
 class KeyProfile:
@@ -43,39 +48,42 @@ class KeyProfile:
 
     Keys are told by hash. Frequent-item counting keeps a bounded buffer per task and
     returns at most ``1 / share`` candidates per key, among them every hash with more than
-    ``share`` of the rows. A second pass counts the candidates, so that only keys that
-    really are heavy are salted. A missing key is a key like any other here.
+    ``share`` of the rows. A second pass counts the candidates and all rows, so that only keys
+    that really are heavy are salted. A missing key is a key like any other here.
     """
 
     def __init__(self, df: DataFrame, *keys: str | Sequence[str], share: float = HEAVY_SHARE):
         self._df, self._share = df, share
         self._keys = [_names(k) for k in keys]
-        self._found: dict[tuple[str, ...], list[int]] | None = None
+        self._found: dict[tuple[str, ...], dict[int, float]] | None = None
 
-    def heavy(self, key: str | Sequence[str]) -> list[int]:
+    def heavy(self, key: str | Sequence[str]) -> dict[int, float]:
+        """Share of all rows by the hash of each heavy key."""
         if self._found is None:
             self._found = self._find()
         return self._found[_names(key)]
 
-    def _find(self) -> dict[tuple[str, ...], list[int]]:
+    def _find(self) -> dict[tuple[str, ...], dict[int, float]]:
         names = [f"_hash_{i}" for i in range(len(self._keys))]
         hashes = self._df.select(
             *[F.xxhash64(*key).alias(name) for name, key in zip(names, self._keys)]
         )
         candidates = hashes.stat.freqItems(names, self._share).first()
-        least = max(self._share * self._df.count(), MIN_SALTS)
+        every_row = F.struct(F.lit("_rows").alias("key"), F.lit(0).cast("long").alias("hash"))
         pairs = hashes.select(
-            F.inline(F.array(*[F.struct(F.lit(n).alias("key"), F.col(n).alias("hash")) for n in names]))
+            F.inline(F.array(every_row, *[F.struct(F.lit(n).alias("key"), F.col(n).alias("hash")) for n in names]))
         )
-        candidate = F.lit(False)
+        wanted = F.col("key") == "_rows"
         for name, found in zip(names, candidates):
             if found:
-                candidate = candidate | ((F.col("key") == name) & F.col("hash").isin(list(found)))
+                wanted = wanted | ((F.col("key") == name) & F.col("hash").isin(list(found)))
         # At most 1 / share rows per key.
-        counts = pairs.where(candidate).groupBy("key", "hash").count().where(F.col("count") > least)
-        heavy = [(row["key"], row["hash"]) for row in counts.collect()]
+        counts = {(r["key"], r["hash"]): r["count"] for r in pairs.where(wanted).groupBy("key", "hash").count().collect()}
+        total = counts.pop(("_rows", 0), 0)
+        least = max(self._share * total, MIN_HEAVY_ROWS)
         return {
-            key: [found for of, found in heavy if of == name] for name, key in zip(names, self._keys)
+            key: {h: n / total for (of, h), n in counts.items() if of == name and n > least}
+            for name, key in zip(names, self._keys)
         }
 
 
@@ -83,13 +91,36 @@ def _names(keys: str | Sequence[str]) -> tuple[str, ...]:
     return (keys,) if isinstance(keys, str) else tuple(keys)
 
 
+@contextmanager
+def unhinted() -> Iterator[None]:
+    """Plans made inside have no broadcast hints and no salts, so they hold for any later size of their tables."""
+    token = _PLAIN.set(True)
+    try:
+        yield
+    finally:
+        _PLAIN.reset(token)
+
+
 def default_salts(spark: SparkSession) -> int:
+    """Salts of a key that owned all rows: two per shuffle partition."""
     partitions = spark.conf.get(
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum", None
     ) or spark.conf.get("spark.sql.shuffle.partitions")
     return max(MIN_SALTS, 2 * int(partitions))
 
 
+def salt_counts(heavy: dict[int, float], salts: int) -> dict[int, list[int]]:
+    """Heavy hashes by their number of salts, which follows the share and is a power of two.
+
+    Shares add up to one at most, so all right rows together are repeated less than about
+    ``2 * salts`` times, plus twice per heavy key.
+    """
+    classes: dict[int, list[int]] = {}
+    for found, share in heavy.items():
+        classes.setdefault(1 << max(1, ceil(log2(max(salts * share, 1)))), []).append(found)
+    return classes
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -99,10 +130,10 @@ def salted_join(
     salts: int | None = None,
     null_safe: bool = False,
 ) -> DataFrame:
-    """Equi-join with the heavy keys of the left side split over ``salts`` parts.
+    """Equi-join with the heavy keys of the left side split over as many parts as their share asks for.
 
-    By default there are two salts per shuffle partition, so that even a key with a third
-    of all rows is spread over the whole cluster.
+    ``salts`` is for a key that owned all rows, by default two per shuffle partition, so
+    that a key with a third of all rows is spread over about two thirds of them.
 
     ``profile`` counts the keys, by default on the left side itself; one made of the base
     table avoids computing a derived left side twice. The right rows of heavy keys, and
@@ -118,7 +149,7 @@ def salted_join(
     for k in names:
         if left_types[k] != right_types[k]:
             raise ValueError(f"{k} is {left_types[k]} on one side, {right_types[k]} on the other")
-    heavy = (profile or KeyProfile(left, names)).heavy(names)
+    heavy = {} if _PLAIN.get() else (profile or KeyProfile(left, names)).heavy(names)
     rest = [c for c in right.columns if c not in names]
     renamed = right.select(*[F.col(k).alias(f"_right_{k}") for k in names], *rest)
 
@@ -129,16 +160,18 @@ def salted_join(
     condition = reduce(Column.__and__, [same(k) for k in names])
     if not heavy:
         return left.join(renamed, condition, how).select(*left.columns, *rest)
-    salts = salts or default_salts(left.sparkSession)
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *left.columns), F.lit(salts)).cast("int")
-    salted_left = left.withColumn(
-        "_salt", F.when(F.xxhash64(*names).isin(heavy), spread).otherwise(0)
-    )
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    right_heavy = F.xxhash64(*[f"_right_{k}" for k in names]).isin(heavy)
-    salted_right = renamed.withColumn(
-        "_right_salt", F.explode(F.when(right_heavy, every_salt).otherwise(F.array(F.lit(0))))
-    )
+    classes = salt_counts(heavy, salts or default_salts(left.sparkSession))
+
+    def parts(found: Column) -> Column:
+        chosen = F.lit(1)
+        for number, hashes in classes.items():
+            chosen = F.when(found.isin(hashes), number).otherwise(chosen)
+        return chosen
+
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *left.columns), parts(F.xxhash64(*names)))
+    salted_left = left.withColumn("_salt", spread.cast("int"))
+    right_parts = parts(F.xxhash64(*[f"_right_{k}" for k in names]))
+    salted_right = renamed.withColumn("_right_salt", F.explode(F.sequence(F.lit(0), right_parts - 1)))
     condition = condition & (F.col("_salt") == F.col("_right_salt"))
     return salted_left.join(salted_right, condition, how).select(*left.columns, *rest)
 
@@ -158,7 +191,7 @@ def attach(
     no key owns many rows any more and a plain shuffled join is even. ``bound`` is a frame
     no smaller than ``right`` that is cheaper to measure, such as the table it groups.
     """
-    if measured_small(right if bound is None else bound):
+    if not _PLAIN.get() and measured_small(right if bound is None else bound):
         return left.join(F.broadcast(right), key, how)
     if reduced:
         return left.join(right, key, how)
@@ -180,9 +213,10 @@ def priced_totals(
     product in one group are one row per task before they are shuffled; a product that is
     heavy still, because it has many groups, is salted.
     """
-    if measured_small(prices):
+    if _PLAIN.get() or measured_small(prices):
+        few = prices if _PLAIN.get() else F.broadcast(prices)
         return (
-            sales.join(F.broadcast(prices), key, how)
+            sales.join(few, key, how)
             .groupBy(*groups)
             .agg(
                 F.sum(revenue(F.col("product_price"), F.col("product_quantity"))).alias("amount"),

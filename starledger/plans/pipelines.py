@@ -2,6 +2,7 @@
 
 ``position`` names the column that holds the source order; Spark frames have none.
 ``dense_position`` states that it counts 0, 1, 2, ... so that ordinal keys need no shuffle.
+``watch`` sees the rows before a dataset's rules drop some, see ``operators.rejects``.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from starledger.functions.goods import weight_class, weight_to_kg
 from starledger.functions.numbers import strip_symbol, try_double
 from starledger.functions.text import digits_only
 from starledger.operators import columns as cols, rows
-from starledger.operators.keys import key_dense, key_ordinal
+from starledger.operators.keys import Watch, key_dense, key_ordinal
 
 # Source layouts that are named by position, and target column orders.
 USER_COLUMNS = [
@@ -72,19 +73,20 @@ BASE_RATE = {
 }
 
 
-def clean_users(raw: DataFrame, position: str) -> DataFrame:
+def clean_users(raw: DataFrame, position: str, watch: Watch | None = None) -> DataFrame:
     dated = raw.withColumns(
         {c: clean_dates(F.col(c)) for c in ("date_of_birth", "join_date")}
     )
-    complete = F.col("date_of_birth").isNotNull() & F.col("join_date").isNotNull()
-    return key_dense(dated, [position], "user_key", complete).select(*USER_COLUMNS)
+    rules = {c: F.col(c).isNotNull() for c in ("date_of_birth", "join_date")}
+    return key_dense(dated, [position], "user_key", rules, watch).select(*USER_COLUMNS)
 
 
-def clean_stores(raw: DataFrame) -> DataFrame:
+def clean_stores(raw: DataFrame, watch: Watch | None = None) -> DataFrame:
     """The first column of the source is its row index and gives the order."""
     named = cols.positional_rename(raw, STORE_SOURCE).drop("null_column")
     dated = named.withColumn("opening_date", clean_dates(F.col("opening_date")))
-    keyed = key_dense(dated, ["store_key"], "store_key", F.col("opening_date").isNotNull())
+    rules = {"opening_date": F.col("opening_date").isNotNull()}
+    keyed = key_dense(dated, ["store_key"], "store_key", rules, watch)
     fixed = cols.replace_values(keyed, cols.REGION_FIXES)
     fixed = cols.repair_codes(fixed, "number_of_staff", cols.STAFF_FIXES, "smallint")
     for c in ("longitude", "latitude"):
@@ -92,16 +94,20 @@ def clean_stores(raw: DataFrame) -> DataFrame:
     return fixed.select(*STORE_COLUMNS)
 
 
-def clean_cards(raw: DataFrame, position: str, dense_position: bool = False) -> DataFrame:
+def clean_cards(
+    raw: DataFrame, position: str, dense_position: bool = False, watch: Watch | None = None
+) -> DataFrame:
     dated = raw.withColumns(
         {
             "card_number": digits_only(F.col("card_number")),
             "date_payment_confirmed": clean_dates(F.col("date_payment_confirmed")),
         }
     )
-    keep = rows.not_in_list(F.col("card_provider"), rows.JUNK_CARD_PROVIDERS)
-    keep = keep & F.col("date_payment_confirmed").isNotNull()
-    keyed = key_ordinal(dated, [position], "card_key", keep, dense_position)
+    rules = {
+        "card_provider": rows.not_in_list(F.col("card_provider"), rows.JUNK_CARD_PROVIDERS),
+        "date_payment_confirmed": F.col("date_payment_confirmed").isNotNull(),
+    }
+    keyed = key_ordinal(dated, [position], "card_key", rules, dense_position, watch)
     return keyed.select(*CARD_COLUMNS)
 
 
@@ -111,9 +117,12 @@ def clean_orders(raw: DataFrame) -> DataFrame:
     return cols.add_null_columns(slim, ORDER_KEYS).select(*ORDER_COLUMNS)
 
 
-def clean_date_times(raw: DataFrame, position: str, dense_position: bool = False) -> DataFrame:
+def clean_date_times(
+    raw: DataFrame, position: str, dense_position: bool = False, watch: Watch | None = None
+) -> DataFrame:
     month = try_double(F.col("month"))
-    keyed = key_ordinal(raw, [position], "date_key", month.isNotNull(), dense_position)
+    rules = {"month": month.isNotNull()}
+    keyed = key_ordinal(raw, [position], "date_key", rules, dense_position, watch)
     numbered = keyed.withColumn("month", month.cast("int")).withColumns(
         {c: try_double(F.col(c)).cast("int") for c in ("day", "year")}
     )
@@ -123,8 +132,13 @@ def clean_date_times(raw: DataFrame, position: str, dense_position: bool = False
     return dated.select(*DATE_COLUMNS)
 
 
-def clean_products(raw: DataFrame, position: str, dense_position: bool = False) -> DataFrame:
-    """``position`` is the unnamed first column of the file; the other nine follow it."""
+def clean_products(
+    raw: DataFrame, position: str, dense_position: bool = False, watch: Watch | None = None
+) -> DataFrame:
+    """``position`` is the unnamed first column of the file; the other nine follow it.
+
+    The weight class stays missing here; the dimension derives it, see ``classed_products``.
+    """
     source = [c for c in raw.columns if c != position]
     named = raw.select(F.col(position).alias("_position"), *source).toDF("_position", *PRODUCT_SOURCE)
     measured = named.withColumns(
@@ -134,9 +148,17 @@ def clean_products(raw: DataFrame, position: str, dense_position: bool = False)
             "weight": weight_to_kg(F.col("weight")),
         }
     )
-    keep = rows.known_status(F.col("availability")) & F.col("weight").isNotNull()
-    keyed = key_ordinal(measured, ["_position"], "product_key", keep, dense_position)
-    return keyed.withColumn("weight_class", weight_class(F.col("weight"))).select(*PRODUCT_COLUMNS)
+    rules = {
+        "availability": rows.known_status(F.col("availability")),
+        "weight": F.col("weight").isNotNull(),
+    }
+    keyed = key_ordinal(measured, ["_position"], "product_key", rules, dense_position, watch)
+    return cols.add_null_columns(keyed, {"weight_class": "string"}).select(*PRODUCT_COLUMNS)
+
+
+def classed_products(products: DataFrame) -> DataFrame:
+    """Weight classes of a dimension; rows without a weight, the default members too, are 'Unknown'."""
+    return products.withColumn("weight_class", weight_class(F.col("weight"))).select(*products.columns)
 
 
 def clean_currency(raw: DataFrame, position: str) -> DataFrame:

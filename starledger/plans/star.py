@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from starledger.operators.joins import link_currency_rate, lookup_scalar, resolve_fk
+from starledger.operators.joins import lookup_scalar, resolve_fk, resolve_store
 from starledger.operators.skew import KeyProfile
 
 
@@ -24,11 +24,11 @@ class Star:
     currency_conversion: DataFrame | None = None
 
 
-def resolve_keys(star: Star) -> Star:
-    """All surrogate keys of the fact, and the rate key of the currencies.
+def resolve_keys(star: Star) -> DataFrame:
+    """The fact with all its surrogate keys.
 
-    The country comes before the currency, which is looked up by it. Heavy natural keys
-    are counted on the fact as it came, in one pass, not on the growing join.
+    The country comes before the currency, which is looked up by it, and with the store. Heavy
+    natural keys are counted on the fact as it came, in one pass, not on the growing join.
     """
     base = star.orders
     profile = KeyProfile(
@@ -37,17 +37,6 @@ def resolve_keys(star: Star) -> Star:
     fact = resolve_fk(base, star.card, "card_number", "card_key", profile=profile)
     fact = resolve_fk(fact, star.date_times, "date_uuid", "date_key", profile=profile)
     fact = resolve_fk(fact, star.product, "product_code", "product_key", profile=profile)
-    fact = resolve_fk(fact, star.store, "store_code", "store_key", profile=profile)
+    fact = resolve_store(fact, star.store, profile)
     fact = resolve_fk(fact, star.users, "user_uuid", "user_key", profile=profile)
-    fact = lookup_scalar(fact, star.store, "store_code", "country_code", profile=profile)
-    fact = lookup_scalar(fact, star.currency, "country_code", "currency_key")
-    return Star(
-        orders=fact.select(*base.columns),
-        product=star.product,
-        store=star.store,
-        users=star.users,
-        card=star.card,
-        date_times=star.date_times,
-        currency=link_currency_rate(star.currency, star.currency_conversion),
-        currency_conversion=star.currency_conversion,
-    )
+    return lookup_scalar(fact, star.currency, "country_code", "currency_key").select(*base.columns)

@@ -3,17 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
+from contextvars import copy_context
+from dataclasses import replace
 from functools import partial
 
 from pyspark.sql import DataFrame
 
 from starledger.operators.columns import AVAILABILITY_TEXTS
 from starledger.operators.joins import link_currency_rate
+from starledger.operators.keys import Watch
+from starledger.operators.rejects import Rejects
 from starledger.operators.rows import DEFAULT_MEMBERS
 from starledger.plans import pipelines
 from starledger.plans.star import Star, resolve_keys
 from starledger.schemas import DIM_TABLES, FACT_TABLE, LAND_TABLES, RAW_TABLES
+from starledger.session import scratch_path, scratch_scope
 from starledger.sources.sinks import layered_load, load_table
 
 # The countries and currencies the dimensions keep.
@@ -21,6 +26,9 @@ CURRENCY_SUBSET = ["US", "GB", "DE"]
 CONVERSION_SUBSET = ["USD", "GBP", "EUR"]
 
 
+REPORT_TABLE = "load_rejects"
+
+
 def load_warehouse(
     raws: Mapping[str, DataFrame],
     mapping: DataFrame,
@@ -33,26 +41,35 @@ def load_warehouse(
 
     Every raw frame but stores and orders has a ``position`` column with its source
     order. Keys are resolved before the one write of the fact, and the currency
-    dimension is written with its rate keys.
+    dimension is written with its rate keys. What was dropped or did not fit is counted in
+    the table ``load_rejects``. Intermediate files are deleted at the end.
     """
+    spark = mapping.sparkSession
+    rejects = Rejects()
+
+    def watch(dataset: str) -> Watch:
+        return lambda df, rules: rejects.dropped(df, LAND_TABLES[dataset], rules)
+
+    dense = {"position": position, "dense_position": dense_position}
     cleaners = {
-        "users": partial(pipelines.clean_users, position=position),
-        "stores": pipelines.clean_stores,
-        "cards": partial(pipelines.clean_cards, position=position, dense_position=dense_position),
-        "products": partial(
-            pipelines.clean_products, position=position, dense_position=dense_position
-        ),
-        "date_times": partial(
-            pipelines.clean_date_times, position=position, dense_position=dense_position
-        ),
+        "users": partial(pipelines.clean_users, position=position, watch=watch("users")),
+        "stores": partial(pipelines.clean_stores, watch=watch("stores")),
+        "cards": partial(pipelines.clean_cards, watch=watch("cards"), **dense),
+        "products": partial(pipelines.clean_products, watch=watch("products"), **dense),
+        "date_times": partial(pipelines.clean_date_times, watch=watch("date_times"), **dense),
         "currency": partial(pipelines.clean_currency, position=position),
         "currency_conversion": partial(
             pipelines.clean_rates, mapping=mapping, run_ts=run_ts, position=position
         ),
     }
+    loading: dict[str, Future] = {}
+
+    def linked(currency: DataFrame) -> DataFrame:
+        return link_currency_rate(currency, loading["currency_conversion"].result())
+
     steps = {
-        "products": {"mapping": AVAILABILITY_TEXTS},
-        "currency": {"subset": CURRENCY_SUBSET},
+        "products": {"mapping": AVAILABILITY_TEXTS, "finish": pipelines.classed_products},
+        "currency": {"subset": CURRENCY_SUBSET, "link": linked},
         "currency_conversion": {"subset": CONVERSION_SUBSET},
     }
 
@@ -65,41 +82,34 @@ def load_warehouse(
             DIM_TABLES[dataset],
             RAW_TABLES.get(dataset),
             additional_rows=DEFAULT_MEMBERS[DIM_TABLES[dataset]],
+            rejects=rejects,
             **steps.get(dataset, {}),
         )
 
     def stage() -> DataFrame:
         """Staged, because several passes over the fact follow and its source may be slow."""
-        orders = pipelines.clean_orders(raws["orders"])
-        return load_table(orders, f"{root}/staged_{FACT_TABLE}", "replace", FACT_TABLE)
+        path = scratch_path(spark, f"staged-{FACT_TABLE}")
+        return load_table(pipelines.clean_orders(raws["orders"]), path, "replace", FACT_TABLE, rejects)
 
-    # The datasets do not depend on each other; their jobs share the cluster.
-    with ThreadPoolExecutor(len(cleaners) + 1) as pool:
-        staged = pool.submit(stage)
-        loading = {dataset: pool.submit(load, dataset) for dataset in cleaners}
+    # The rates first: the currencies wait for them.
+    datasets = sorted(cleaners, key=lambda d: d != "currency_conversion")
+    with scratch_scope(spark), ThreadPoolExecutor(len(cleaners) + 1) as pool:
+        # The datasets do not depend on each other otherwise; their jobs share the cluster.
+        for dataset in datasets:
+            loading[dataset] = pool.submit(copy_context().run, load, dataset)
+        staged = pool.submit(copy_context().run, stage)
         dims = {dataset: done.result() for dataset, done in loading.items()}
-    linked = link_currency_rate(dims["currency"], dims["currency_conversion"])
-    unresolved = Star(
-        orders=staged.result(),
-        product=dims["products"],
-        store=dims["stores"],
-        users=dims["users"],
-        card=dims["cards"],
-        date_times=dims["date_times"],
-        # A table cannot be replaced while it is read, so the linked one has its own name.
-        currency=load_table(linked, f"{root}/{DIM_TABLES['currency']}_linked", "replace"),
-        currency_conversion=dims["currency_conversion"],
-    )
-    keyed = resolve_keys(unresolved)
-    # Typed when it was staged; the keys are LONG from the dimensions.
-    fact = load_table(keyed.orders, f"{root}/{FACT_TABLE}", "replace")
-    return Star(
-        orders=fact,
-        product=keyed.product,
-        store=keyed.store,
-        users=keyed.users,
-        card=keyed.card,
-        date_times=keyed.date_times,
-        currency=unresolved.currency,
-        currency_conversion=keyed.currency_conversion,
-    )
+        unresolved = Star(
+            orders=staged.result(),
+            product=dims["products"],
+            store=dims["stores"],
+            users=dims["users"],
+            card=dims["cards"],
+            date_times=dims["date_times"],
+            currency=dims["currency"],
+            currency_conversion=dims["currency_conversion"],
+        )
+        # Typed when it was staged; the keys are LONG from the dimensions.
+        fact = load_table(resolve_keys(unresolved), f"{root}/{FACT_TABLE}", "replace")
+    load_table(rejects.frame(spark), f"{root}/{REPORT_TABLE}", "replace")
+    return replace(unresolved, orders=fact)

@@ -4,9 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Where scratch files go inside a ``scratch_scope``.
+_SCOPE: ContextVar[str | None] = ContextVar("scratch_scope", default=None)
+#: Set to true where a ``file:`` folder is a mount that all executors share.
+MOUNTED = "spark.starledger.sharedFolderIsMounted"
+
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -32,11 +40,15 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
     Only a local-mode session without that setting gets a temporary folder;
-    a cluster without it is refused, because executors would not share one.
+    a cluster without it is refused, because executors would not share one, and so is a
+    ``file:`` folder there unless it is declared to be a shared mount.
     """
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if named:
+        on_cluster = not sc.master.startswith("local")
+        if on_cluster and named.startswith("file:") and sc.getConf().get(MOUNTED, "false") != "true":
+            raise RuntimeError(f"{named} is a local folder; set {MOUNTED}=true if all executors share it")
         return named.rstrip("/")
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
@@ -46,15 +58,37 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder; never reused."""
-    return f"{shared_dir(spark)}/starledger-{label}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder, or in the scratch scope; never reused."""
+    return f"{_SCOPE.get() or shared_dir(spark)}/starledger-{label}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system, if it is there."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """Scratch files written inside are deleted at the end.
+
+    For work whose results are written elsewhere: no frame made inside may be read afterwards.
+    Threads see the scope if they run in a copy of the context.
+    """
+    folder = f"{shared_dir(spark)}/starledger-scope-{uuid.uuid4().hex}"
+    token = _SCOPE.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCOPE.reset(token)
+        discard(spark, folder)
 
 
 def materialised(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a written table in the shared folder, read back.
 
     Later passes see one and the same row set, also after lost executors, and read only
-    the columns they need. The files stay until the shared folder is cleaned.
+    the columns they need. The files stay until their scratch scope ends or the shared folder is cleaned.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)

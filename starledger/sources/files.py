@@ -6,6 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+#: How comma-separated files are written and read: a header line, quotes doubled inside quoted cells.
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
+
 
 def jdbc_options(
     url: str, table: str, split_on: str, lower: int, upper: int, partitions: int, **properties: str
@@ -29,49 +32,76 @@ def read_jdbc(spark: SparkSession, **options) -> DataFrame:
     return spark.read.format("jdbc").options(**jdbc_options(**options)).load()
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Comma-separated files with a header line, in a declared schema."""
-    return spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(path)
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | str, multiline: bool = False
+) -> DataFrame:
+    """Comma-separated files with a header line, in a declared schema.
+
+    Quotes inside a cell are doubled. ``multiline`` allows line breaks inside quoted cells, at
+    the price of one task per file. A record that does not fit the schema fails the read.
+    """
+    reader = spark.read.schema(schema).options(**CSV_OPTIONS)
+    return reader.option("enforceSchema", True).option("mode", "FAILFAST").option("multiLine", multiline).csv(path)
 
 
 def read_documents(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
-    """JSON texts in column ``value``: one per file, or one per line of splittable files."""
-    return spark.read.text(path, wholetext=not one_per_line)
+    """JSON texts in column ``value``: one per file, or one per line of splittable files.
+
+    ``document`` names a text by its file, and by its block and line where a file has many;
+    equal texts are different documents. Blank lines are no documents.
+    """
+    texts = spark.read.text(path, wholetext=not one_per_line)
+    file = F.col("_metadata.file_path")
+    if not one_per_line:
+        return texts.select("value", F.struct(file.alias("file")).alias("document"))
+    place = F.struct(
+        file.alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+    return texts.select("value", place.alias("document")).where(F.trim("value") != "")
+
+
+def parsed_json(text: str, schema: str) -> Column:
+    """A JSON text in the given type; one that does not parse fails the job."""
+    parsed = F.from_json(text, schema)
+    broken = F.raise_error(F.concat(F.lit("malformed JSON document: "), F.left(F.col(text), F.lit(200))))
+    return F.when(F.col(text).isNotNull() & parsed.isNull(), broken).otherwise(parsed)
 
 
 def columnar_records(
     documents: DataFrame, columns: Sequence[str], document_id: str = "document", text: str = "value"
 ) -> DataFrame:
-    """Rows of column-oriented JSON: ``{"col": {"0": v, "1": v}, ...}``.
+    """Rows of column-oriented JSON, ``{"col": {"0": v, "1": v}, ...}``, or of an array of records.
 
     Cells are unpivoted and grouped back by (document, row), so one large document spreads
-    over many tasks after it was parsed. ``row_id`` is the row label as a number, all
-    other values are text. A cell that a column lacks is NULL.
+    over many tasks after it was parsed. ``row_id`` is the row label as a number, for an array
+    the place in it; all other values are text. A cell that a column lacks is NULL.
     """
-    parsed = documents.select(
-        document_id,
-        F.explode(F.from_json(text, "map<string,map<string,string>>")).alias("name", "cells"),
+    is_array = F.ltrim(F.col(text)).startswith("[")
+    by_column = documents.where(~is_array).select(
+        document_id, F.explode(parsed_json(text, "map<string,map<string,string>>")).alias("name", "cells")
     )
-    cells = parsed.where(F.col("name").isin(*columns)).select(
+    cells = by_column.where(F.col("name").isin(*columns)).select(
         document_id, "name", F.explode("cells").alias("row_id", "cell")
     )
     picked = [F.max(F.when(F.col("name") == c, F.col("cell"))).alias(c) for c in columns]
-    return (
+    rows = (
         cells.groupBy(document_id, F.col("row_id").cast("long").alias("row_id"))
         .agg(*picked)
         .select(document_id, "row_id", *columns)
     )
+    records = documents.where(is_array).select(
+        document_id, F.posexplode(parsed_json(text, "array<map<string,string>>")).alias("row_id", "record")
+    )
+    cells = [F.try_element_at("record", F.lit(c)).alias(c) for c in columns]
+    return rows.union(records.select(document_id, F.col("row_id").cast("long"), *cells))
 
 
 def read_json_columnar(
     spark: SparkSession, path: str, columns: Sequence[str], one_per_line: bool = False
 ) -> DataFrame:
-    documents = read_documents(spark, path, one_per_line)
-    if one_per_line:
-        documents = documents.withColumn("document", F.xxhash64("value"))
-    else:
-        documents = documents.withColumn("document", F.col("_metadata.file_path"))
-    return columnar_records(documents, columns)
+    return columnar_records(read_documents(spark, path, one_per_line), columns)
 
 
 def keyed_records(
@@ -82,7 +112,7 @@ def keyed_records(
     The object key becomes column ``key``; ``position`` is its place in the object.
     """
     record = ", ".join(f"`{f}`: string" for f in fields)
-    entries = F.from_json(text, f"map<string,struct<{record}>>")
+    entries = parsed_json(text, f"map<string,struct<{record}>>")
     return documents.select(
         F.posexplode(entries).alias("position", key, "record")
     ).select("position", key, *[F.col(f"record.{f}").alias(f) for f in fields])

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starledger.operators.columns import map_values
+from starledger.operators.keys import number_rows
+from starledger.operators.rejects import Rejects
 from starledger.operators.rows import prepend_rows, subset_filter
+from starledger.operators.skew import unhinted
 from starledger.schemas import TABLE_LAYOUTS, enforce_schema, struct_type
+from starledger.sources.files import CSV_OPTIONS
 
 # Load conditions and the Spark save mode of each.
 SAVE_MODES = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}
@@ -19,32 +23,39 @@ def prepare_load(
     mapping: Mapping[str, str] | None = None,
     subset: Sequence[str] | None = None,
     additional_rows: Sequence[dict] | None = None,
-    layout: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """What a load writes: mapped availability, then subset, then given rows, then types."""
+    """The steps of a load before its types: mapped availability, then subset, then given rows."""
     if mapping:
         df = map_values(df, "availability", mapping)
     if subset:
         df = subset_filter(df, subset)
-    if layout:
-        df = enforce_schema(df, dict(layout))
     if additional_rows:
         df = prepend_rows(df, additional_rows)
     return df
 
 
 def load_table(
-    df: DataFrame, path: str, condition: str = "append", table: str | None = None, **steps
+    df: DataFrame,
+    path: str,
+    condition: str = "append",
+    table: str | None = None,
+    rejects: Rejects | None = None,
+    **steps,
 ) -> DataFrame:
     """Write a prepared frame as Parquet and return the table as read back.
 
-    ``table`` names a declared layout. Reading back cuts the lineage, so a later step
+    ``table`` names a declared layout; ``rejects`` then counts the values that do not fit it.
+    Reading back cuts the lineage, so a later step
     neither recomputes the cleaning nor depends on the executors that did it.
     """
     if condition not in SAVE_MODES:
         raise ValueError(f"unknown load condition: {condition}")
-    layout = TABLE_LAYOUTS[table] if table else None
-    prepared = prepare_load(df, layout=layout, **steps)
+    prepared = prepare_load(df, **steps)
+    if table:
+        layout = dict(TABLE_LAYOUTS[table])
+        if rejects:
+            prepared = rejects.lost(prepared, table, layout)
+        prepared = enforce_schema(prepared, layout)
     prepared.write.mode(SAVE_MODES[condition]).parquet(path)
     return df.sparkSession.read.schema(prepared.schema).parquet(path)
 
@@ -56,22 +67,41 @@ def layered_load(
     land_table: str,
     dim_table: str,
     raw_table: str | None = None,
+    link: Callable[[DataFrame], DataFrame] | None = None,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
+    rejects: Rejects | None = None,
     **dim_steps,
 ) -> DataFrame:
     """Raw, landing and dimension table of one dataset; each layer reads the one before.
 
-    All three replace what was there, so a second run gives the same tables. Returns the
-    dimension.
+    All three replace what was there, so a second run gives the same tables. ``link`` works on the
+    landing rows before the dimension's own steps, ``finish`` after them, default members
+    included. Returns the dimension.
     """
     if raw_table:
         raw = load_table(raw, f"{root}/{raw_table}", "replace")
-    land = load_table(clean(raw), f"{root}/{land_table}", "replace", land_table)
-    return load_table(land, f"{root}/{dim_table}", "replace", dim_table, **dim_steps)
+    land = load_table(clean(raw), f"{root}/{land_table}", "replace", land_table, rejects)
+    rows = prepare_load(link(land) if link else land, **dim_steps)
+    return load_table(finish(rows) if finish else rows, f"{root}/{dim_table}", "replace", dim_table, rejects)
 
 
-def export_csv(df: DataFrame, path: str, headers: Sequence[str]) -> None:
-    """CSV files with a header line; all columns renamed by position."""
-    df.toDF(*headers).write.mode("overwrite").option("header", True).csv(path)
+def export_csv(
+    df: DataFrame,
+    path: str,
+    headers: Sequence[str],
+    row_index: str | None = None,
+    order_by: Sequence[str] = (),
+) -> None:
+    """CSV files with a header line; all columns renamed by position.
+
+    ``row_index`` names a further first column that counts the rows from 0 along ``order_by``.
+    """
+    named = df.toDF(*headers)
+    if row_index:
+        numbered = number_rows(df, list(order_by), "_row_number")
+        index = (F.col("_row_number") - 1).alias(row_index)
+        named = numbered.select(index, *[F.col(c).alias(h) for c, h in zip(df.columns, headers)])
+    named.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def truncate_table(spark: SparkSession, path: str) -> DataFrame:
@@ -93,6 +123,11 @@ def create_tables(
     return tables
 
 
-def create_views(views: Mapping[str, DataFrame]) -> None:
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
+def create_views(views: Mapping[str, Callable[[], DataFrame]]) -> None:
+    """Temporary views of plans that are made without hints.
+
+    A view outlives the sizes its tables have now: Spark chooses the joins whenever it is read.
+    """
+    with unhinted():
+        for name, plan in views.items():
+            plan().createOrReplaceTempView(name)

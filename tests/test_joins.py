@@ -37,8 +37,8 @@ def test_profile_finds_the_heavy_keys(spark):
     assert hashes["seven"] in heavy and hashes["none"] in heavy
     assert len(heavy) == 2
     assert len(profile.heavy(["k", "same"])) == 2
-    assert skew.KeyProfile(spark.range(50_000), "id").heavy("id") == []
-    assert skew.KeyProfile(spark.range(0), "id").heavy("id") == []
+    assert skew.KeyProfile(spark.range(50_000), "id").heavy("id") == {}
+    assert skew.KeyProfile(spark.range(0), "id").heavy("id") == {}
 
 
 def test_salts_follow_the_shuffle_partitions(spark):
@@ -47,6 +47,9 @@ def test_salts_follow_the_shuffle_partitions(spark):
         assert skew.default_salts(spark) == skew.MIN_SALTS
         spark.conf.set("spark.sql.shuffle.partitions", "20000")
         assert skew.default_salts(spark) == 40_000
+        shares = {n: 0.33 if n == 0 else 0.0021 for n in range(300)}
+        salts = {h: n for n, hashes in skew.salt_counts(shares, 40_000).items() for h in hashes}
+        assert salts[0] >= 40_000 * 0.33 and sum(salts.values()) <= 4 * 40_000
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from starledger.operators.keys import key_dense, key_ordinal
+from starledger.operators.rejects import Rejects
 from starledger.operators.order import gaps_by_group, previous_value, sort_rows
 from starledger.operators.rows import (
     dedupe_rows, default_members, drop_last_seen_values, prepend_literal_row, union_tables,
@@ -29,18 +30,35 @@ def test_dense_key_replaces_the_source_index(spark):
 
 def test_dense_keys_skip_dropped_rows(spark):
     df = spark.createDataFrame([(3, "c"), (1, None), (2, "b"), (4, "d")], "p long, v string")
-    got = key_dense(df, ["p"], "k", F.col("v").isNotNull())
+    got = key_dense(df, ["p"], "k", {"v": F.col("v").isNotNull()})
     assert got.columns == ["p", "v", "k"] and rows(got) == [(2, "b", 1), (3, "c", 2), (4, "d", 3)]
 
 
 def test_ordinal_keys_keep_gaps(spark):
     df = spark.range(10).select(F.col("id").alias("p"))
-    keep = F.col("p") % 3 != 0
+    keep = {"p": F.col("p") % 3 != 0}
     expected = [(p, p + 1) for p in range(10) if p % 3]
     assert rows(key_ordinal(df, ["p"], "k", keep)) == expected
     assert rows(key_ordinal(df, ["p"], "k", keep, dense=True)) == expected
 
 
+def test_ties_do_not_follow_the_file_layout(spark):
+    df = spark.range(3_000).select((F.col("id") % 5).alias("p"), F.col("id").alias("v"))
+    one, seven = (rows(key_dense(df.repartition(n), ["p"], "k")) for n in (1, 7))
+    assert one == seven
+
+
+def test_dropped_rows_are_watched(spark):
+    df = spark.createDataFrame([(3, "c"), (1, None), (2, None), (4, "d")], "p long, v string")
+    rules = {"v": F.col("v").isNotNull(), "p": F.col("p") != 1}
+    for dense in (None, False, True):
+        rejects = Rejects()
+        watch = lambda frame, given: rejects.dropped(frame, "t", given)  # noqa: E731, B023
+        keyed = key_dense(df, ["p"], "k", rules, watch) if dense is None else key_ordinal(df, ["p"], "k", rules, dense, watch)
+        assert keyed.columns == ["p", "v", "k"] and keyed.count() == 2
+        assert rows(rejects.frame(spark)) == [("t", "p", "dropped row", 1), ("t", "v", "dropped row", 2)]
+
+
 def test_empty_frame_gets_no_keys(spark):
     assert key_dense(spark.range(0), ["id"], "k").count() == 0
 

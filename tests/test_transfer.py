@@ -1,15 +1,18 @@
 import json
+from pathlib import Path
 
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
+from starledger.operators.rejects import Rejects
 from starledger.operators.rows import DEFAULT_MEMBERS, literal_rows, subset_filter
 from starledger.schemas import (
     DIM_TABLES, LAYOUTS, TABLE_LAYOUTS, alter_types, enforce_schema, max_length, parse_type,
     schema_rejects, struct_type,
 )
-from starledger.session import scratch_path
+from starledger.session import materialised, scratch_path, scratch_scope
 from starledger.sources import files, html, sinks
 from tests.conftest import rows
 
@@ -86,11 +89,8 @@ def test_load_steps_in_order(spark):
         "product_key string, availability string, country_code string",
     )
     first = [{"product_key": 0, "availability": "kept as given"}]
-    got = sinks.prepare_load(
-        df, {"Still_avaliable": "True", "Removed": "False"}, ["GB", "DE"], first,
-        {"product_key": "BIGINT", "availability": "VARCHAR(30)"},
-    )
-    assert rows(got) == [(0, "kept as given", None), (1, "True", "GB"), (2, None, "DE")]
+    got = sinks.prepare_load(df, {"Still_avaliable": "True", "Removed": "False"}, ["GB", "DE"], first)
+    assert rows(got) == [("0", "kept as given", None), ("1", "True", "GB"), ("2", None, "DE")]
 
 
 def test_subset_falls_back_to_the_currency(spark):
@@ -137,5 +137,46 @@ def test_strict_casts_fail(spark):
         alter_types(df.withColumn("n", F.lit("x")), {"n": "SMALLINT"}).collect()
 
 
+def test_load_counts_what_it_loses(spark, tmp_path):
+    df = spark.createDataFrame([("1", "x" * 31), ("no", "y")], "card_key string, card_number string")
+    rejects = Rejects()
+    loaded = sinks.load_table(df, str(tmp_path / "t"), "replace", "dim_card_details", rejects)
+    assert rows(loaded.select("card_key")) == [(1,), (None,)]
+    assert rows(rejects.frame(spark).where("rows > 0")) == [
+        ("dim_card_details", "card_key", "rejected value", 1), ("dim_card_details", "card_number", "too long", 1),
+    ]
+
+
+def test_broken_documents_fail(spark, tmp_path):
+    lines = ['{"a": {"0": "x"}}', "", '{"a": {"0": "y"', '[{"a": "z"}]']
+    for n, broken in enumerate((False, True)):
+        path = tmp_path / f"d{n}.json"
+        path.write_text("\n".join(line for line in lines if broken or line.endswith(("}", "]"))))
+        read = files.read_json_columnar(spark, str(path), ["a", "b"], one_per_line=True).select("row_id", "a", "b")
+        if broken:
+            with pytest.raises(PySparkException, match="malformed JSON"):
+                read.collect()
+        else:
+            assert rows(read) == [(0, "x", None), (0, "z", None)]
+    keyed = spark.createDataFrame([('{"GB": {"n": "1"',)], "value string")
+    with pytest.raises(PySparkException, match="malformed JSON"):
+        files.keyed_records(keyed, ["n"], "code").collect()
+
+
+def test_csv_records_that_do_not_fit_fail(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text('a,b\n1,"two\nlines"\n')
+    assert rows(files.read_csv(spark, str(path), "a long, b string", multiline=True)) == [(1, "two\nlines")]
+    with pytest.raises((PySparkException, Py4JJavaError), match="(?i)malformed"):
+        files.read_csv(spark, str(path), "a long, b string").collect()
+
+
+def test_scratch_of_a_load_is_deleted(spark, tmp_path):
+    with scratch_scope(spark) as folder:
+        materialised(spark.range(5), "x")
+        assert len(list(Path(folder.removeprefix("file://")).iterdir())) == 1
+    assert not Path(folder.removeprefix("file://")).exists()
+
+
 def test_scratch_paths_are_fresh(spark):
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
