@@ -314,9 +314,14 @@ def cte_chain(spark, sf_dir):
     return attach(best, nations, "n_nationkey", "inner", reduced=True).select("n_name", "best")
 
 
-@register("share_of_count", """
-    SELECT o_orderstatus, count(*) AS sales, CAST(round(CAST(count(*) * 100 AS DECIMAL(20, 0))
-        / CAST(sum(count(*)) OVER () AS DECIMAL(20, 0)), 2) AS DOUBLE) AS share
+def half_up(hundredths: str, whole: str) -> str:
+    """Oracle text of a quotient in hundredths, rounded by its remainder. (Its own decimals divide as binary floats.)"""
+    up = f"CASE WHEN 2 * (({hundredths}) % ({whole})) >= {whole} THEN 1 ELSE 0 END"
+    return f"CAST(({hundredths}) // ({whole}) + {up} AS DOUBLE) / 100"
+
+
+@register("share_of_count", f"""
+    SELECT o_orderstatus, count(*) AS sales, {half_up("count(*) * 10000", "sum(count(*)) OVER ()")} AS share
     FROM orders GROUP BY o_orderstatus""")
 def share_of_count(spark, sf_dir):
     groups = table(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("sales"))

@@ -8,6 +8,7 @@ from functools import partial
 from pyspark.sql import functions as F
 
 from starledger.bindings.registry import register
+from starledger.bindings.relations import half_up
 from starledger.bindings.tables import star, star_ctes
 from starledger.plans.questions import QUESTIONS, sale_gaps
 from starledger.plans.star import Star
@@ -28,17 +29,15 @@ SQL = {
     "q3_sales_by_month": star_ctes("orders", "product", "date_times") + f"""
         SELECT CAST(round(sum({SALE}), 2) AS DOUBLE) AS total_sales, d.month AS month_number
         FROM {BY_KEYS} {DATES} GROUP BY d.month""",
-    "q4_online_vs_offline": star_ctes("orders") + """
+    "q4_online_vs_offline": star_ctes("orders") + f"""
         SELECT count(*) AS number_of_sales,
             CAST(sum(product_quantity) AS BIGINT) AS product_quantity_count,
-            CAST(round(CAST(count(*) * 100 AS DECIMAL(20, 0)) / CAST(sum(count(*)) OVER () AS DECIMAL(20, 0)), 2)
-                AS DOUBLE) AS percentage_total,
+            {half_up("count(*) * 10000", "sum(count(*)) OVER ()")} AS percentage_total,
             CASE WHEN store_code = 'WEB-1388012W' THEN 'Web' ELSE 'Offline' END AS location
         FROM orders_table GROUP BY location""",
     "q5_sales_by_store_type": star_ctes("orders", "product", "store") + f"""
         SELECT s.store_type, CAST(round(sum({SALE}), 2) AS DOUBLE) AS total_sales,
-            CAST(round(CAST(count(*) * 100 AS DECIMAL(20, 0))
-                / CAST((SELECT count(*) FROM orders_table) AS DECIMAL(20, 0)), 2) AS DOUBLE) AS percentage_total,
+            {half_up("count(*) * 10000", "(SELECT count(*) FROM orders_table)")} AS percentage_total,
             count(*) AS count, (SELECT count(*) FROM orders_table) AS total_orders
         FROM orders_table o LEFT JOIN dim_product p ON o.product_code = p.product_code
             LEFT JOIN dim_store_details s ON o.store_code = s.store_code
