@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starledger.llm.arrowtext import LOWER, WORD_BYTES, hash_runs, mix, owners, slices, windows, with_text_columns
+from starledger.llm.bloom import key_filter, passes, thinned
 from starledger.llm.components import attach_weighed, components, spread_join
 from starledger.session import materialised
 
@@ -262,16 +263,34 @@ def _members(classes: DataFrame) -> DataFrame:
     return materialised(members.drop("size").join(central, "cls").select("key", "cls", "n", "central"), "members")
 
 
+def _key(doc_id: str, text_hash: str | Column) -> Column:
+    return F.xxhash64(doc_id, text_hash)
+
+
 def _sets(docs: DataFrame, classes: DataFrame, members: DataFrame, words: int) -> DataFrame:
-    """(cls, elements) of all classes in ``members``, from the text of one document each."""
-    one = classes.join(members.select("cls").distinct(), "cls", "left_semi").select(
-        F.col("one.doc_id").alias("_id"), F.col("one.text_hash").alias("_hash")
-    )
-    keyed = docs.withColumn("text_hash", F.xxhash64("text"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
-    texts = keyed.join(one, same, "left_semi").select("text")
-    found = with_text_columns(texts, "text", _set_kernel(words), {"cls": "binary", "elements": "array<long>"})
-    return materialised(found.select("cls", "elements"), "sets")
+    """(cls, elements) of all classes in ``members``, from the text of one document each.
+
+    The documents are read again and, by a filter of fixed size, mostly passed over where they lie, so no
+    text is shuffled. What the filter lets through by chance does no harm: sets are looked up by class.
+    """
+    one = classes.join(members.select("cls").distinct(), "cls", "left_semi")
+    filter_ = key_filter(one, _key("one.doc_id", "one.text_hash"))
+    kernel = _set_kernel(words)
+
+    def run(batches):
+        seen: set[int] = set()
+        for batch in batches:
+            keys = batch.column(0).to_numpy()
+            rows = []
+            for row in np.flatnonzero(passes(filter_, keys)).tolist():
+                if keys[row] not in seen:
+                    seen.add(keys[row])
+                    rows.append(row)
+            found = kernel(batch.column(1).take(pa.array(rows, pa.int64())))
+            yield pa.RecordBatch.from_arrays([found["cls"], found["elements"]], ["cls", "elements"])
+
+    keyed = docs.select(_key("doc_id", F.xxhash64("text")).alias("key"), "text")
+    return materialised(keyed.mapInArrow(run, "cls binary, elements array<long>"), "sets")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -279,9 +298,11 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     union = F.size("set_a") + F.size("set_b") - common
     pairs = materialised(pairs, "candidates")
     # b is a leader and may have a large part of the pairs; a has few leaders.
-    with_b = spread_join(pairs, sets.select(F.col("cls").alias("b"), F.col("elements").alias("set_b")), "b")
+    of_b, of_a = (
+        thinned(sets, F.xxhash64("cls"), key_filter(pairs, F.xxhash64(side))).toDF(side, f"set_{side}") for side in "ba"
+    )
     return (
-        with_b.join(sets.select(F.col("cls").alias("a"), F.col("elements").alias("set_a")), "a")
+        spread_join(pairs, of_b, "b").join(of_a, "a")
         .where(100 * common >= percent * union)
         .select("a", "b")
     )
@@ -323,7 +344,8 @@ def _compared(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def kernel(table: pa.Table) -> pa.Table:
         return _cross_links(table.combine_chunks(), percent)
 
-    sent = dealt.join(sets, "cls").select("key", "low", "high", "block", "cls", "component", "elements")
+    wanted = thinned(sets, F.xxhash64("cls"), key_filter(members, F.xxhash64("cls")))
+    sent = dealt.join(wanted, "cls").select("key", "low", "high", "block", "cls", "component", "elements")
     return sent.groupBy("key", "low", "high").applyInArrow(kernel, "a binary, b binary").distinct()
 
 
@@ -369,7 +391,9 @@ def _with_shared(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     is out of reach of all others, however large the group of copies around it is.
     """
     tag = F.xxhash64("cls")
-    open_ = sets.join(members.select("cls").distinct(), "cls").select(tag.alias("tag"), F.explode("elements").alias("e"))
+    # A set more than wanted only makes shingles look shared.
+    wanted = thinned(sets, tag, key_filter(members, tag))
+    open_ = wanted.select(tag.alias("tag"), F.explode("elements").alias("e"))
     single = open_.groupBy("e").agg(F.count(F.lit(1)).alias("classes"), F.min("tag").alias("tag")).where("classes = 1")
     single = materialised(single.groupBy("tag").agg(F.count(F.lit(1)).cast("int").alias("alone")), "alone")
     known = members.withColumn("tag", tag).join(single, "tag", "left").drop("tag")
