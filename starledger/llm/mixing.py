@@ -6,7 +6,8 @@ flows from patterns to the quotas of the sources; the first use of a pattern's w
 repetition costs more than the one before (``REPEAT_COSTS``), so repetition is spread before it is
 deepened. A pattern's flow then becomes whole documents: every document the same number of
 times, and a seeded choice of them once more. The choice is a prefix in the order of a seeded hash, found
-through sums per hash bucket; around its end, whole documents are chosen so that they fill the gap.
+through sums per hash bucket; around its end, whole documents are chosen so that they fill the gap, and
+where very long documents leave it open, further rounds go on with those that still fit.
 
 Targets: weights share all words; no target is above ``len(REPEAT_COSTS)`` times its source's
 words, and what is over is shared again by weight.
@@ -23,6 +24,7 @@ import heapq
 from collections import defaultdict
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -37,12 +39,15 @@ WEIGHTS = (1, 2, 3)
 BUCKET_ROWS = 256
 FILL_ROWS = 256
 MAX_BUCKETS = 1 << 20
+#: A gap above this share of what a pattern gives is filled in a further round, up to so many.
+GAP = 0.0005
+ROUNDS = 5
 #: More patterns than this are refused: their table would no longer be small.
 MAX_PATTERNS = 100_000
 
 Source = str | None
 PLAN_COLUMNS = (
-    "pattern array<string>, copies int, rest long, buckets int, "
+    "pattern array<string>, goal long, copies int, rest long, buckets int, "
     "sources array<struct<source:string,source_size:long,target:double>>"
 )
 
@@ -192,7 +197,7 @@ class Mix:
     sizes: dict[Source, int]
     targets: dict[Source, float]
     plan: DataFrame
-    edges: DataFrame
+    taken: DataFrame
     chosen: DataFrame
 
 
@@ -216,7 +221,7 @@ def decide(narrow: DataFrame, weights: Callable[[Sequence[Source]], dict[Source,
         own = tuple(r["pattern"])
         full, rest = divmod(flow.get(own, 0), words[own]) if words[own] else (0, 0)
         buckets = min(MAX_BUCKETS, max(1, r["rows"] // BUCKET_ROWS))
-        rows.append((r["pattern"], full, rest, buckets, [(s, sizes[s], wanted[s]) for s in own]))
+        rows.append((r["pattern"], flow.get(own, 0), full, rest, buckets, [(s, sizes[s], wanted[s]) for s in own]))
     plan = spark.createDataFrame(rows, PLAN_COLUMNS)
     return Mix(dict(sizes), wanted, plan, *_once_more(narrow, plan))
 
@@ -227,74 +232,114 @@ def _bucketed(df: DataFrame, plan: DataFrame) -> DataFrame:
 
 
 def _once_more(narrow: DataFrame, plan: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Per pattern ``from_bucket``, before which all rows are used once more, and the rows chosen from there on."""
-    rows = _bucketed(narrow.select("pattern", "size", "key"), plan).where("rest > 0")
+    """Which rows are used once more: ``taken`` (pattern, low, high, most), all rows up to the size
+    ``most`` in the buckets from ``low`` to before ``high``, and the ``chosen`` rows beyond.
+
+    A round takes a prefix of the rows that fit at all and fills the gap behind it. Where a very long
+    document at the edge leaves more than ``GAP`` open, a further round goes on with the rows that still fit.
+    """
+    rows = _bucketed(narrow.select("pattern", "size", "key"), plan).withColumn("chosen", F.xxhash64("pattern", "key"))
+    left = plan.where("rest > 0").select("pattern", F.lit(0).cast("long").alias("low"), F.col("rest").alias("most"))
+    taken, chosen = [], []
+    for _ in range(ROUNDS):
+        # ``left`` has a row per pattern at most.
+        able = rows.join(F.broadcast(left), "pattern").where("size > 0 and size <= most and bucket >= low")
+        if chosen:
+            able = able.join(reduce(DataFrame.union, chosen), "chosen", "left_anti")
+        prefix, found = _round(able)
+        taken.append(prefix.select("pattern", "low", "high", "most"))
+        chosen.append(found.select("chosen").distinct())
+        filled = found.groupBy("pattern").agg(F.sum("words").alias("filled"))
+        left = (
+            prefix.join(filled, "pattern", "left")
+            .withColumn("gap", F.col("most") - F.col("held") - F.coalesce("filled", F.lit(0)))
+            .join(plan.select("pattern", "goal"), "pattern")
+            .where(F.col("gap") > GAP * F.col("goal"))
+            .select("pattern", F.col("high").alias("low"), F.col("gap").alias("most"))
+        )
+        left = materialised(left, "left")
+        if left.isEmpty():
+            break
+    return reduce(DataFrame.union, taken), reduce(DataFrame.union, chosen).withColumn("is_chosen", F.lit(True))
+
+
+def _round(able: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Per pattern its prefix (low, high, most, held), and the units (pattern, chosen, words) that fill the gap."""
     inside = Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     # One row per bucket: a pattern has at most MAX_BUCKETS.
     sums = (
-        rows.groupBy("pattern", "bucket", "rest")
+        able.groupBy("pattern", "bucket", "low", "most")
         .agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("count"))
         .withColumn("before", F.coalesce(F.sum("words").over(inside), F.lit(0)))
         .withColumn("rows_before", F.coalesce(F.sum("count").over(inside), F.lit(0)))
     )
-    edge = (
-        sums.where(F.col("before") + F.col("words") > F.col("rest"))
-        .groupBy("pattern")
-        .agg(F.min(F.struct("bucket", "before", "rows_before", "count")).alias("edge"))
-        .select("pattern", "edge.*")
+    sums = materialised(sums, "buckets")
+    over = F.col("before") + F.col("words") > F.col("most")
+    at = F.struct("bucket", "before", "rows_before", "count")
+    edges = sums.groupBy("pattern", "low", "most").agg(
+        F.min(F.when(over, at)).alias("edge"), F.max("bucket").alias("last"),
+        F.sum("words").alias("words"),
     )
-    last = (
-        sums.select("pattern", F.col("bucket").alias("b"), F.col("rows_before").alias("r"))
-        .join(edge, "pattern")
-        .where(F.col("r") <= F.col("rows_before") + F.col("count") + FILL_ROWS)
-        .groupBy("pattern")
-        .agg(F.min("bucket").cast("long").alias("from_bucket"), F.max("b").alias("to_bucket"), F.min("before").alias("held"))
+    # Without an edge all of it fits.
+    edges = edges.select(
+        "pattern", "low", "most", "edge",
+        F.coalesce("edge.bucket", F.col("last") + 1).alias("high"), F.coalesce("edge.before", "words").alias("held"),
     )
-    last = materialised(last, "edges")
-    near = rows.join(F.broadcast(last), "pattern").where("bucket between from_bucket and to_bucket")
+    reach = F.col("edge.rows_before") + F.col("edge.count") + FILL_ROWS
+    until = (
+        sums.select("pattern", "bucket", "rows_before").join(edges.select("pattern", "edge"), "pattern")
+        .where(F.col("rows_before") <= reach).groupBy("pattern").agg(F.max("bucket").alias("until"))
+    )
+    edges = materialised(edges.join(until, "pattern", "left").drop("edge"), "edges")
+    near = able.join(F.broadcast(edges.select("pattern", "high", "held", "until")), "pattern")
     # Equal rows are one unit.
-    units = near.groupBy("pattern", "bucket", "key", "rest", "held").agg(F.sum("size").alias("words"))
-    along = Window.partitionBy("pattern").orderBy("bucket", "key")
+    units = near.where("bucket between high and until").groupBy("pattern", "bucket", "chosen", "most", "held").agg(
+        F.sum("size").alias("words")
+    )
+    along = Window.partitionBy("pattern").orderBy("bucket", "chosen")
     units = units.select(
-        "pattern", "key", "words", (F.col("rest") - F.col("held")).alias("gap"),
+        "pattern", "chosen", "words", (F.col("most") - F.col("held")).alias("gap"),
         F.sum("words").over(along.rowsBetween(Window.unboundedPreceding, 0)).alias("sum"),
         F.row_number().over(along).alias("n"),
     )
-    fits = F.col("sum") <= F.col("gap")
     units = materialised(units, "units")
+    fits = F.col("sum") <= F.col("gap")
     edge = units.groupBy("pattern").agg(F.coalesce(F.max(F.when(fits, F.col("n"))), F.lit(0)).alias("edge"))
     units = units.join(F.broadcast(edge), "pattern")  # a row per pattern
     surely = F.col("n") <= F.col("edge") - FILL_ROWS
     # Around the edge FILL_ROWS units to either side are gathered: the longest first, each if it still fits.
     start = units.where(surely).groupBy("pattern").agg(F.max("sum").alias("start"))
     fill = (
-        units.where(~surely & (F.col("n") <= F.col("edge") + FILL_ROWS) & (F.col("words") > 0))
+        units.where(~surely & (F.col("n") <= F.col("edge") + FILL_ROWS))
         .groupBy("pattern", "gap")
-        .agg(F.sort_array(F.collect_list(F.struct("words", "key")), asc=False).alias("units"))
+        .agg(F.sort_array(F.collect_list(F.struct("words", "chosen")), asc=False).alias("units"))
         .join(F.broadcast(start), "pattern", "left")
         .withColumn("gap", F.col("gap") - F.coalesce("start", F.lit(0)))
     )
     fitted = F.aggregate(
         "units",
-        F.struct(F.col("gap").alias("gap"), F.array().cast("array<bigint>").alias("keys")),
+        F.struct(F.col("gap").alias("gap"), F.array().cast("array<struct<words:bigint,chosen:bigint>>").alias("units")),
         lambda a, u: F.when(
             u["words"] <= a["gap"],
-            F.struct((a["gap"] - u["words"]).alias("gap"), F.concat(a["keys"], F.array(u["key"])).alias("keys")),
+            F.struct((a["gap"] - u["words"]).alias("gap"), F.concat(a["units"], F.array(u)).alias("units")),
         ).otherwise(a),
     )
-    chosen = units.where(surely).select("pattern", "key").union(
-        fill.select("pattern", F.explode(fitted["keys"]).alias("key"))
+    found = units.where(surely).select("pattern", "chosen", "words").union(
+        fill.select("pattern", F.explode(fitted["units"]).alias("u")).select("pattern", "u.chosen", "u.words")
     )
-    chosen = chosen.select(F.xxhash64("pattern", "key").alias("chosen"), F.lit(True).alias("is_chosen"))
-    return last.select("pattern", "from_bucket"), materialised(chosen.distinct(), "chosen")
+    return edges, materialised(found, "chosen")
 
 
 def _with_copies(keyed: DataFrame, mix: Mix) -> DataFrame:
     """``keyed`` with ``copies``, how often each row is taken."""
     rows = _bucketed(keyed, mix.plan).withColumn("chosen", F.xxhash64("pattern", "key"))
-    rows = rows.join(F.broadcast(mix.edges), "pattern", "left")  # a row per pattern at most
-    rows = attach(rows, mix.chosen, "chosen")
-    once = F.coalesce(F.col("bucket") < F.col("from_bucket"), F.lit(False)) | F.coalesce(F.col("is_chosen"), F.lit(False))
+    taken = mix.taken.groupBy("pattern").agg(F.collect_list(F.struct("low", "high", "most")).alias("taken"))
+    rows = rows.join(F.broadcast(taken), "pattern", "left")  # a row per pattern, one range per round
+    rows = attach(rows, mix.chosen, "chosen", reduced=True)  # a key is one row but for repeated rows
+    once = F.exists(
+        "taken", lambda t: (F.col("bucket") >= t["low"]) & (F.col("bucket") < t["high"]) & (F.col("size") <= t["most"])
+    )
+    once = (F.col("size") > 0) & (F.coalesce(once, F.lit(False)) | F.coalesce(F.col("is_chosen"), F.lit(False)))
     return rows.withColumn("copies", F.col("copies") + once.cast("int"))
 
 
