@@ -5,8 +5,8 @@ Three base kinds are found by pattern (``assign``, ``access``, ``hex``). Beyond
 explains it better than the second: its log-likelihood ratio per character has to exceed a limit learned
 from ordinary words, and its total ``TOTAL``. Both models are tables of character pairs. They learn from a
 bounded sample of ``SAMPLE`` documents: the values of base spans, and strings drawn from
-the usual key alphabets, are labelled random; the other words of those documents are
-labelled ordinary (``WORDS_PER_DOCUMENT`` of each, spread over the text).
+the usual key alphabets, are labelled random; the other words of those documents, but for long ones
+of letters and digits, are labelled ordinary (``WORDS_PER_DOCUMENT`` of each, spread over the text).
 
 Defined cases: a null text is an empty one and has no spans; repeated rows are judged row by
 row; an empty table gives an empty result; further columns are ignored.
@@ -32,8 +32,9 @@ SAMPLE = 4000
 WORDS_PER_DOCUMENT = 40
 DRAWN = 4000
 SEED = 41
-#: Share of ordinary words whose ratio stays below the limit.
+#: Share of ordinary words whose ratio stays below the limit, and the bounds of that limit.
 ORDINARY_BELOW = 0.999
+LIMITS = (0.3, 1.0)
 
 # The base kinds, in the order in which they are listed.
 KINDS = ("assign", "access", "hex")
@@ -132,7 +133,8 @@ def train(random: list[str], ordinary: list[str]) -> Models:
         ratio = np.nan_to_num(np.log(chances(random)) - np.log(chances(ordinary)), posinf=0.0, neginf=0.0)
     models = Models(ratio, 0.0)
     seen = [models.judge(w)[1] for w in ordinary if len(w) >= LEAST // 2]
-    models.limit = max(0.3, float(np.quantile(seen, ORDINARY_BELOW))) if seen else 0.3
+    # A secret that no pattern finds counts as ordinary here; the upper bound keeps it from hiding others.
+    models.limit = float(np.clip(np.quantile(seen, ORDINARY_BELOW), *LIMITS)) if seen else LIMITS[0]
     return models
 
 
@@ -147,6 +149,11 @@ def drawn(seed: int = SEED) -> list[str]:
     return out
 
 
+def _may_be_key(word: str) -> bool:
+    """Long words of letters and digits are what is to be judged, so they are no examples of ordinary ones."""
+    return len(word) >= LEAST and any(c.isdigit() for c in word) and any(c.isalpha() for c in word)
+
+
 def learned(docs: DataFrame, doc_id: str, text: str) -> Models:
     rows = docs.count()
     body = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).where("text is not null")
@@ -165,7 +172,7 @@ def learned(docs: DataFrame, doc_id: str, text: str) -> Models:
                         value.append(secret[:200])
                     words = [
                         w[:200] for w in re.findall(r"[A-Za-z0-9+/_=-]{4,}", body)
-                        if not any(w in s[3] or s[3] in w for s in spans)
+                        if not any(w in s[3] or s[3] in w for s in spans) and not _may_be_key(w)
                     ]
                     some = words[:: max(1, len(words) // WORDS_PER_DOCUMENT)][:WORDS_PER_DOCUMENT]
                     label += [0] * len(some)
