@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from starledger.llm.arrowtext import (
     LINE_BYTES, WORD_BYTES, hash_runs, mix, owners, slices, windows, with_text_columns,
 )
-from starledger.operators.skew import attach
+from starledger.operators.skew import KeyProfile, attach
 from starledger.session import materialised
 
 MIN_WORDS = 20
@@ -172,9 +172,11 @@ def _counted(docs: DataFrame, text: str, source: str) -> DataFrame:
     )
 
 
-def _with_verdict(counted: DataFrame, hosts: DataFrame) -> DataFrame:
+def _with_verdict(counted: DataFrame, hosts: DataFrame, keys: DataFrame) -> DataFrame:
+    """``keys`` has the host of every row and is cheap to read; many hosts make a shuffled join that asks for it."""
     kept = ~F.col("base_failed") & (F.col("soft_failures") <= F.col("allowed"))
-    return attach(counted, hosts.select("host", "host_rate", "allowed"), "host").withColumn("kept", kept)
+    verdicts = hosts.select("host", "host_rate", "allowed")
+    return attach(counted, verdicts, "host", profile=KeyProfile(keys, "host")).withColumn("kept", kept)
 
 
 def judged(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -190,7 +192,7 @@ def judged(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source:
         counted.select(F.col("row.doc_id").alias("doc_id"), "host", *COUNTS, "base_failed", "soft_failures"),
         "counts",
     )
-    return _with_verdict(counted, host_verdicts(counted)).select(
+    return _with_verdict(counted, host_verdicts(counted), counted).select(
         "doc_id", *COUNTS, "base_failed", "soft_failures", "host_rate", "kept"
     )
 
@@ -201,4 +203,5 @@ def keep_good(docs: DataFrame, text: str = "text", source: str = "source") -> Da
     The texts are read twice, for the hosts and for the filter, rather than written in between.
     """
     hosts = host_verdicts(_counted(docs.select(text, source), text, source))
-    return _with_verdict(_counted(docs, text, source), hosts).where("kept").select("row.*")
+    keys = docs.select(_host(source).alias("host"))
+    return _with_verdict(_counted(docs, text, source), hosts, keys).where("kept").select("row.*")
