@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starledger.llm import (
-    embedjoin, langid, minhash, mixing, packing, pii, quality, secretscan, sharding, toxicity,
+    embedjoin, langid, minhash, mixing, oracles, packing, pii, quality, secretscan, sharding, toxicity,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,16 +55,15 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identified(table(spark, sf_dir, "documents"))
 
 
-@register("op3_epsilon_grid_join")
+@register("op3_epsilon_grid_join", oracles.NEAR_VECTORS)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedjoin.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
-@register("op4_host_quality_rules")
+@register("op4_host_quality_rules", oracles.HOST_QUALITY)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "host_rate",
     )
 
 
@@ -84,7 +83,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register("op7_superminhash_near_dedup")
+@register("op7_superminhash_near_dedup", oracles.NEAR_DOCUMENTS)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
