@@ -58,14 +58,19 @@ def map_literal(column: Column, mapping: Mapping[str, str]) -> Column:
 
 
 def map_values(df: DataFrame, column: str, mapping, to: str | None = None) -> DataFrame:
-    """Map a column through a dictionary, or through a (name, code) frame, into ``to``."""
+    """Map a column through a dictionary, or through a (name, code) frame, into ``to``.
+
+    A name with two codes in the frame fails the job if a row uses it.
+    """
     target = to or column
     if isinstance(mapping, Mapping):
         return df.withColumn(target, map_literal(F.col(column), mapping))
     order = [c for c in df.columns if c != target] + [target]
-    lookup = mapping.groupBy(F.col("name").alias("_name")).agg(F.max("code").alias("_code"))
+    lookup = mapping.groupBy(F.col("name").alias("_name")).agg(F.min("code").alias("_low"), F.max("code").alias("_code"))
     joined = attach(df.withColumn("_name", F.col(column)), lookup, "_name", "left", bound=mapping)
-    return joined.withColumn(target, F.col("_code")).select(*order)
+    repeated = F.raise_error(F.concat(F.lit("more than one code for "), F.col("_name").cast("string")))
+    code = F.when(F.col("_low") != F.col("_code"), repeated).otherwise(F.col("_code"))
+    return joined.withColumn(target, code).select(*order)
 
 
 def stamp_last_updated(df: DataFrame, run_ts: str) -> DataFrame:

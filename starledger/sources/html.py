@@ -56,6 +56,9 @@ def harvest_tables(
     )
 
 
+ROWS_TOGETHER = 5_000
+
+
 class _TableReader(HTMLParser):
     """Collects the rows of the ``index``-th outermost table; end tags are optional."""
 
@@ -108,9 +111,12 @@ def harvest_tables_lenient(
     """Like ``harvest_tables`` for markup with unclosed cells or rows, or nested tables.
 
     Pages are parsed one by one inside Arrow batches, spread over all tasks. Only outermost
-    tables count; the text of a nested one belongs to the cell around it.
+    tables count; the text of a nested one belongs to the cell around it. A task holds one batch of pages
+    (``spark.sql.execution.arrow.maxRecordsPerBatch``; lower it for very large pages), the
+    rows of one page and ``ROWS_TOGETHER`` others.
     """
     width = len(columns)
+    names = [page_id, "row_no", "is_header", *columns]
 
     def parse(batches) -> Iterator:
         import pandas as pd
@@ -126,7 +132,10 @@ def harvest_tables_lenient(
                 for row_no, (header, cells) in enumerate(r for r in reader.rows if r[1]):
                     named = [c or None for c in cells[:width]] + [None] * (width - len(cells))
                     out.append((page, row_no, header, *named))
-            yield pd.DataFrame(out, columns=[page_id, "row_no", "is_header", *columns])
+                if len(out) >= ROWS_TOGETHER:
+                    yield pd.DataFrame(out, columns=names)
+                    out = []
+            yield pd.DataFrame(out, columns=names)
 
     id_type = dict(pages.dtypes)[page_id]
     fields = ", ".join(f"`{c}` string" for c in columns)
