@@ -8,7 +8,7 @@ length go into consecutive sequences, so many in each. Pieces are ranked within
 shuffle of narrow rows and join the runs on length and rank.
 
 Token ids are those of the byte-level BPE vocabulary file named by the caller. ``tiktoken`` computes them
-from that file's own vocabulary; texts with very long runs of one kind of character go to
+from that file's own vocabulary; texts with very long runs of white space go to
 ``tokenizers``. Both give the same ids.
 
 Defined cases: a null text is an empty one, and an empty text is the end mark alone; repeated rows are packed
@@ -18,6 +18,7 @@ one by one; a null id is carried along; an empty table gives an empty result; fu
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -25,7 +26,6 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark.sql import DataFrame, functions as F
 
 from starledger.operators.keys import number_rows
@@ -35,7 +35,8 @@ CAPACITY = 2048
 END = 0
 # Fixed value: how byte-level BPE vocabularies of this kind cut a text into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_LONG_RUN = regex.compile(r"\s{2000}|\S{2000}")
+#: The fast encoder's pattern goes back over white space character by character, on a stack of bounded depth.
+_LONG_BLANK = re.compile(r"\s{2000}")
 
 
 def _byte_of_character() -> dict[str, int]:
@@ -64,7 +65,7 @@ class Encoder:
         self._plain.encode_special_tokens = True
 
     def ids(self, text: str) -> np.ndarray:
-        if _LONG_RUN.search(text):
+        if _LONG_BLANK.search(text):
             return np.array(self._plain.encode(text, add_special_tokens=False).ids, dtype="<u4")
         return np.array(self._fast.encode_ordinary(text), dtype="<u4")
 
@@ -164,7 +165,9 @@ def packed(
 
     With ``tokens`` the ids themselves are a further column, see ``sequences``.
     """
-    numbered = number_rows(pieces(docs, doc_id, text, tokenizer, capacity, tokens), ["length"], "_rank")
+    # Written first: ranking samples its input, and texts should be tokenized once.
+    cut_up = materialised(pieces(docs, doc_id, text, tokenizer, capacity, tokens), "pieces")
+    numbered = number_rows(cut_up, ["length"], "_rank")
     counts = numbered.groupBy("length").agg(F.count(F.lit(1)).alias("pieces"))
     histogram = {r["length"]: r["pieces"] for r in counts.collect()}  # at most ``capacity`` rows
     before, total = {}, 0
