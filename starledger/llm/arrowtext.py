@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 PIECE = 1 << 18
 #: Texts are taken together up to this many bytes; a longer text goes alone.
-SLICE = 1 << 22
+SLICE = 1 << 20
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
 _SPACES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
