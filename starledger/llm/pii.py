@@ -32,6 +32,8 @@ REACH = 40
 ACCEPT = 0.5
 CONTEXT_BONUS = 0.3
 _BLOCK = 256
+#: So many matches at most are in reach: a match has two code points or more.
+_NEIGHBOURS = REACH // 2
 
 
 def _digits(value: Column) -> Column:
@@ -148,6 +150,36 @@ def _running(values: Column) -> Column:
     return F.transform(F.array(values), with_values)[0]
 
 
+def _surroundings(pair: Column) -> Column:
+    """Array of (before, after) of the matches: ``REACH`` code points of the text on each side, neighbouring matches included.
+
+    They are put together from the ends of the pieces and matches around a match, so that a text with many
+    matches does not take time by the square.
+    """
+    n = F.size(pair["m"])
+    lefts, rights = F.slice(pair["p"], F.lit(1), n), F.slice(pair["p"], F.lit(2), n)
+    ends = F.struct(
+        lefts.alias("lefts"), rights.alias("rights"),
+        F.zip_with(lefts, pair["m"], lambda p, m: F.right(F.concat(p, m), F.lit(REACH))).alias("until"),
+        F.zip_with(pair["m"], rights, lambda m, p: F.left(F.concat(m, p), F.lit(REACH))).alias("since"),
+    )
+
+    def near(x: Column) -> Column:
+        def sides(left: Column, i: Column) -> Column:
+            right = x["rights"][i]
+            nearest = F.least(i, F.lit(_NEIGHBOURS))
+            earlier = F.when(F.length(left) < REACH, F.array_join(F.slice(x["until"], i - nearest + 1, nearest), "")).otherwise("")
+            later = F.when(F.length(right) < REACH, F.array_join(F.slice(x["since"], i + 2, F.lit(_NEIGHBOURS)), "")).otherwise("")
+            return F.struct(
+                F.right(F.concat(earlier, left), F.lit(REACH)).alias("before"),
+                F.left(F.concat(right, later), F.lit(REACH)).alias("after"),
+            )
+
+        return F.transform(x["lefts"], sides)
+
+    return F.transform(F.array(ends), near)[0]
+
+
 def _proposals(text: Column, kind: Kind) -> Column:
     """Array of (start, end, value, before, after), null where the pattern does not occur."""
     pieces = F.split(text, kind.pattern, -1)
@@ -155,17 +187,16 @@ def _proposals(text: Column, kind: Kind) -> Column:
 
     def located(pair: Column) -> Column:
         n = F.size(pair["m"])
-        before, after = F.slice(pair["p"], F.lit(1), n), F.slice(pair["p"], F.lit(2), n)
-        ends = _running(F.zip_with(before, pair["m"], lambda p, m: F.length(p) + F.length(m)))
-        zipped = F.arrays_zip(ends.alias("end"), pair["m"].alias("value"), before.alias("before"), after.alias("after"))
+        ends = _running(F.zip_with(F.slice(pair["p"], F.lit(1), n), pair["m"], lambda p, m: F.length(p) + F.length(m)))
+        zipped = F.arrays_zip(ends.alias("end"), pair["m"].alias("value"), _surroundings(pair).alias("near"))
         return F.transform(
             zipped,
             lambda x: F.struct(
                 (x["end"] - F.length(x["value"])).alias("start"),
                 x["end"].alias("end"),
                 x["value"].alias("value"),
-                F.right(x["before"], F.lit(REACH)).alias("before"),
-                F.left(x["after"], F.lit(REACH)).alias("after"),
+                x["near"]["before"].alias("before"),
+                x["near"]["after"].alias("after"),
             ),
         )
 
@@ -219,15 +250,16 @@ def _masked_once(text: Column, kind: Kind) -> Column:
 
     def joined(pair: Column) -> Column:
         n = F.size(pair["m"])
-        zipped = F.arrays_zip(
-            pair["m"].alias("value"),
-            F.slice(pair["p"], F.lit(1), n).alias("before"), F.slice(pair["p"], F.lit(2), n).alias("after"),
-        )
+        columns = [pair["m"].alias("value"), F.slice(pair["p"], F.lit(1), n).alias("left")]
+        if kind.score < ACCEPT:
+            columns.append(_surroundings(pair).alias("near"))
+        zipped = F.arrays_zip(*columns)
 
         def shown(x: Column) -> Column:
-            near = F.concat_ws(" ", F.right(x["before"], F.lit(REACH)), F.left(x["after"], F.lit(REACH)))
-            counts = F.lit(kind.score >= ACCEPT) | near.rlike(kind.context)
-            return F.concat(x["before"], F.when(kind.valid(x["value"]) & counts, label).otherwise(x["value"]))
+            counts = kind.valid(x["value"])
+            if kind.score < ACCEPT:
+                counts &= F.concat_ws(" ", x["near"]["before"], x["near"]["after"]).rlike(kind.context)
+            return F.concat(x["left"], F.when(counts, label).otherwise(x["value"]))
 
         return F.concat(F.array_join(F.transform(zipped, shown), ""), F.element_at(pair["p"], -1))
 

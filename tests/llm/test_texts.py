@@ -85,6 +85,29 @@ def test_checksums_and_context_decide_about_further_kinds(spark):
     assert kinds == {0: ["iban"], 1: ["iban"], 2: [], 3: ["ssn"], 4: [], 5: ["tel"], 6: [], 7: ["phone"]}
 
 
+def test_context_reaches_past_neighbouring_matches(spark):
+    far = "SSN " + "é" * 8 + " 123-45-6789 " + "x" * 14 + " 123-45-6788 " + "x" * 10 + " 123-45-6787"
+    texts = [
+        "SSN: 123-45-6789, 123-45-6788", "123-45-6789, 123-45-6788 (ssn)", "call (743) 555-3824 or (743) 555-3825",
+        "call +1 (743) 555-3824 or (743) 555-3825", "call 1.2.3.4, (743) 555-3824", far, "ssn " + "1-1 " * 8 + "123-45-6789",
+        "123-45-6789, 123-45-6788",
+    ]
+    docs = documents(spark, texts)
+    spans = {
+        r.doc_id: [tuple(s) for s in r.spans]
+        for r in pii.found(docs).select("doc_id", F.transform("spans", lambda s: F.struct(s["kind"], s["start"], s["end"])).alias("spans")).collect()
+    }
+    assert spans[0] == [("ssn", 5, 16), ("ssn", 18, 29)] and spans[1] == [("ssn", 0, 11), ("ssn", 13, 24)]
+    assert [s[0] for s in spans[2]] == ["tel", "tel"] and [s[0] for s in spans[3]] == ["phone", "tel"]
+    assert [s[0] for s in spans[4]] == ["ip", "tel"]
+    # The label is 40 code points before the second number, and further from the third.
+    assert spans[5] == [("ssn", 13, 24), ("ssn", 40, 51)]
+    assert [s[0] for s in spans[6]] == ["ssn"] and spans[7] == []
+    masked = {r.doc_id: r.text for r in pii.masked(docs).collect()}
+    assert masked[0] == "SSN: [SSN], [SSN]" and masked[1] == "[SSN], [SSN] (ssn)" and masked[2] == "call [TEL] or [TEL]"
+    assert masked[3] == "call [PHONE] or [TEL]" and masked[4] == "call [IP], [TEL]" and masked[7] == texts[7]
+
+
 def test_masking_leaves_no_base_span(spark):
     texts = [*ODD_TEXTS, *PERSONAL, None]
     docs = documents(spark, texts)
