@@ -18,6 +18,20 @@ def share_of_hash(seed: int, *columns: str | Column) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(1 << 30)) / float(1 << 30)
 
 
+def shares(counts: dict, total: int, most: int | None = None, least: int = 0) -> dict:
+    """Per label the share of its rows to take, so that about ``total`` rows are taken.
+
+    Labels get equal numbers of rows, at most ``most`` and at least ``least`` as far as they have them; what a
+    label has too few rows for goes to the others.
+    """
+    taken, left = {}, total
+    for n, label in enumerate(sorted(counts, key=counts.get)):
+        rows = max(least, left // (len(counts) - n))
+        taken[label] = min(counts[label], rows if most is None else min(rows, most))
+        left = max(0, left - taken[label])
+    return {label: taken[label] / counts[label] for label in counts}
+
+
 def per_label(rows: DataFrame, label: str, key: str, most: int, labels: int, seed: int) -> DataFrame:
     """About ``most`` rows of each of the ``labels`` most frequent values of ``label``, chosen by hash of ``key``.
 

@@ -3,12 +3,15 @@
 Features of a whole text: densities of a lexicon, common insults and words learned from the labelled sample (words and words with
 digits or signs in place of letters), lexicon words near a second-person pronoun, rates of capitals,
 punctuation, repeated signs and obfuscated words, and length. The labelled sample is bounded
-(``SAMPLE`` documents by hash) and cut in three by hash: one part gives the lexicon, one grows the
-trees, one calibrates them, so that no step learns from what an earlier one has fitted.
-Only word counts and feature rows of the sample come to the driver.
-
-Defined cases: a null text is an empty one and is scored like any text; without labels of both
-kinds every score is the share of toxic labels (0 without any); of several labels of one id the highest
+(``SAMPLE`` documents by hash, half of them toxic; what one label has too few documents for goes to the other)
+and each label is cut in three by hash: one part gives the lexicon, one grows the
+trees, one calibrates them, so that no step learns from what an earlier one has fitted. Rows weigh by the
+inverse of their label's share in the sample, so scores are shares of the whole table.
+Only ids, word counts and feature rows of the sample come to the driver.
+
+Defined cases: a null text is an empty one and is scored like any text; with fewer than ``FEWEST`` labelled documents
+of either kind every score is the share of toxic labels (0 without any); labels without a document teach nothing;
+of several labels of one id the highest
 counts; repeated rows are scored row by row; an empty table gives an empty result; further columns
 are ignored. Labels, language, source and id of a row are not looked at when it is scored.
 """
@@ -22,9 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from starledger.llm.arrowtext import LOWER, hash_heads, hash_runs, owners, slices, with_text_columns
-from starledger.llm.samples import held_out, share_of_hash
+from starledger.llm.samples import held_out, share_of_hash, shares
 
 SAMPLE = 24_000
+#: Labelled documents of each kind, so that each third of the sample has some.
+FEWEST = 10
 LEXICON = 600
 #: A strong entry has this share of the largest weight.
 STRONG = 0.7
@@ -186,17 +191,23 @@ class Trees:
         return total
 
 
-def grow(x: np.ndarray, y: np.ndarray) -> Trees:
-    """Second-order boosting of the logistic loss on binned features."""
-    edges = [np.unique(np.quantile(col, np.linspace(0, 1, BINS)[1:-1])) for col in x.T]
+def grow(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> Trees:
+    """Second-order boosting of the logistic loss on binned features.
+
+    Each label gives borders of bins, as rows of a rare one fill no bin of all rows.
+    """
+    weight = np.ones(len(y)) if weight is None else weight
+    parts = [x[y == label] for label in np.unique(y)]
+    at = np.linspace(0, 1, BINS)[1:-1]
+    edges = [np.unique(np.concatenate([np.quantile(part[:, f], at) for part in parts])) for f in range(x.shape[1])]
     binned = np.column_stack([np.searchsorted(e, col, side="left") for e, col in zip(edges, x.T)])
-    mean = np.clip(y.mean(), 1e-4, 1 - 1e-4)
+    mean = np.clip(np.average(y, weights=weight), 1e-9, 1 - 1e-9)
     model = Trees(float(np.log(mean / (1 - mean))))
     raw = np.full(len(y), model.start)
     inner = 2**DEPTH - 1
     for _ in range(TREES):
         p = 1 / (1 + np.exp(-raw))
-        slope, curve = p - y, p * (1 - p)
+        slope, curve = weight * (p - y), weight * p * (1 - p)
         feature, limit = np.zeros(inner, dtype=np.int64), np.full(inner, np.inf)
         node = np.zeros(len(y), dtype=np.int64)
         for k in range(inner):
@@ -232,21 +243,23 @@ def _best_split(binned, slope, curve, edges) -> tuple[int, float]:
     return best[1], float(best[2])
 
 
-def isotonic(raw: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def isotonic(raw: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Rising curve of label shares over raw scores (pool adjacent violators), as points to interpolate.
 
-    One row of the overall share in each pool keeps shares off 0 and 1.
+    Rows of one raw score are one pool from the start. One row of the overall share in each pool keeps shares off 0 and 1.
     """
-    order = np.argsort(raw, kind="stable")
+    weight = np.ones(len(y)) if weight is None else weight
+    mean = np.average(y, weights=weight)
+    scores, at = np.unique(raw, return_inverse=True)
     pools: list[list[float]] = []  # labels, rows, sum of raw
-    for r, label in zip(raw[order], y[order]):
-        pools.append([label, 1.0, r])
+    for r, label, rows in zip(scores, np.bincount(at, weights=weight * y), np.bincount(at, weights=weight)):
+        pools.append([label, rows, r * rows])
         while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
             last = pools.pop()
             pools[-1] = [a + b for a, b in zip(pools[-1], last)]
     points = np.array([p[2] / p[1] for p in pools])
-    shares = np.array([(p[0] + y.mean()) / (p[1] + 1) for p in pools])
-    return points, np.maximum.accumulate(shares)
+    found = np.array([(p[0] + mean) / (p[1] + 1) for p in pools])
+    return points, np.maximum.accumulate(found)
 
 
 @dataclass
@@ -298,22 +311,36 @@ def learned(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: s
     known = labels.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{label}`").cast("int").alias("toxic"))
     known = known.where("doc_id is not null and toxic is not null").where(~held_out("doc_id"))
     known = known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-    rows, toxic = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    if toxic < 10 or rows - toxic < 10:
-        return toxic / rows if rows else 0.0
-    chosen = known.where(share_of_hash(SEED, "doc_id") < SAMPLE / rows)
-    # About SAMPLE rows of two numbers.
+    known = known.join(docs.select(F.col(f"`{doc_id}`").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    counts = {0: 0, 1: 0} | {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if min(counts.values()) < FEWEST:
+        return counts[1] / max(1, sum(counts.values()))
+    share = shares(counts, SAMPLE)
+    # About SAMPLE rows of an id and two numbers.
+    chosen = known.where(share_of_hash(SEED, "doc_id") < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]))
     sample = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    sample = sample.join(F.broadcast(chosen), "doc_id").withColumn("part", F.pmod(F.xxhash64(F.lit(SEED + 1), "doc_id"), F.lit(3)))
+    sample = sample.join(F.broadcast(_in_parts(chosen)), "doc_id")
     lexicon = _lexicon(sample.where("part = 0"))
     found = _with_features(sample.where("part > 0"), "text", lexicon).select("row.doc_id", "row.toxic", "row.part", "features")
     table = found.toArrow().to_pandas().sort_values("doc_id")
-    x = np.stack(table["features"]) if len(table) else np.zeros((0, len(FEATURES)))
+    x = np.stack(table["features"])
     y, part = table["toxic"].to_numpy(dtype=float), table["part"].to_numpy()
-    if not {0.0, 1.0} <= set(y[part == 1]) or not {0.0, 1.0} <= set(y[part == 2]):
-        return toxic / rows
-    trees = grow(x[part == 1], y[part == 1])
-    return Model(lexicon, trees, *isotonic(trees.raw(x[part == 2]), y[part == 2]))
+    # The label that is sampled less thinly has the weight 1.
+    weight = np.where(y == 1, max(share.values()) / share[1], max(share.values()) / share[0])
+    trees = grow(x[part == 1], y[part == 1], weight[part == 1])
+    return Model(lexicon, trees, *isotonic(trees.raw(x[part == 2]), y[part == 2], weight[part == 2]))
+
+
+def _in_parts(chosen: DataFrame) -> DataFrame:
+    """``chosen`` with a part from 0 to 2, each having a third of each label's documents."""
+    table = chosen.withColumn("part", F.xxhash64(F.lit(SEED + 1), "doc_id")).toArrow().combine_chunks()
+    toxic, order = table["toxic"].to_numpy(), table["part"].to_numpy()
+    part = np.zeros(len(toxic), dtype=np.int32)
+    for label in (0, 1):
+        rows = np.flatnonzero(toxic == label)
+        part[rows[np.argsort(order[rows], kind="stable")]] = np.arange(len(rows)) % 3
+    parts = table.set_column(table.schema.get_field_index("part"), "part", pa.array(part))
+    return chosen.sparkSession.createDataFrame(parts)
 
 
 def _with_features(df: DataFrame, text: str, lexicon: Lexicon) -> DataFrame:

@@ -227,3 +227,28 @@ def test_isotonic_curve_rises():
     raw = rng.normal(size=500)
     points, shares = toxicity.isotonic(raw, (raw + rng.normal(size=500) > 0).astype(float))
     assert (np.diff(points) > 0).all() and (np.diff(shares) >= 0).all() and 0 < shares[0] < shares[-1] < 1
+
+
+def test_rare_toxic_labels_of_a_large_table_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE", 240)
+    texts = prose(4000, 3, 12)
+    toxic = {n for n in range(4000) if n % 100 == 0}
+    made = [t.replace(" ", " idiot zorgish" + "abcdefgh"[n % 8] + " ", 2) if n in toxic else t for n, t in enumerate(texts)]
+    labels = spark.createDataFrame([(n, int(n in toxic)) for n in range(4000)] + [(n, 0) for n in range(5000, 9000)], "doc_id long, toxic int")
+    rows = toxicity.scored(documents(spark, made), labels).collect()
+    assert {r.doc_id for r in rows if r.predicted} == toxic
+    # Scores stay shares of the whole table, of which 1 % is toxic.
+    assert 0.5 < sum(r.score for r in rows) / len(toxic) < 2
+
+
+def test_a_third_of_few_toxic_labels_goes_to_each_part(spark):
+    chosen = spark.createDataFrame([(f"d{n}", int(n < 10)) for n in range(100)], "doc_id string, toxic int")
+    counts = {(r.toxic, r.part): r["count"] for r in toxicity._in_parts(chosen).groupBy("toxic", "part").count().collect()}
+    assert counts == {(1, 0): 4, (1, 1): 3, (1, 2): 3, (0, 0): 30, (0, 1): 30, (0, 2): 30}
+
+
+def test_isotonic_scores_weigh_rows_and_pool_equal_scores():
+    raw, y, weight = np.array([0.0, 0.0, 1.0, 1.0]), np.array([0.0, 0.0, 0.0, 1.0]), np.array([9.0, 9.0, 9.0, 1.0])
+    points, found = toxicity.isotonic(raw, y, weight)
+    mean = 1 / 28
+    assert points.tolist() == [0.0, 1.0] and np.allclose(found, [mean / 19, (1 + mean) / 11])
