@@ -2,10 +2,12 @@
 
 The network reads windows of ``WINDOW`` bytes in both directions, gives every byte a distribution over the
 languages, and a document's probabilities are the mean over all its bytes. It is trained here, in numpy, by
-backpropagation through time, on snippets of a bounded sample: about ``SAMPLE_PER_LANGUAGE`` labelled
-documents of each of the ``MAX_LANGUAGES`` most frequent languages, ``SNIPPETS`` snippets each, from
-places all over the text. Prediction reads whole texts, window by window, with thousands of windows in
-step, so memory does not depend on the length of a text.
+backpropagation through time, on snippets of a bounded sample: every language with a labelled document to learn from
+is learned, ``SAMPLE`` documents are shared out to them, to each ``SAMPLE_PER_LANGUAGE`` at most and, however many
+languages there are, ``LEAST_PER_LANGUAGE`` as far as it has them; ``SNIPPETS`` snippets each, from
+places all over the text. Units and steps of training grow with the number of languages. Prediction reads whole
+texts, window by window, with thousands of windows in step (fewer with more languages), so memory does not depend
+on the length of a text.
 
 Defined cases: a null text and one without a letter are ``und`` with score 0; repeated rows are
 judged row by row; with nothing to learn from, every text is ``und``; an empty table gives an
@@ -26,10 +28,13 @@ from starledger.llm.samples import held_out, per_label
 
 WINDOW = 128
 UNITS = 8
+SAMPLE = 38_400
 SAMPLE_PER_LANGUAGE = 600
+LEAST_PER_LANGUAGE = 20
 SNIPPETS = 6
-MAX_LANGUAGES = 64
 STEPS = 260
+#: ``UNITS`` and ``STEPS`` are for so many languages, ``TOGETHER`` for four times as many.
+FEW = 4
 BATCH = 192
 LENGTH = 56
 RATE = 0.012
@@ -47,28 +52,29 @@ class Direction:
 
     names = ("table", "inner", "bias")
 
-    def __init__(self, rng: np.random.Generator):
-        self.table = (rng.normal(size=(3 * UNITS, 256)) * 0.3).astype(np.float32)
-        self.inner = (rng.normal(size=(3 * UNITS, UNITS)) / np.sqrt(UNITS)).astype(np.float32)
-        self.bias = np.zeros((UNITS, 1), dtype=np.float32)
+    def __init__(self, rng: np.random.Generator, units: int = UNITS):
+        self.table = (rng.normal(size=(3 * units, 256)) * 0.3).astype(np.float32)
+        self.inner = (rng.normal(size=(3 * units, units)) / np.sqrt(units)).astype(np.float32)
+        self.bias = np.zeros((units, 1), dtype=np.float32)
 
     def read(self, steps: np.ndarray, trace: list | None = None) -> np.ndarray:
         """States after each row of ``steps`` (time, windows)."""
         time, windows = steps.shape
-        h = np.zeros((UNITS, windows), dtype=np.float32)
-        out = np.empty((time, UNITS, windows), dtype=np.float32)
+        units = len(self.bias)
+        h = np.zeros((units, windows), dtype=np.float32)
+        out = np.empty((time, units, windows), dtype=np.float32)
         for t in range(time):
             x = np.take(self.table, steps[t], axis=1)
             inner = self.inner @ h
-            gates = x[: 2 * UNITS]
-            gates += inner[: 2 * UNITS]
+            gates = x[: 2 * units]
+            gates += inner[: 2 * units]
             gates *= np.float32(0.5)
             np.tanh(gates, out=gates)
             gates *= np.float32(0.5)
             gates += np.float32(0.5)
-            keep, reset = gates[:UNITS], gates[UNITS:]
-            held = inner[2 * UNITS :] + self.bias
-            new = x[2 * UNITS :]
+            keep, reset = gates[:units], gates[units:]
+            held = inner[2 * units :] + self.bias
+            new = x[2 * units :]
             new += reset * held
             np.tanh(new, out=new)
             before = h
@@ -135,17 +141,22 @@ def _windows(snippets: list[bytes], starts: np.ndarray, length: int) -> tuple[np
 def train(snippets: list[bytes], languages: list[str], seed: int = SEED) -> Network:
     """Adam on the mean cross-entropy of all bytes; every batch has the languages in equal parts."""
     rng = np.random.default_rng(seed)
-    names = sorted(set(languages))
+    by_name: dict[str, list[bytes]] = {}
+    for snippet, name in zip(snippets, languages):
+        by_name.setdefault(name, []).append(snippet)
+    names = sorted(by_name)
+    of = [by_name[n] for n in names]
+    growth = np.sqrt(max(1.0, len(names) / FEW))
+    units, count = round(UNITS * np.sqrt(growth)), round(STEPS * growth)
     net = Network(
-        names, Direction(rng), Direction(rng),
-        (rng.normal(size=(len(names), 2 * UNITS)) * 0.3).astype(np.float32), np.zeros((len(names), 1), np.float32),
+        names, Direction(rng, units), Direction(rng, units),
+        (rng.normal(size=(len(names), 2 * units)) * 0.3).astype(np.float32), np.zeros((len(names), 1), np.float32),
     )
-    of = [[s for s, name in zip(snippets, languages) if name == n] for n in names]
     slots = [(net.forward, k) for k in Direction.names] + [(net.backward, k) for k in Direction.names]
     slots += [(net, "weight"), (net, "offset")]
     first = [np.zeros_like(getattr(o, k)) for o, k in slots]
     second = [np.zeros_like(getattr(o, k)) for o, k in slots]
-    for step in range(STEPS):
+    for step in range(count):
         truth = rng.integers(len(names), size=BATCH)
         chosen = [of[n][rng.integers(len(of[n]))] for n in truth]
         # A part of the examples is cut short, as short texts are.
@@ -160,11 +171,11 @@ def train(snippets: list[bytes], languages: list[str], seed: int = SEED) -> Netw
         weight = np.einsum("tlb,tsb->ls", errors, states)
         back = np.einsum("ls,tlb->tsb", net.weight, errors)
         steps = np.ascontiguousarray(windows.T)
-        one = net.forward.learn(steps, traces[0], back[:, :UNITS])
-        two = net.backward.learn(steps[::-1], traces[1], back[::-1, UNITS:])
+        one = net.forward.learn(steps, traces[0], back[:, :units])
+        two = net.backward.learn(steps[::-1], traces[1], back[::-1, units:])
         slopes = [one[k] for k in Direction.names] + [two[k] for k in Direction.names]
         slopes += [weight, errors.sum(axis=(0, 2))[:, None]]
-        rate = RATE * min(1.0, 2.5 * (1 - step / STEPS))
+        rate = RATE * min(1.0, 2.5 * (1 - step / count))
         for n, ((owner, name), slope) in enumerate(zip(slots, slopes)):
             slope = np.clip(slope, -1, 1)
             first[n] = 0.9 * first[n] + 0.1 * slope
@@ -186,8 +197,9 @@ def pooled(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     padded = np.concatenate([data, np.full(WINDOW, _SPACE, np.uint8)])
     # Windows of like size go together, so that short ones take few steps.
     order = np.argsort(-sizes, kind="stable")
-    for at in range(0, len(order), TOGETHER):
-        rows = order[at : at + TOGETHER]
+    together = max(16, min(TOGETHER, TOGETHER * 4 * FEW // len(net.languages)))
+    for at in range(0, len(order), together):
+        rows = order[at : at + together]
         width = int(sizes[rows[0]])
         outside = np.arange(width) >= sizes[rows][:, None]
         windows = padded[starts[rows][:, None] + np.arange(width)]
@@ -203,9 +215,8 @@ def learned(docs: DataFrame, doc_id: str, text: str, language: str, seed: int =
     """A network trained on the documents that are not held out; None if there are none."""
     rows = docs.select(
         F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), F.col(f"`{language}`").alias("language")
-    ).where(F.col("language").isNotNull() & ~held_out("doc_id"))
-    rows = per_label(rows, "language", "doc_id", SAMPLE_PER_LANGUAGE, MAX_LANGUAGES, seed)
-    rows = rows.where(F.col("text").rlike(r"\p{L}"))
+    ).where(F.col("language").isNotNull() & ~held_out("doc_id") & F.col("text").rlike(r"\p{L}"))
+    rows = per_label(rows, "language", "doc_id", SAMPLE, SAMPLE_PER_LANGUAGE, LEAST_PER_LANGUAGE, seed)
     place = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "k"), F.greatest(F.length("text") - LENGTH, F.lit(1)))
     snippets = rows.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(SNIPPETS)))).select(
         "language", F.substr("text", place.cast("int") + 1, F.lit(2 * LENGTH)).alias("snippet")

@@ -32,16 +32,16 @@ def shares(counts: dict, total: int, most: int | None = None, least: int = 0) ->
     return {label: taken[label] / counts[label] for label in counts}
 
 
-def per_label(rows: DataFrame, label: str, key: str, most: int, labels: int, seed: int) -> DataFrame:
-    """About ``most`` rows of each of the ``labels`` most frequent values of ``label``, chosen by hash of ``key``.
+def per_label(rows: DataFrame, label: str, key: str, total: int, most: int, least: int, seed: int) -> DataFrame:
+    """About ``total`` rows, shared out to all values of ``label`` as ``shares`` does, chosen by hash of ``key``.
 
     One row per label comes to the driver.
     """
-    counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), label).limit(labels).collect()
+    counts = {r[label]: r["n"] for r in rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).orderBy(label).collect()}
     if not counts:
         return rows.limit(0)
-    shares = rows.sparkSession.createDataFrame(
-        [(r[label], min(1.0, most / r["n"])) for r in counts], rows.select(label).schema.add("share", "double")
+    found = rows.sparkSession.createDataFrame(
+        list(shares(counts, total, most, least).items()), rows.select(label).schema.add("share", "double")
     )
-    chosen = rows.join(F.broadcast(shares), label).where(share_of_hash(seed, key) < F.col("share"))
+    chosen = rows.join(F.broadcast(found), label).where(share_of_hash(seed, key) < F.col("share"))
     return chosen.drop("share")

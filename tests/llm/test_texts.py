@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starledger.llm import arrowtext, langid, pii, quality, secretscan, toxicity
-from starledger.llm.samples import held_out
+from starledger.llm.samples import held_out, shares
 from tests.llm.helpers import (
     ODD_TEXTS, WORD, documents, empty, lower_ascii, pii_spans, prose, quality_counts, secret_spans,
 )
@@ -181,6 +181,31 @@ def test_language_network_learns_and_ignores_the_row_s_own_language(spark, monke
     assert langid.identified(empty(docs)).count() == 0
 
 
+def test_no_language_is_left_out_however_many_there_are(spark, monkeypatch):
+    import random
+
+    made = random.Random(7)
+    letters = {f"l{k:02d}": made.sample("abcdefghijklmnopqrstuvwxyz", 6) for k in range(70)}
+    names = sorted(letters)
+    texts, langs = [], []
+    for n in range(70 * 24):
+        langs.append(names[n % 70])
+        texts.append(" ".join("".join(made.choices(letters[langs[-1]], k=5)) for _ in range(40)))
+    docs = documents(spark, texts, lang=langs)
+    monkeypatch.setattr(langid, "SAMPLE", 70 * 12)
+    monkeypatch.setattr(langid, "STEPS", 150)
+    rows = langid.identified(docs).collect()
+    assert {r.lang_pred for r in rows} == set(names)
+    assert sum(r.lang_pred == langs[r.doc_id] for r in rows) > 0.85 * len(rows)
+
+
+def test_a_sample_is_shared_out_to_all_labels():
+    assert shares({"a": 1000, "b": 1000, "c": 10}, 210) == {"a": 0.1, "b": 0.1, "c": 1.0}
+    assert shares({"a": 1000, "b": 10}, 100, most=50) == {"a": 0.05, "b": 1.0}
+    assert shares({n: 100 for n in range(50)}, 100, least=20) == {n: 0.2 for n in range(50)}
+    assert shares({"a": 7}, 100) == {"a": 1.0} and shares({}, 100) == {}
+
+
 def test_gradients_of_the_recurrent_layers():
     rng = np.random.default_rng(0)
     layer = langid.Direction(rng)
