@@ -9,7 +9,8 @@ shuffle of narrow rows and join the runs on length and rank.
 
 Token ids are those of the byte-level BPE vocabulary file named by the caller. ``tiktoken`` computes them
 from that file's own vocabulary; texts with very long runs of white space go to
-``tokenizers``. Both give the same ids.
+``tokenizers``. Both give the same ids. The name of a special token in a text is encoded as the characters it
+is written with, so that only the packer sets end marks.
 
 Defined cases: a null text is an empty one, and an empty text is the end mark alone; repeated rows are packed
 one by one; a null id is carried along; an empty table gives an empty result; further columns are ignored.
