@@ -7,8 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starledger.llm import (
-    embedjoin, langid, minhash, mixing, oracles, packing, pii, quality, secretscan, sharding, toxicity,
+    embedjoin, langid, minhash, mixing, oracles, packing, pii, quality, secretscan, sharding, tokencounts,
+    toxicity,
 )
+from starledger.session import materialised
+
+#: Tokens that a text may have, by the contract of the count.
+TOKEN_LIMIT = 512
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -109,3 +114,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *[count(kind) for kind in secretscan.KINDS],
         F.sha2(secretscan.digest("base"), 256).alias("base_sha256"), secretscan.digest("spans").alias("spans"),
     )
+
+
+@register("op13_prefix_token_counts")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = materialised(tokencounts.prefix_tables(table(spark, sf_dir, "documents"), tokenizer_path()), "prefixes")
+    return tokencounts.truncations(tables, TOKEN_LIMIT).select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"), "cut_chars", "cut_tokens",
+    )
