@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starledger.llm import (
-    embedjoin, langid, minhash, mixing, oracles, packing, pii, quality, secretscan, sharding, tokencounts,
+    embedjoin, langid, merkle, minhash, mixing, oracles, packing, pii, quality, secretscan, sharding, tokencounts,
     toxicity,
 )
 from starledger.session import materialised
@@ -116,6 +116,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op12_pointer_jumping_manifest")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(table(spark, sf_dir, "documents")).drop("proof")
+
+
 @register("op13_prefix_token_counts")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = materialised(tokencounts.prefix_tables(table(spark, sf_dir, "documents"), tokenizer_path()), "prefixes")
