@@ -287,9 +287,12 @@ def near_vectors(
         .withColumn("component", F.coalesce("component", "pos"))
     )
     named = materialised(named, "named")
-    smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    # A component may hold a large part of the vectors.
+    smallest = materialised(
+        named.groupBy("component").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("members")), "smallest"
+    )
     named = materialised(
-        named.join(smallest, "component").select(
+        attach_weighed(named, smallest, "component", "members").select(
             "embedding", F.col("n").alias("copies"),
             (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id",
         ),

@@ -216,12 +216,14 @@ def learned(docs: DataFrame, doc_id: str, text: str, language: str, seed: int =
     rows = docs.select(
         F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), F.col(f"`{language}`").alias("language")
     ).where(F.col("language").isNotNull() & ~held_out("doc_id") & F.col("text").rlike(r"\p{L}"))
-    rows = per_label(rows, "language", "doc_id", SAMPLE, SAMPLE_PER_LANGUAGE, LEAST_PER_LANGUAGE, seed)
-    place = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "k"), F.greatest(F.length("text") - LENGTH, F.lit(1)))
-    snippets = rows.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(SNIPPETS)))).select(
-        "language", F.substr("text", place.cast("int") + 1, F.lit(2 * LENGTH)).alias("snippet")
+    # Cut before they are reduced and shuffled.
+    room = F.greatest(F.length("text") - LENGTH, F.lit(1))
+    places = [F.pmod(F.xxhash64(F.lit(seed), "doc_id", F.lit(k)), room).cast("int") + 1 for k in range(1, SNIPPETS + 1)]
+    rows = rows.withColumn("snippets", F.array(*[F.substr("text", place, F.lit(2 * LENGTH)) for place in places]))
+    chosen = per_label(
+        rows, "language", ["doc_id", "text"], ["snippets"], SAMPLE, SAMPLE_PER_LANGUAGE, LEAST_PER_LANGUAGE, seed
     )
-    found = sorted((r["language"], r["snippet"]) for r in snippets.collect())
+    found = sorted((r["language"], snippet) for r in chosen.collect() for snippet in r["snippets"])
     if not found:
         return None
     return train([s.encode() for _, s in found], [name for name, _ in found], seed)

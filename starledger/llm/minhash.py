@@ -235,10 +235,13 @@ def _placed(docs: DataFrame, words: int, percent: int) -> DataFrame:
         named = classes.join(components(links).withColumnRenamed("node", "cls"), "cls", "left").withColumn(
             "component", F.coalesce("component", "cls")
         )
-    named = named.select("cls", "copies", "doc_id", "component")
-    smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    named = materialised(named.select("cls", "copies", "doc_id", "component"), "components")
+    # A component may hold a large part of the classes.
+    smallest = materialised(
+        named.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("classes")), "smallest"
+    )
     named = materialised(
-        named.join(smallest, "component").select("cls", "copies", "component", "component_id"), "named"
+        attach_weighed(named, smallest, "component", "classes").select("cls", "copies", "component", "component_id"), "named"
     )
     rows = rows.drop("signature")
     without = rows.where("n_shingles = 0").select(

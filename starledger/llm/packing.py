@@ -7,10 +7,10 @@ in the same state are handled together, so the plan is a short list of runs: the
 length go into consecutive sequences, so many in each. Pieces are ranked within their length by one range
 shuffle of narrow rows and join the runs on length and rank.
 
-Token ids are those of the byte-level BPE vocabulary file named by the caller. ``tiktoken`` computes them
-from that file's own vocabulary; texts with very long runs of white space go to
-``tokenizers``. Both give the same ids. The name of a special token in a text is encoded as the characters it
-is written with, so that only the packer sets end marks.
+Token ids are those that ``tokenizers`` gives with its defaults for the byte-level BPE vocabulary file named by the
+caller, so the name of an added token in a text becomes that token. ``tiktoken`` computes them
+from that file's own vocabulary; texts that name an added token or have very long runs of white space go to
+``tokenizers``. Both give the same ids.
 
 Defined cases: a null text is an empty one, and an empty text is the end mark alone; repeated rows are packed
 one by one; a null id is carried along; an empty table gives an empty result; further columns are ignored.
@@ -56,17 +56,16 @@ class Encoder:
 
         with open(path, encoding="utf-8") as file:
             held = json.load(file)
-        special = {t["content"] for t in held.get("added_tokens", [])}
+        self._added = [t["content"] for t in held.get("added_tokens", [])]
         of = _byte_of_character()
         ranks = {
-            bytes(of[c] for c in token): n for token, n in held["model"]["vocab"].items() if token not in special
+            bytes(of[c] for c in token): n for token, n in held["model"]["vocab"].items() if token not in self._added
         }
         self._fast = tiktoken.Encoding("vocabulary", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
         self._plain = Tokenizer.from_file(path)
-        self._plain.encode_special_tokens = True
 
     def ids(self, text: str) -> np.ndarray:
-        if _LONG_BLANK.search(text):
+        if any(name in text for name in self._added) or _LONG_BLANK.search(text):
             return np.array(self._plain.encode(text, add_special_tokens=False).ids, dtype="<u4")
         return np.array(self._fast.encode_ordinary(text), dtype="<u4")
 

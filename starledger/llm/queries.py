@@ -74,9 +74,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op5_virtual_slot_sharding")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.sharded(table(spark, sf_dir, "documents"), shards=24).select(
+    return sharding.sharded(table(spark, sf_dir, "documents"), shards=24, then=25).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("place").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", F.col("version").alias("map_version"),
+        "next_version", "next_shard", "next_place",
     )
 
 

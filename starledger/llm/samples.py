@@ -1,8 +1,13 @@
-"""Bounded labelled samples and the split that keeps rows out of training."""
+"""Bounded labelled samples and the split that keeps rows out of training.
+
+A null id counts as an empty one in the split, whose CRC-32 is 0, so its rows are held out.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 FOLDS = 5
 
@@ -32,16 +37,34 @@ def shares(counts: dict, total: int, most: int | None = None, least: int = 0) ->
     return {label: taken[label] / counts[label] for label in counts}
 
 
-def per_label(rows: DataFrame, label: str, key: str, total: int, most: int, least: int, seed: int) -> DataFrame:
-    """About ``total`` rows, shared out to all values of ``label`` as ``shares`` does, chosen by hash of ``key``.
+#: A count of distinct rows may be so far off, so that much more is taken before the exact limit.
+SLACK = 1.1
+
+
+def per_label(
+    rows: DataFrame, label: str, keys: Sequence[str], values: Sequence[str],
+    total: int, most: int | None, least: int, seed: int,
+) -> DataFrame:
+    """(label, *values) of at most ``total`` rows, shared out to all values of ``label`` as ``shares`` does.
 
-    One row per label comes to the driver.
+    Rows are chosen by a hash of ``keys``, and rows equal in them count once, however often they come, so that neither an id nor a
+    text that repeats can fill the sample or swell it. ``values`` follow from the keys. The limit is exact: behind the share of the
+    hash, a label's rows are taken in the order of the hash up to its number. One row per label comes to the driver.
     """
-    counts = {r[label]: r["n"] for r in rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).orderBy(label).collect()}
+    hashed = rows.withColumn("_pick", F.xxhash64(F.lit(seed), *keys))
+    found = hashed.groupBy(label).agg(F.approx_count_distinct("_pick", 0.02).alias("n")).collect()
+    counts = {r[label]: r["n"] for r in sorted(found, key=lambda r: r[label])}
     if not counts:
-        return rows.limit(0)
-    found = rows.sparkSession.createDataFrame(
-        list(shares(counts, total, most, least).items()), rows.select(label).schema.add("share", "double")
-    )
-    chosen = rows.join(F.broadcast(found), label).where(share_of_hash(seed, key) < F.col("share"))
-    return chosen.drop("share")
+        return rows.select(label, *values).limit(0)
+    wanted = [
+        (name, min(1.0, share * SLACK), round(share * counts[name])) for name, share in shares(counts, total, most, least).items()
+    ]
+    schema = rows.select(label).schema.add("_share", "double").add("_rows", "long")
+    shared = F.broadcast(rows.sparkSession.createDataFrame(wanted, schema))  # a row per label
+    thinned = hashed.select(label, "_pick").join(shared, label).where(share_of_hash(seed, "_pick") < F.col("_share"))
+    in_order = F.row_number().over(Window.partitionBy(label).orderBy("_pick"))
+    picked = thinned.select(label, "_pick", "_rows").distinct().withColumn("_place", in_order)
+    # At most ``total`` hashes.
+    picked = F.broadcast(picked.where(F.col("_place") <= F.col("_rows")).select(label, "_pick"))
+    once = hashed.join(picked, [label, "_pick"]).groupBy(label, "_pick").agg(*[F.first(v).alias(v) for v in values])
+    return once.select(label, *values)

@@ -3,7 +3,8 @@
 Three base kinds are found by pattern (``assign``, ``access``, ``hex``). Beyond them, a run of at least
 ``LEAST`` characters of the kind that keys are written in is reported as ``random`` when the first model
 explains it better than the second: its log-likelihood ratio per character has to exceed a limit learned
-from ordinary words, and its total ``TOTAL``. Both models are tables of character pairs. They learn from a
+from ordinary words, and its total ``TOTAL``. Runs without a digit have a limit of their own, learned from
+ordinary words without one, since those are what long names and joined words look like. Both models are tables of character pairs. They learn from a
 bounded sample of ``SAMPLE`` documents: the values of base spans, and strings drawn from
 the usual key alphabets, are labelled random; the other words of those documents, but for long ones
 of letters and digits, are labelled ordinary (``WORDS_PER_DOCUMENT`` of each, spread over the text).
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starledger.llm.arrowtext import slices, with_text_columns
-from starledger.llm.samples import share_of_hash
+from starledger.llm.samples import per_label
 
 LEAST = 20
 TOTAL = 12.0
@@ -35,6 +36,7 @@ SEED = 41
 #: Share of ordinary words whose ratio stays below the limit, and the bounds of that limit.
 ORDINARY_BELOW = 0.999
 LIMITS = (0.3, 1.0)
+LIMITS_WITHOUT_DIGIT = (0.8, 2.0)
 
 # The base kinds, in the order in which they are listed.
 KINDS = ("assign", "access", "hex")
@@ -111,6 +113,7 @@ class Models:
 
     ratio: np.ndarray
     limit: float
+    limit_without_digit: float
 
     def judge(self, value: str) -> tuple[float, float]:
         """The ratio in total and per character."""
@@ -120,7 +123,8 @@ class Models:
 
     def is_random(self, value: str) -> bool:
         total, each = self.judge(value)
-        return total > TOTAL and each > self.limit and any(c.isdigit() for c in value)
+        limit = self.limit if any(c.isdigit() for c in value) else self.limit_without_digit
+        return total > TOTAL and each > limit
 
 
 def train(random: list[str], ordinary: list[str]) -> Models:
@@ -131,10 +135,15 @@ def train(random: list[str], ordinary: list[str]) -> Models:
 
     with np.errstate(divide="ignore", invalid="ignore"):
         ratio = np.nan_to_num(np.log(chances(random)) - np.log(chances(ordinary)), posinf=0.0, neginf=0.0)
-    models = Models(ratio, 0.0)
-    seen = [models.judge(w)[1] for w in ordinary if len(w) >= LEAST // 2]
-    # A secret that no pattern finds counts as ordinary here; the upper bound keeps it from hiding others.
-    models.limit = float(np.clip(np.quantile(seen, ORDINARY_BELOW), *LIMITS)) if seen else LIMITS[0]
+    models = Models(ratio, 0.0, 0.0)
+
+    def limit(words: list[str], bounds: tuple[float, float]) -> float:
+        # A secret that no pattern finds counts as ordinary here; the upper bound keeps it from hiding others.
+        seen = [models.judge(w)[1] for w in words if len(w) >= LEAST // 2]
+        return float(np.clip(np.quantile(seen, ORDINARY_BELOW), *bounds)) if seen else bounds[0]
+
+    models.limit = limit(ordinary, LIMITS)
+    models.limit_without_digit = limit([w for w in ordinary if not any(c.isdigit() for c in w)], LIMITS_WITHOUT_DIGIT)
     return models
 
 
@@ -155,9 +164,10 @@ def _may_be_key(word: str) -> bool:
 
 
 def learned(docs: DataFrame, doc_id: str, text: str) -> Models:
-    rows = docs.count()
-    body = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).where("text is not null")
-    sample = body.where(share_of_hash(SEED, "doc_id", F.length("text")) < SAMPLE / max(rows, 1)).select("text")
+    body = docs.select(
+        F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), F.lit(0).alias("every")
+    ).where("text is not null")
+    sample = per_label(body, "every", ["doc_id", "text"], ["text"], SAMPLE, None, 0, SEED).select("text")
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

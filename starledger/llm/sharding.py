@@ -9,37 +9,83 @@ rows of the shard's earlier slots, so no shard is ever sorted as a whole.
 
 The law is ``bytes``: the sizes of the shards are near equal.
 
-Defined cases: a null text has no bytes and checksum 0; a null id is a value like any other; the
-place of a record follows from its id, size and checksum, so repeated rows share a slot and
-have places of their own; an empty table gives an empty result and an even map; further columns are ignored.
+A record's slot follows from its id, size and checksum. Of rows that repeat more often than ``REPEATS`` times in a slot's mean share,
+every copy has a number, and the numbers are dealt over as many slots as the copies need; so a row that is a third of the table
+still fills no slot beyond its share.
+
+Defined cases: a null text has no bytes and checksum 0; a null id is a value like any other; repeated rows
+have places of their own, and it does not matter which copy has which; an empty table gives an empty result and an even
+map; further columns are ignored.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from starledger.operators.keys import number_rows
 from starledger.session import materialised, scratch_path
 
 SLOTS = 4096
 HEADER = 8
+#: Equal rows are spread from this part of a slot's mean share on, over so many slots for each mean share they have.
+REPEATS = 0.5
+PARTS = 4
 #: A shard may hold this much more than the mean before slots are moved.
 TOLERANCE = 0.01
 MAP_COLUMNS = "version int, virtual_slot int, shard int, bytes long, rows long, place_from long"
 
 
 def records(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", slots: int = SLOTS) -> DataFrame:
-    """(doc_id, size, text_crc32, virtual_slot) of every row."""
+    """(doc_id, size, text_crc32, virtual_slot) of every row, written."""
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    narrow = docs.select(
-        F.col(f"`{doc_id}`").alias("doc_id"),
-        (F.octet_length(body) + HEADER).cast("long").alias("size"),
-        F.crc32(body.cast("binary")).alias("text_crc32"),
+    narrow = materialised(
+        docs.select(
+            F.col(f"`{doc_id}`").alias("doc_id"),
+            (F.octet_length(body) + HEADER).cast("long").alias("size"),
+            F.crc32(body.cast("binary")).alias("text_crc32"),
+        ),
+        "records",
+    )
+    repeated = _repeated(narrow, slots)
+    if repeated is None:
+        return narrow.withColumn("virtual_slot", _slot(slots))
+    # ``same`` tells the rows apart, also those with a null id; the table has 4 * slots rows at most.
+    marked = narrow.withColumn("same", F.xxhash64("doc_id", "size", "text_crc32"))
+    marked = materialised(marked.join(F.broadcast(repeated), "same", "left"), "marked")
+    plain = marked.where("number IS NULL").withColumn("virtual_slot", _slot(slots))
+    # Copies are numbered along a distributed order, not in one task.
+    counted = number_rows(marked.where("number IS NOT NULL"), ["number"], "rank")
+    copy = F.pmod(F.col("rank") - F.col("before") - 1, F.col("parts"))
+    names = [*narrow.columns, "virtual_slot"]
+    return plain.select(names).union(counted.withColumn("virtual_slot", _slot(slots, copy)).select(names))
+
+
+def _slot(slots: int, *more: Column) -> Column:
+    return F.pmod(F.xxhash64("doc_id", "size", "text_crc32", *more), F.lit(slots)).cast("int")
+
+
+def _repeated(narrow: DataFrame, slots: int) -> DataFrame | None:
+    """(same, number, before, parts): hashes of rows that fill more than ``REPEATS`` of a slot's mean share of rows or bytes.
+
+    ``before`` counts the copies of those with smaller numbers. ``parts`` is over how many slots its copies go.
+    """
+    rows, size = narrow.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    share = F.greatest(F.col("rows") * (slots / max(rows, 1)), F.col("bytes") * (slots / max(size, 1)))
+    counted = narrow.groupBy(F.xxhash64("doc_id", "size", "text_crc32").alias("same")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("size").alias("bytes")
+    )
+    # Each has at least REPEATS / slots of all rows or all bytes.
+    heavy = materialised(counted.where((F.col("rows") > 1) & (share > REPEATS)), "repeated")
+    if heavy.isEmpty():
+        return None
+    along = Window.orderBy("same")
+    return heavy.select(
+        "same", F.row_number().over(along).alias("number"),
+        (F.sum("rows").over(along.rowsBetween(Window.unboundedPreceding, 0)) - F.col("rows")).alias("before"),
+        F.least(F.col("rows"), F.ceil(share * PARTS)).cast("long").alias("parts"),
     )
-    slot = F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(slots)).cast("int")
-    return narrow.withColumn("virtual_slot", slot)
 
 
 def slot_loads(placed: DataFrame) -> dict[int, tuple[int, int]]:
@@ -130,12 +176,25 @@ def sharded(
     text: str = "text",
     slots: int = SLOTS,
     path: str | None = None,
+    then: int | None = None,
 ) -> DataFrame:
     """Per row doc_id, size, text_crc32, virtual_slot, version, shard and place, by a new map.
 
-    The map is stored under ``path``, or in the shared folder.
+    The map is stored under ``path``, or in the shared folder. With ``then`` shards to come, a second version is edited from the
+    stored one and stored too, and ``next_version``, ``next_shard`` and ``next_place`` tell where it puts the row.
     """
-    placed = materialised(records(docs, doc_id, text, slots), "records")
+    spark = docs.sparkSession
+    placed = materialised(records(docs, doc_id, text, slots), "slots")
     loads = slot_loads(placed)
-    path = path or scratch_path(docs.sparkSession, "slotmap")
-    return placed_by(placed, write_map(docs.sparkSession, path, 1, first_map(loads, shards, slots), loads))
+    path = path or scratch_path(spark, "slotmap")
+    first = write_map(spark, path, 1, first_map(loads, shards, slots), loads)
+    found = placed_by(placed, first)
+    if then is None:
+        return found
+    edited = write_map(spark, path, 2, rebalanced(map_rows(read_map(spark, path, 1)), loads, then), loads)
+    # A place inside the slot is the same under both maps.
+    starts = first.select("virtual_slot", F.col("place_from").alias("_from")).join(
+        edited.select("virtual_slot", F.col("version").alias("next_version"), F.col("shard").alias("next_shard"),
+                      F.col("place_from").alias("_next_from")), "virtual_slot")
+    moved = found.join(F.broadcast(starts), "virtual_slot")  # a row per slot
+    return moved.withColumn("next_place", F.col("place") - F.col("_from") + F.col("_next_from")).drop("_from", "_next_from")

@@ -360,9 +360,8 @@ def counts_at(tables: DataFrame, position: Column) -> DataFrame:
     ``position`` counts code points; it is held between 0 and the length of the text, and null gives null.
     """
     kept = [c for c in tables.columns if c != "steps"]
-    asked = tables.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), "steps", "n_chars",
-                          F.least(F.greatest(position.cast("long"), F.lit(0)), "n_chars").alias("position"))
-    asked = asked.withColumn("position", F.when(position.isNotNull(), F.col("position")))
+    inside = F.when(position.isNotNull(), F.least(F.greatest(position.cast("long"), F.lit(0)), "n_chars"))
+    asked = tables.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), "steps", "n_chars", inside.alias("position"))
     out = asked.select("row", "position").schema.add("tokens_before", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

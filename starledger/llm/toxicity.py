@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from starledger.llm.arrowtext import LOWER, hash_heads, hash_runs, owners, slices, with_text_columns
 from starledger.llm.samples import held_out, share_of_hash, shares
@@ -316,10 +316,15 @@ def learned(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: s
     if min(counts.values()) < FEWEST:
         return counts[1] / max(1, sum(counts.values()))
     share = shares(counts, SAMPLE)
-    # About SAMPLE rows of an id and two numbers.
-    chosen = known.where(share_of_hash(SEED, "doc_id") < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]))
+    # At most SAMPLE rows of an id and two numbers, one per id.
+    near = known.where(share_of_hash(SEED, "doc_id") < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]))
+    most = F.when(F.col("toxic") == 1, round(share[1] * counts[1])).otherwise(round(share[0] * counts[0]))
+    in_order = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id"))
+    chosen = near.withColumn("place", in_order).where(F.col("place") <= most).drop("place")
     sample = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     sample = sample.join(F.broadcast(_in_parts(chosen)), "doc_id")
+    # Of an id that repeats one text is learned from, the first by hash.
+    sample = sample.groupBy("doc_id", "toxic", "part").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     lexicon = _lexicon(sample.where("part = 0"))
     found = _with_features(sample.where("part > 0"), "text", lexicon).select("row.doc_id", "row.toxic", "row.part", "features")
     table = found.toArrow().to_pandas().sort_values("doc_id")

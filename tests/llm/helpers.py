@@ -1,7 +1,9 @@
 """Small tables with every odd case, and brute-force versions of the operators."""
 
+import hashlib
 import re
-from collections import Counter
+import zlib
+from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
@@ -81,6 +83,26 @@ def quality_counts(text):
     )
 
 
+def cycled_weights(sources):
+    """Weights 1, 2, 3, repeating, by code point, null last."""
+    return {s: 1 + n % 3 for n, s in enumerate(sorted(sources, key=lambda s: (s is None, s or "")))}
+
+
+def targets(sizes, weights, total):
+    """Words wanted of each source: by weight, held at three times what the source has."""
+    out, free, left = {}, dict(weights), float(total)
+    while free:
+        share = left / sum(free.values())
+        above = [s for s in free if share * free[s] > 3 * sizes[s]]
+        if not above:
+            return out | {s: share * w for s, w in free.items()}
+        for s in above:
+            out[s] = float(3 * sizes[s])
+            left -= 3 * sizes[s]
+            del free[s]
+    return out
+
+
 def luhn(digits):
     total = 0
     for n, c in enumerate(reversed(digits)):
@@ -118,5 +140,95 @@ def secret_spans(text):
     return [f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in sorted(found)]
 
 
+def sha(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf(*fields):
+    return sha(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in fields])
+
+
+def merkle_tree(digests):
+    """All levels, from the leaves to the one node that remains."""
+    levels = [digests]
+    while len(levels[-1]) > 1:
+        levels.append([sha(*levels[-1][n : n + 16]) for n in range(0, len(levels[-1]), 16)])
+    return levels
+
+
+def merkle_path(levels, n):
+    """Siblings to the left and to the right, level by level."""
+    path = []
+    for nodes in levels[:-1]:
+        low = n // 16 * 16
+        path.append((nodes[low:n], nodes[n + 1 : low + 16]))
+        n //= 16
+    return path
+
+
+def manifest(rows):
+    """Of rows (doc_id, source, lang, n_chars, text): doc_id, leaf, subroot, root, proof digest, folded root, verified."""
+    groups = defaultdict(list)
+    for row in rows:
+        groups[row[1]].append(row)
+    order = sorted(groups, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {}
+    for s in order:
+        own = sorted(groups[s], key=lambda r: (r[0] is not None, r[0] or 0, leaf(*r)))
+        trees[s] = own, merkle_tree([leaf(*r) for r in own])
+    top = merkle_tree([trees[s][1][-1][0] for s in order])
+    out = []
+    for place, s in enumerate(order):
+        own, levels = trees[s]
+        for n, row in enumerate(own):
+            path = merkle_path(levels, n) + merkle_path(top, place)
+            changed = row[0] is not None and zlib.crc32(str(row[0]).encode()) % 5 == 0 and row[4] is not None
+            found = leaf(*row[:4], lower_ascii(row[4])) if changed else leaf(*row)
+            for left, right in path:
+                found = sha(*left, found, *right)
+            siblings = [x for left, right in path for x in left + right]
+            out.append((row[0], leaf(*row), levels[-1][0], top[-1][0], sha(*siblings), found, found == top[-1][0]))
+    return out
+
+
+def vocabulary(rows):
+    """Words of (doc_id, text) rows that are long and common enough, with their counts."""
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[a-zÀ-ÿ]+", lower_ascii(text or "")):
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            k = h % len(run)
+            counts[run[:k] + run[k + 1 :] if h % 97 == 0 else run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 5 and n >= 3}
+
+
+def one_edit(a, b):
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    a, b = sorted((a, b), key=len)
+    k = 0
+    while k < len(a) and a[k] == b[k]:
+        k += 1
+    return a[k + 1 :] == b[k + 1 :] if len(a) == len(b) else a[k:] == b[k + 1 :]
+
+
+def spelling(rows):
+    """Per word: word, form, root, n, n_near, form_n."""
+    count = vocabulary(rows)
+    near = {w: [x for x in count if one_edit(w, x)] for w in count}
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda x: (-count[x], x), default=None)
+        if best is not None and count[best] >= 2 * count[w]:
+            form[w] = best
+    out = []
+    for w in count:
+        root = w
+        while root in form:
+            root = form[root]
+        out.append((w, form.get(w), root, count[w], len(near[w]), count.get(form.get(w))))
+    return sorted(out)
+
+
 def empty(df):
     return df.where(F.lit(False))

@@ -14,7 +14,8 @@ from starledger.llm.components import attach_weighed, components, spread_join
 from starledger.llm.queries import tokenizer_path
 from starledger.session import materialised
 from tests.llm.helpers import (
-    ODD_TEXTS, WORD, documents, empty, near_pairs, pii_spans, prose, quality_counts, shingles, smallest_relatives,
+    ODD_TEXTS, WORD, cycled_weights, documents, empty, near_pairs, pii_spans, prose, quality_counts, shingles,
+    smallest_relatives, targets,
 )
 
 
@@ -177,12 +178,121 @@ def test_map_versions_and_small_edits(spark, tmp_path):
     assert set(shrunk.values()) == set(range(6)) and all(shrunk[s] == grown[s] for s in shrunk if grown[s] < 6)
 
 
-def test_targets_share_what_is_over():
-    sizes = {"a": 10, "b": 100, None: 1000}
-    found = mixing.targets(sizes, mixing.cycled_weights(list(sizes)), 1110)
-    assert mixing.cycled_weights([None, "b", "a", "\U0001F600", "￮"]) == {"a": 1, "b": 2, "￮": 3, "\U0001F600": 1, None: 2}
+def aims(spark, sizes, weights=None):
+    """Weights and targets of sources with these words."""
+    table = spark.createDataFrame(list(sizes.items()), "source string, size long")
+    if weights is None:
+        weighed = mixing.cycled_weights(table)
+    else:
+        weighed = table.join(spark.createDataFrame(list(weights.items()), "source string, weight double"), "source")
+    rows = mixing.with_targets(materialised(weighed, "weighed"), sum(sizes.values())).collect()
+    return {r.source: r.weight for r in rows}, {r.source: r.target for r in rows}
+
+
+def test_targets_share_what_is_over(spark):
+    weights, found = aims(spark, {"a": 10, "b": 100, None: 1000})
+    assert weights == cycled_weights(["a", "b", None]) == {"a": 1, "b": 2, None: 3}
     assert found["a"] == 30 and found["b"] == 300 and abs(found[None] - 780) < 1e-9
-    assert mixing.targets({"a": 0, "b": 5}, {"a": 1, "b": 2}, 5) == {"a": 0.0, "b": 5.0}
+    names = [None, "b", "a", "\U0001F600", "￮"]
+    weights, _ = aims(spark, dict.fromkeys(names, 1))
+    assert weights == cycled_weights(names) == {"a": 1, "b": 2, "￮": 3, "\U0001F600": 1, None: 2}
+    _, found = aims(spark, {"a": 0, "b": 5}, {"a": 1.0, "b": 2.0})
+    assert found == {"a": 0.0, "b": 5.0}
+    made = random.Random(8)
+    sizes = {f"s{n}": int(10 ** made.uniform(0, 5)) for n in range(60)}
+    weights, found = aims(spark, sizes)
+    assert found == targets(sizes, cycled_weights(sizes), sum(sizes.values()))
+    assert abs(sum(found.values()) - sum(sizes.values())) < 1e-6 * sum(sizes.values())
+
+
+def cheapest(words, quotas):
+    """Cost of the cheapest fullest flow, by trying paths of every kind one unit at a time (Bellman-Ford)."""
+    names = sorted({s for p in words for s in p})
+    arcs = []
+
+    def join(a, b, room, cost):
+        arcs.append([a, b, room, cost])
+        arcs.append([b, a, 0, -cost])
+
+    for p in words:
+        for cost in mixing.REPEAT_COSTS:
+            join("from", p, words[p], cost)
+        for s in p:
+            join(p, s, 10**9, 0)
+    for s in names:
+        join(s, "to", quotas[s], 0)
+    flow = total = 0
+    while True:
+        far, via = {"from": 0}, {}
+        for _ in range(len(words) + len(names) + 2):
+            for n, (a, b, room, cost) in enumerate(arcs):
+                if room and a in far and far[a] + cost < far.get(b, 10**9):
+                    far[b], via[b] = far[a] + cost, n
+        if "to" not in far:
+            return flow, total
+        node = "to"
+        while node != "from":
+            n = via[node]
+            arcs[n][2] -= 1
+            arcs[n ^ 1][2] += 1
+            node = arcs[n][0]
+        flow, total = flow + 1, total + far["to"]
+
+
+def test_flow_is_the_cheapest():
+    made = random.Random(12)
+    for _ in range(25):
+        names = [f"s{n}" for n in range(made.randint(1, 4))]
+        words = {tuple(sorted(made.sample(names, made.randint(1, len(names))))): made.randint(0, 5) for _ in range(5)}
+        quotas = {s: made.randint(0, 12) for s in names}
+        taken = mixing.route(words, quotas)
+        cost = sum(sum(mixing.REPEAT_COSTS[k // words[p]] for k in range(taken[p])) for p in words if words[p])
+        assert (sum(taken.values()), cost) == cheapest(words, quotas)
+        assert all(taken[p] <= 3 * words[p] for p in words)
+
+
+def test_more_sources_than_may_be_broadcast(spark, monkeypatch):
+    """A source for every few documents, one with a third of all, none left out."""
+    monkeypatch.setattr(mixing, "measured_small", lambda df: False)
+    rows = 40_000
+    source = F.when(F.col("doc_id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("host"), F.col("doc_id") % 7001))
+    docs = spark.range(rows).select(
+        F.col("id").alias("doc_id"), F.repeat(F.lit("word "), (F.col("id") % 5 + 1).cast("int")).alias("text")
+    ).withColumn("source", source)
+    table = mixing.mixed(docs).select("doc_id", "size", "taken", F.col("sources")[0].alias("of")).collect()
+    assert len(table) == rows
+    size, taken, goal = defaultdict(int), defaultdict(int), {}
+    for r in table:
+        size[r.of.source] += r.size
+        taken[r.of.source] += r.taken
+        goal[r.of.source] = r.of.target
+        assert r.taken % r.size == 0 and r.taken <= 3 * r.size
+    assert len(goal) == 7002 and all(r.of.source_size == size[r.of.source] for r in table)
+    wanted = targets(dict(size), cycled_weights(size), sum(size.values()))
+    assert all(abs(goal[s] - wanted[s]) < 1e-6 * wanted[s] for s in goal)
+    # Whole documents: a source of a few of them is off by less than its longest.
+    assert all(abs(taken[s] - goal[s]) <= 5 for s in goal)
+    assert abs(taken["hot"] - goal["hot"]) <= 0.001 * goal["hot"] + 5
+
+
+def test_components_of_overlapping_sources_are_routed_apart(spark):
+    made = random.Random(3)
+    sets = [["a"], ["b"], ["a", "b"], ["c", "d"], ["d"], [None, "e"], ["f"], [], ["b", "a"]]
+    texts = [t + " x" * made.randint(0, 30) for t in prose(400, 5, 12)]
+    docs = documents(spark, texts).drop("source")
+    table = spark.createDataFrame([(n, made.choice(sets)) for n in range(400)], "doc_id long, source array<string>")
+    rows = mixing.mixed(docs.join(table, "doc_id")).collect()
+    assert len(rows) == 400
+    words, quotas, taken = defaultdict(int), {}, defaultdict(int)
+    for r in rows:
+        pattern = tuple(s.source or "" for s in r.sources)
+        words[pattern] += r.size
+        taken[pattern] += r.taken
+        quotas |= {s.source or "": round(s.target) for s in r.sources}
+    assert taken.pop(()) == 0 and words.pop(())
+    flow = mixing.route(dict(words), quotas)
+    assert abs(sum(taken.values()) - sum(flow.values())) <= 8 * 45
+    assert all(taken[p] <= 3 * words[p] for p in words)
 
 
 def test_flow_uses_overlap_before_repetition():
@@ -213,7 +323,7 @@ def test_mix_meets_its_targets(spark, monkeypatch, bucket):
         assert r.taken == r.copies * r.size <= 3 * r.size
         taken[own.source] += r.taken
     goal = {r.sources[0].source: r.sources[0].target for r in rows}
-    assert goal == mixing.targets(dict(total), mixing.cycled_weights(list(total)), sum(size.values()))
+    assert goal == targets(dict(total), cycled_weights(list(total)), sum(size.values()))
     # Few rows around the edge leave a larger gap.
     near = 0.005 if bucket == 256 else 0.03
     assert {s: (taken[s], t) for s, t in goal.items() if abs(taken[s] - t) > near * t} == {}
@@ -276,12 +386,41 @@ def test_plan_is_best_fit_over_counts():
         assert len(used) == brute_best_fit(histogram, capacity)
 
 
+def test_equal_rows_fill_no_shard_and_no_slot(spark):
+    rows = 20_000
+    docs = spark.range(rows).select(
+        F.when(F.col("id") < rows // 2, F.lit(7)).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") < rows // 2, F.lit("the same text")).otherwise(F.concat(F.lit("text "), F.col("id"))).alias("text"),
+    )
+    found = sharding.sharded(docs, 24, slots=512, then=25)
+    table = found.collect()
+    bytes_, rows_of, places, after = defaultdict(int), defaultdict(int), defaultdict(list), defaultdict(list)
+    grown = defaultdict(int)
+    for r in table:
+        bytes_[r.shard] += r.size
+        grown[r.next_shard] += r.size
+        rows_of[r.virtual_slot] += 1
+        places[r.shard].append(r.place)
+        after[r.next_shard].append(r.next_place)
+    assert len(table) == rows and len(bytes_) == 24 and len(grown) == 25
+    assert max(bytes_.values()) < 1.03 * min(bytes_.values()) and max(grown.values()) < 1.03 * min(grown.values())
+    assert max(rows_of.values()) < 4 * sorted(rows_of.values())[256]
+    for held in (places, after):
+        assert all(sorted(p) == list(range(len(p))) for p in held.values())
+    moved = sum(r.shard != r.next_shard for r in table)
+    assert 0 < moved < 0.1 * rows and {(r.version, r.next_version) for r in table} == {(1, 2)}
+    again = sharding.sharded(docs.repartition(3), 24, slots=512).groupBy("doc_id", "shard").count().collect()
+    count = defaultdict(int)
+    for r in table:
+        count[r.doc_id, r.shard] += 1
+    assert {(r.doc_id, r.shard): r["count"] for r in again} == count
+
+
 def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
-    texts = [*ODD_TEXTS, *prose(40), "<|endoftext|> don't  \n\n we'll ", " " * 5000, " ".join(prose(80)), "  x́"]
+    texts = [*ODD_TEXTS, *prose(40), "<|endoftext|> don't  \n\n we'll ", "a <|endoftext|> b<|endoftext|>", "<|endoftext", " " * 5000, " ".join(prose(80)), "  x́"]
     docs = documents(spark, texts)
     rows = packing.packed(docs, tokenizer_path(), capacity=64, tokens=True).collect()
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
@@ -350,7 +489,7 @@ def test_pipeline_matches_brute_force(spark):
     for r in out["mix"]:
         taken[r.source] += size[r.doc_id]
         times[r.doc_id] += 1
-    goal = mixing.targets(dict(total), mixing.cycled_weights(list(total)), sum(size.values()))
+    goal = targets(dict(total), cycled_weights(list(total)), sum(size.values()))
     assert all(abs(taken[s] - t) <= max(size.values()) for s, t in goal.items()) and max(times.values()) <= 3
     # Packing: every piece of every copy, in full sequences.
     by_sequence = defaultdict(list)
