@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starledger.llm import arrowtext, langid, pii, quality, secretscan, toxicity
-from starledger.llm.samples import held_out, shares
+from starledger.llm.samples import held_out, per_label, shares
 from tests.llm.helpers import (
     ODD_TEXTS, WORD, documents, empty, lower_ascii, pii_spans, prose, quality_counts, secret_spans,
 )
@@ -143,6 +143,60 @@ def test_base_secrets_match_brute_force_and_random_strings_are_added(spark):
     assert secretscan.found(empty(docs)).count() == 0
 
 
+def test_keys_of_letters_only_are_found_and_long_words_are_not(spark):
+    """Held-out keys and words: none of them is in the documents that are learned from."""
+    import random
+    import string
+
+    made = random.Random(11)
+    texts = prose(300, 4, 80)
+    models = secretscan.learned(documents(spark, [*texts, *[t.title() for t in texts], *[t.upper() for t in texts[:100]]]), "doc_id", "text")
+    keys = ["".join(made.choices(string.ascii_letters, k=24)) for _ in range(200)]
+    words = ["".join(w.split()) for w in prose(200, 99, 8)] + ["-".join(w.split()) for w in prose(200, 98, 8)]
+    docs = documents(spark, [f"see {x} there" for x in keys + words])
+    rows = secretscan.found(docs, models=models).select("doc_id", F.size("spans").alias("n")).collect()
+    found = {r.doc_id for r in rows if r.n}
+    assert found <= set(range(200)) and len(found) >= 198
+
+
+SIZE = 600
+
+
+def repeating(spark, n=100_000):
+    """One row over and over beside some of their own, two labels."""
+    one, *others = prose(101, 3, 12)
+    docs = spark.range(n).select(F.lit(1).cast("long").alias("doc_id"), F.lit(one + " zorgish").alias("text"), F.lit("aa").alias("lang"))
+    more = spark.createDataFrame([(n + 2, t, "aa" if n % 2 else "bb") for n, t in enumerate(others)], "doc_id long, text string, lang string")
+    return docs.union(more)
+
+
+def test_rows_that_repeat_count_once_in_a_sample(spark):
+    docs = repeating(spark)
+    found = per_label(docs, "lang", ["doc_id", "text"], ["text"], SIZE, None, 0, 1).collect()
+    assert len(found) == len(set(found)) and 95 <= len(found) <= 101 and len({r.lang for r in found}) == 2
+    # One text under many ids is a row of its own each time, and the limit is exact.
+    docs = docs.withColumn("doc_id", F.monotonically_increasing_id())
+    found = per_label(docs, "lang", ["doc_id", "text"], ["text"], SIZE, None, 0, 1).collect()
+    assert SIZE * 0.9 <= len(found) <= SIZE
+    assert per_label(empty(docs), "lang", ["doc_id", "text"], ["text"], SIZE, None, 0, 1).collect() == []
+
+
+def test_training_stays_bounded_when_an_id_repeats(spark, monkeypatch):
+    docs, seen = repeating(spark), {}
+    monkeypatch.setattr(langid, "SAMPLE", SIZE)
+    monkeypatch.setattr(langid, "train", lambda snippets, names, seed: seen.update(op2=len(snippets)))
+    langid.learned(docs, "doc_id", "text", "lang")
+    monkeypatch.setattr(secretscan, "SAMPLE", SIZE)
+    monkeypatch.setattr(secretscan, "train", lambda random, ordinary: seen.update(op10=len(ordinary)))
+    secretscan.learned(docs, "doc_id", "text")
+    monkeypatch.setattr(toxicity, "SAMPLE", SIZE)
+    labels = spark.createDataFrame([(n, n % 2) for n in range(102)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "grow", lambda x, y, weight: seen.update(op8=len(x)) or (_ for _ in ()).throw(StopIteration))
+    with pytest.raises(StopIteration):
+        toxicity.learned(docs, labels, "doc_id", "text")
+    assert 0 < seen["op2"] <= langid.SNIPPETS * 101 and 0 < seen["op10"] <= secretscan.WORDS_PER_DOCUMENT * 101 and 0 < seen["op8"] <= 101
+
+
 def test_runs_end_at_the_border_of_a_text():
     texts = ["x" * 25, "y" * 25, "", "a" * 10, "b" * 10]
     (_, _, data, offsets), = arrowtext.slices(pa.array(texts))
