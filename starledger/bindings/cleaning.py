@@ -57,6 +57,56 @@ def clean_dates_query(spark, sf_dir):
     return source.withColumn("cleaned", clean_dates(F.col("text")))
 
 
+# Texts that no fixed layout reads, as parts of Spark and of oracle patterns around the date d, and what they mean.
+_SUFFIX = (
+    "CASE WHEN day(d) IN (11, 12, 13) THEN 'th' WHEN day(d) % 10 = 1 THEN 'st' WHEN day(d) % 10 = 2 THEN 'nd' "
+    "WHEN day(d) % 10 = 3 THEN 'rd' ELSE 'th' END"
+)
+_SWAPPED = "CASE WHEN day(d) > 12 THEN d ELSE make_date(year(d), CAST(day(d) AS INT), CAST(month(d) AS INT)) END"
+_MONTH = "make_date(year(d), month(d), 1)"
+LENIENT = [
+    ([("d", "%-d"), _SUFFIX, (" MMMM yyyy", " %B %Y")], "d"),
+    ([("yyyy.MM.dd", "%Y.%m.%d")], "d"),
+    ([("dd-MMM-yyyy", "%d-%b-%Y")], "d"),
+    ([("EEEE, MMMM d, yyyy", "%A, %B %-d, %Y")], "d"),
+    ([("M/d/yy", "%-m/%-d/%y")], "d"),
+    ([("MMMM yyyy", "%B %Y")], _MONTH),
+    ([("yyyy-MM", "%Y-%m")], _MONTH),
+    ([("d.M.yyyy", "%-d.%-m.%Y")], _SWAPPED),
+    ([("MMM. d, yyyy", "%b. %-d, %Y")], "d"),
+    ([("yyyyMMdd", "%Y%m%d"), "'T1030'"], "d"),
+    ([("d", "%-d"), "' of '", ("MMMM, yyyy", "%B, %Y"), "' 10:30 pm'"], "d"),
+    ([("yyyy, MMM d", "%Y, %b %-d")], "d"),
+    (["'the '", ("d MMMM yyyy", "%-d %B %Y")], "NULL"),
+    ([("MMMM d", "%B %-d")], "NULL"),
+    (["'31/31/'", ("yyyy", "%Y")], "NULL"),
+    ([("EEE d MMM yyyy", "%a %-d %b %Y"), "' 5pm'"], "d"),
+]
+
+
+def lenient_texts(spark: bool) -> str:
+    """(o_orderkey, d, text): dates in the layouts above, by turns."""
+    def shown(part):
+        if isinstance(part, str):
+            return part
+        return f"date_format(d, '{part[0]}')" if spark else f"strftime(d, '{part[1]}')"
+
+    cases = " ".join(f"WHEN {n} THEN {' || '.join(shown(p) for p in parts)}" for n, (parts, _) in enumerate(LENIENT))
+    days = "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM {orders}"
+    return f"SELECT o_orderkey, d, CASE o_orderkey % {len(LENIENT)} {cases} END AS text FROM ({days})"
+
+
+_MEANT = " ".join(f"WHEN {n} THEN {meant}" for n, (_, meant) in enumerate(LENIENT))
+
+
+@register("clean_dates_lenient", f"""
+    SELECT o_orderkey, text, CAST(CASE o_orderkey % {len(LENIENT)} {_MEANT} END AS DATE) AS cleaned
+    FROM ({oracle_text(lenient_texts(False))})""")
+def clean_dates_lenient_query(spark, sf_dir):
+    source = run_sql(spark, sf_dir, lenient_texts(True))
+    return source.select("o_orderkey", "text", clean_dates(F.col("text")).alias("cleaned"))
+
+
 @register("parse_date_uniform", f"""
     SELECT o_orderkey, CAST(try_strptime(text, '%Y-%m-%d') AS DATE) AS parsed
     FROM ({oracle_text(order_dates(False))})""")

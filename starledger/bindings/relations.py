@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window, functions as F, types as T
 
-from starledger.bindings.registry import register
+from starledger.bindings.registry import ORACLES, register
 from starledger.bindings.tables import (
     BUYER_SQL, oracle_text, star, star_ctes, table,
 )
@@ -14,7 +16,9 @@ from starledger.operators import audits, joins
 from starledger.operators.keys import number_rows
 from starledger.operators.order import previous_value, sort_rows, top_k
 from starledger.operators.rows import default_members, literal_rows, union_tables
-from starledger.operators.skew import KeyProfile, attach, salted_join
+from starledger.operators.skew import KeyProfile, attach, salted_join, unhinted
+from starledger.session import scratch_path
+from starledger.sources.sinks import load_bucketed
 
 BUYERS = oracle_text(BUYER_SQL)
 
@@ -68,6 +72,23 @@ _resolve("resolve_fk_user", "users", "user_uuid", "user_key", "dim_users", users
 _resolve("resolve_fk_product", "product", "product_code", "product_key", "dim_product")
 
 
+@register("resolve_fk_bucketed", ORACLES["resolve_fk_date"])
+def resolve_fk_bucketed(spark, sf_dir):
+    """Fact and date dimension as catalog tables in equal buckets of the natural key."""
+    return bucketed_dates(spark, sf_dir)
+
+
+def bucketed_dates(spark, sf_dir, buckets=8):
+    bound, run = star(spark, sf_dir), uuid.uuid4().hex
+    fact = bound.orders.select(F.col("date_key").alias("order_no"), F.col("product_key").alias("product_no"), "date_uuid")
+    tables = {"orders_table": fact, "dim_date_times": bound.date_times.select("date_uuid", "date_key")}
+    loaded = {
+        name: load_bucketed(df, f"{name}_{run}", scratch_path(spark, name), "date_uuid", buckets) for name, df in tables.items()
+    }
+    with unhinted():
+        return joins.resolve_fk(loaded["orders_table"], loaded["dim_date_times"], "date_uuid", "date_key")
+
+
 @register("resolve_fk_duplicate_codes", """
     SELECT o_orderkey, o_custkey, m.user_key FROM orders
         LEFT JOIN (SELECT c_nationkey, min(c_custkey) AS user_key FROM customer GROUP BY 1) m
@@ -423,6 +444,13 @@ def audit_pk_summary(spark, sf_dir):
     return audits.audit_pk_summary({t: (getattr(bound, a), k) for t, (a, k) in AUDITED.items()})
 
 
+@register("audit_pk_bitmaps", ORACLES["audit_pk_summary"])
+def audit_pk_bitmaps(spark, sf_dir):
+    """The same keys by bitmaps of ranges."""
+    bound = star(spark, sf_dir)
+    return audits.audit_pk_bitmaps({t: (getattr(bound, a), k) for t, (a, k) in AUDITED.items()})
+
+
 FK = "SELECT '{k}' AS fk, count(DISTINCT o.{k}) AS orphan_keys, count(*) AS orphan_rows " \
      "FROM orders_table o ANTI JOIN {t} d ON o.{k} = d.{k} WHERE o.{k} IS NOT NULL"
 
@@ -436,14 +464,22 @@ FK = "SELECT '{k}' AS fk, count(DISTINCT o.{k}) AS orphan_keys, count(*) AS orph
 def audit_fk(spark, sf_dir):
     """Two of the dimensions miss rows here, so that there is something to find."""
     bound = star(spark, sf_dir)
-    return audits.audit_fk(
-        bound.orders,
-        {
-            "product_key": (bound.product.where("category <> 'SMALL'"), "product_key"),
-            "store_key": (bound.store.where("country_code IS NOT NULL"), "store_key"),
-            "date_key": (bound.date_times, "date_key"),
-        },
-    )
+    return audits.audit_fk(bound.orders, _references(bound))
+
+
+def _references(bound):
+    return {
+        "product_key": (bound.product.where("category <> 'SMALL'"), "product_key"),
+        "store_key": (bound.store.where("country_code IS NOT NULL"), "store_key"),
+        "date_key": (bound.date_times, "date_key"),
+    }
+
+
+@register("audit_fk_bitmaps", ORACLES["audit_fk"])
+def audit_fk_bitmaps(spark, sf_dir):
+    """The same references by bitmaps of ranges."""
+    bound = star(spark, sf_dir)
+    return audits.audit_fk_bitmaps(bound.orders, _references(bound))
 
 
 @register("audit_fk_people", star_ctes("users", "card") + """

@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import re
+import uuid
 from functools import partial
 
 from pyspark.sql import functions as F
 
-from starledger.bindings.registry import register
+from starledger.bindings.registry import ORACLES, register
 from starledger.bindings.relations import half_up
-from starledger.bindings.tables import star, star_ctes
+from starledger.bindings.tables import DIM_OF, star, star_ctes
 from starledger.plans.questions import QUESTIONS, sale_gaps
 from starledger.plans.star import Star
+from starledger.plans.view_sql import STORED_VIEWS
 from starledger.plans.views import VIEWS
-from starledger.sources.sinks import create_views
+from starledger.schemas import FACT_TABLE
+from starledger.session import scratch_path
+from starledger.sources.sinks import create_stored_views, create_views, register_tables
 
 SALE = "CAST(p.product_price AS DECIMAL(12, 2)) * CAST(o.product_quantity AS BIGINT)"
 BY_KEYS = "orders_table o JOIN dim_product p ON p.product_key = o.product_key"
@@ -159,6 +163,40 @@ def create_views_all(spark, sf_dir):
     return spark.sql(" UNION ALL ".join(summed(name) for name in VIEWS))
 
 
+@register("stored_views", ORACLES["create_views_all"])
+def stored_views(spark, sf_dir):
+    """The four views as SQL in the catalog, over tables of the star, read by another session: rows and sum of each."""
+    database = f"star_{uuid.uuid4().hex}"
+    store_views(spark, sf_dir, database)
+    other = spark.newSession()
+    amount = {"customer_sales_ranked_view": "sales", "store_view": "number_of_staff"}
+
+    def summed(name):
+        exact = f"CAST({amount.get(name, 'total_sales')} AS DECIMAL(18, 2))"
+        return f"SELECT '{name}' AS view_name, count(*) AS rows, CAST(sum({exact}) AS DOUBLE) AS total FROM {database}.{name}"
+
+    return other.sql(" UNION ALL ".join(summed(name) for name in STORED_VIEWS))
+
+
+VIEW_COLUMNS = {
+    "orders": ["product_key", "date_key", "store_key", "user_key", "product_quantity"],
+    "product": ["product_key", "product_price"],
+    "date_times": ["date_key", "day", "month", "year", "time_period"],
+    "users": ["user_key", "first_name", "last_name"],
+}
+
+
+def store_views(spark, sf_dir, database):
+    """Write the tables that the views read, and store both in the catalog."""
+    bound, paths = star(spark, sf_dir, users=True), {}
+    for part, name in {"orders": FACT_TABLE, **DIM_OF}.items():
+        df = getattr(bound, part)
+        paths[name] = scratch_path(spark, name)
+        df.select(*VIEW_COLUMNS.get(part, df.columns)).write.parquet(paths[name])
+    register_tables(spark, paths, database)
+    create_stored_views(spark, STORED_VIEWS, database)
+
+
 IMPOSSIBLE = re.sub(r"dim_date_times AS \(", "all_dates AS (", GAPS).replace(
     "instants AS (", "dim_date_times AS (SELECT * FROM all_dates WHERE date_key % 7 <> 3),\n    instants AS ("
 )

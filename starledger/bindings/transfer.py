@@ -8,12 +8,13 @@ from starledger.bindings.pipelines import CLEAN_CARDS
 from starledger.bindings.registry import register
 from starledger.bindings.tables import raw, table
 from starledger.operators.columns import AVAILABILITY_TEXTS
-from starledger.operators.keys import number_rows
+from starledger.operators.keys import number_rows, stable_keys
 from starledger.operators.rows import DEFAULT_MEMBERS
 from starledger.plans import pipelines
 from starledger.schemas import DIM_TABLES, LAND_TABLES, RAW_TABLES, TABLE_LAYOUTS
 from starledger.session import scratch_path
 from starledger.sources import files, html, sinks
+from starledger.sources.published import Published
 
 # A document or page holds this many records, whatever keys the table repeats.
 RECORDS = 500
@@ -41,6 +42,20 @@ def src_csv(spark, sf_dir):
     return files.read_csv(spark, path, schema)
 
 
+@register("src_csv_by_name", """
+    SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS o_orderstatus, o_totalprice,
+        CAST(o_orderdate AS DATE) AS o_orderdate FROM orders""")
+def src_csv_by_name(spark, sf_dir):
+    """Files in two orders of columns; the second lacks one of them and has another."""
+    path = scratch_path(spark, "csv-by-name")
+    orders = table(spark, sf_dir, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
+    first = orders.where("o_orderkey % 2 = 0").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    second = orders.where("o_orderkey % 2 <> 0").select("o_orderdate", "o_orderpriority", "o_totalprice", "o_orderkey")
+    for part in (first, second):
+        part.write.mode("append").options(**files.CSV_OPTIONS).csv(path)
+    return files.read_csv_by_name(spark, path, "o_orderkey long, o_orderstatus string, o_totalprice double, o_orderdate date")
+
+
 def _note(spark: bool) -> str:
     """Text with quotes, commas, backslashes and line breaks."""
     line_break = "char(10)" if spark else "chr(10)"
@@ -149,6 +164,37 @@ def src_json_columnar(spark, sf_dir):
     )
 
 
+@register("src_json_variant", f"""
+    SELECT event_id, n % {RECORDS} AS row_id, event_type, '{{"ids":[' || event_id || '],"user":' || user_id || '}}' AS detail
+    FROM {numbered_sql("events", "event_id")}""")
+def src_json_variant(spark, sf_dir):
+    """Documents by column that name a column twice, and arrays behind white space; cells that are objects."""
+    detail = F.struct(F.col("user_id").alias("user"), F.array("event_id").alias("ids"))
+    rows = numbered(spark, sf_dir, "events", "event_id").select(
+        F.floor(F.col("n") / RECORDS).alias("document"), (F.col("n") % RECORDS).alias("label"), "event_id", "event_type", detail.alias("detail"),
+    )
+
+    def column(name):
+        cells = F.sort_array(F.collect_list(F.struct(F.col("label"), F.col(name).alias("cell"))))
+        entries = F.transform(cells, lambda c: F.struct(c["label"].cast("string").alias("key"), c["cell"].alias("value")))
+        return F.to_json(F.map_from_entries(entries))
+
+    names = ["event_id", "event_type", "detail"]
+    written = [F.concat(F.lit(f'"{n}": '), column(n)) for n in names]
+    stale = F.lit('"event_type": {"0": "stale", "x": "gone"}')
+    by_column = rows.where("document % 2 = 0").groupBy("document").agg(
+        F.concat(F.lit(" { "), F.concat_ws(", ", stale, *written), F.lit(" }")).alias("value")
+    )
+    records = F.sort_array(F.collect_list(F.struct("label", *names)))
+    arrays = rows.where("document % 2 = 1").groupBy("document").agg(
+        F.concat(F.lit("\t  "), F.to_json(F.transform(records, lambda r: r.dropFields("label")))).alias("value")
+    )
+    path = scratch_path(spark, "json-variant")
+    by_column.union(arrays).select("value").write.text(path)
+    found = files.read_json_columnar(spark, path, names, one_per_line=True)
+    return found.select(F.col("event_id").cast("long").alias("event_id"), "row_id", "event_type", "detail")
+
+
 @register("src_mapping_file", """
     SELECT c_mktsegment || ' ' || c_nationkey AS name, arg_max('K' || c_custkey, c_custkey) AS code
     FROM customer GROUP BY 1""")
@@ -203,6 +249,29 @@ def src_html_table_lenient(spark, sf_dir):
     return rows.where(~F.col("is_header")).drop("is_header")
 
 
+@register("src_html_spans", f"""
+    SELECT n // {ROWS_PER_PAGE} AS page_id, CAST(n % {ROWS_PER_PAGE} + 1 AS INT) AS row_no,
+        CASE WHEN n % 2 = 0 THEN 'N°' || o_orderkey ELSE 'N°' || lag(o_orderkey) OVER (ORDER BY n) END AS pair,
+        CASE WHEN n % 2 = 0 THEN o_orderpriority ELSE o_orderkey || ' € é' END AS label,
+        CASE WHEN n % 2 = 0 THEN o_orderstatus ELSE o_orderkey || ' € é' END AS status
+    FROM {numbered_sql("orders", "o_orderkey")}""")
+def src_html_spans(spark, sf_dir):
+    """Every second row goes on with the first cell of the one before, and its own cell covers two columns."""
+    key = F.col("o_orderkey").cast("string")
+    first = F.concat(
+        F.lit("<tr><td rowspan='2'>N&deg;"), key, F.lit("</td><td>"), "o_orderpriority", F.lit("</td><td>"), "o_orderstatus", F.lit("</td></tr>")
+    )
+    second = F.concat(F.lit('<tr><td class="x" COLSPAN=2>'), key, F.lit(" &#8364;&nbsp;&#xE9;</td></tr>"))
+    row = F.when(F.col("n") % 2 == 0, first).otherwise(second)
+    in_order = F.sort_array(F.collect_list(F.struct("n", row.alias("row"))))
+    head = "<table><thead><tr><th rowspan=5>pair</th><th>label</th><th>status</th></tr></thead><tbody>"
+    pages = numbered(spark, sf_dir, "orders", "o_orderkey").groupBy(F.floor(F.col("n") / ROWS_PER_PAGE).alias("page_id")).agg(
+        F.concat(F.lit(head), F.array_join(F.transform(in_order, lambda r: r["row"]), ""), F.lit("</tbody></table>")).alias("html")
+    )
+    rows = html.harvest_tables(pages, 0, ["pair", "label", "status"])
+    return rows.where(~F.col("is_header")).drop("is_header")
+
+
 LOADED = """
     SELECT s_suppkey AS store_key, CASE s_suppkey % 3 WHEN 0 THEN 'GB' WHEN 1 THEN 'DE' ELSE 'FR' END
         AS country_code, CASE s_suppkey % 4 WHEN 0 THEN 'True' WHEN 1 THEN 'False' END AS availability
@@ -229,6 +298,31 @@ def load_table(spark, sf_dir):
     return sinks.load_table(stores, path, "append", **steps)
 
 
+@register("load_table_append", "SELECT s_suppkey, s_name, s_nationkey FROM supplier")
+def load_table_append(spark, sf_dir):
+    """A published table and a batch behind it that comes twice and counts once."""
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    published = Published(spark, scratch_path(spark, "published"))
+    published.publish(suppliers.where("s_suppkey % 3 > 0"), "replace")
+    rest = suppliers.where("s_suppkey % 3 = 0").select("s_nationkey", "s_suppkey", "s_name")
+    published.publish(rest, "append", batch="rest")
+    return published.publish(rest, "append", batch="rest")
+
+
+@register("key_stable", """
+    WITH loads AS (SELECT *, CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 2 END AS load FROM customer)
+    SELECT c_custkey, c_name, row_number() OVER (ORDER BY load, c_name) AS user_key FROM loads""")
+def key_stable(spark, sf_dir):
+    """Two loads with one key map: the second has all customers, and those of the first keep their keys."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    keys = Published(spark, scratch_path(spark, "key-map"))
+    _, new = stable_keys(customers.where("c_custkey % 3 = 0"), "c_name", "user_key")
+    known = keys.publish(new, "append", batch="first")
+    keyed, new = stable_keys(customers, "c_name", "user_key", known)
+    keys.publish(new, "append", batch="second")
+    return keyed
+
+
 @register("layered_load", f"""
     {CLEAN_CARDS}
     UNION ALL SELECT -1, 'Not Applicable', NULL, NULL, NULL

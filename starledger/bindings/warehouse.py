@@ -11,20 +11,13 @@ from starledger.bindings.tables import raw, raw_all
 from starledger.operators import audits, joins
 from starledger.operators.rows import JUNK_CARD_PROVIDERS
 from starledger.plans.star import Star
-from starledger.plans.warehouse import REPORT_TABLE, load_warehouse
+from starledger.plans.warehouse import QUARANTINE_TABLE, REPORT_TABLE, load_warehouse
 from starledger.session import scratch_path
 
-_LOADED: dict[tuple[str, str], tuple[Star, str]] = {}
-
-
-def loaded(spark: SparkSession, sf_dir: str) -> tuple[Star, str]:
-    """The warehouse of a folder, loaded once per application, and where it lies."""
-    at = (spark.sparkContext.applicationId, sf_dir)
-    if at not in _LOADED:
-        root = scratch_path(spark, "warehouse")
-        star = load_warehouse(raw_all(spark, sf_dir), raw(spark, sf_dir, "mapping"), RUN_TS, root)
-        _LOADED[at] = (star, root)
-    return _LOADED[at]
+def loaded(spark: SparkSession, sf_dir: str, quarantine: bool = False) -> tuple[Star, str]:
+    """The warehouse of a folder, loaded now, and where it lies."""
+    root = scratch_path(spark, "warehouse")
+    return load_warehouse(raw_all(spark, sf_dir), raw(spark, sf_dir, "mapping"), RUN_TS, root, quarantine=quarantine), root
 
 
 def _first(key: str, natural: str, table: str) -> str:
@@ -93,31 +86,44 @@ def warehouse_dim_product(spark, sf_dir):
     return spark.read.parquet(f"{loaded(spark, sf_dir)[1]}/dim_product")
 
 
-def _dropped(table: str, column: str, source: str, keep: str) -> str:
+def _dropped(table: str, column: str, source: str, keep: str, shown: str = "count(*) FILTER ({failed}) AS rows", more: str = "") -> str:
+    failed = f"NOT coalesce({keep}, FALSE)"
     return (
         f"SELECT '{table}' AS table_name, '{column}' AS column_name, 'dropped row' AS reason, "
-        f"count(*) FILTER (NOT coalesce({keep}, FALSE)) AS rows FROM ({source})"
+        f"{shown.format(failed=failed)} FROM ({source}) {more.format(failed=failed)}"
     )
 
 
 _JUNK = ", ".join(f"'{p}'" for p in JUNK_CARD_PROVIDERS)
 
 
-@register("load_rejects", "SELECT * FROM (" + " UNION ALL ".join([
-    _dropped("land_user_data", "date_of_birth", USERS, f"{parsed_date('date_of_birth')} IS NOT NULL"),
-    _dropped("land_user_data", "join_date", USERS, f"{parsed_date('join_date')} IS NOT NULL"),
-    _dropped("land_store_data", "opening_date", STORES, f"{parsed_date('c7')} IS NOT NULL"),
-    _dropped("land_card_data", "card_provider", CARDS, f"card_provider IS NULL OR card_provider NOT IN ({_JUNK})"),
-    _dropped("land_card_data", "date_payment_confirmed", CARDS, f"{parsed_date('date_payment_confirmed')} IS NOT NULL"),
-    _dropped("land_product_data", "availability", PRODUCTS, "removed IS NULL OR removed IN ('Still_avaliable', 'Removed')"),
-    _dropped("land_product_data", "weight", PRODUCTS, f"{kilograms('weight')} IS NOT NULL"),
-    _dropped("land_date_times", "month", EVENTS, f"{number('month')} IS NOT NULL"),
-]) + ") WHERE rows > 0")
+RULES = [
+    ("land_user_data", "date_of_birth", USERS, f"{parsed_date('date_of_birth')} IS NOT NULL"),
+    ("land_user_data", "join_date", USERS, f"{parsed_date('join_date')} IS NOT NULL"),
+    ("land_store_data", "opening_date", STORES, f"{parsed_date('c7')} IS NOT NULL"),
+    ("land_card_data", "card_provider", CARDS, f"card_provider IS NULL OR card_provider NOT IN ({_JUNK})"),
+    ("land_card_data", "date_payment_confirmed", CARDS, f"{parsed_date('date_payment_confirmed')} IS NOT NULL"),
+    ("land_product_data", "availability", PRODUCTS, "removed IS NULL OR removed IN ('Still_avaliable', 'Removed')"),
+    ("land_product_data", "weight", PRODUCTS, f"{kilograms('weight')} IS NOT NULL"),
+    ("land_date_times", "month", EVENTS, f"{number('month')} IS NOT NULL"),
+]
+
+
+@register("load_rejects", "SELECT * FROM (" + " UNION ALL ".join(_dropped(*rule) for rule in RULES) + ") WHERE rows > 0")
 def load_rejects(spark, sf_dir):
     """What the load counted: no value misfits its type here, but rules drop rows."""
     return spark.read.parquet(f"{loaded(spark, sf_dir)[1]}/{REPORT_TABLE}").where("rows > 0")
 
 
+@register("load_rejected_rows", " UNION ALL ".join(
+    _dropped(*rule, shown=f"{'c0' if rule[0] == 'land_store_data' else 'position'} AS place", more="WHERE {failed}")
+    for rule in RULES))
+def load_rejected_rows(spark, sf_dir):
+    """The rows that the load left out, by their place in the source."""
+    rows = spark.read.parquet(f"{loaded(spark, sf_dir, quarantine=True)[1]}/{QUARANTINE_TABLE}")
+    return rows.drop("row")
+
+
 TABLES = {
     "dim_users": ("users", "user_key"),
     "dim_store_details": ("store", "store_key"),

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import calendar
+
 from pyspark.sql import Column, functions as F
 
+from starledger.functions.lists import let
+
 # The recognised layouts. A text that fits one is rewritten as year-month-day,
 # in this order. Year first with a two-digit day takes full month names only. Numeric dates
 # are month first unless only day first fits.
 ISO = r"^\d{4}-\d{2}-\d{2}$"
 NUMERIC_REWRITES = [
-    (r"^(\d{4})-(\d{2})-(\d{2})[ T]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?$", "$1-$2-$3"),
+    (r"^(\d{4})-(\d{2})-(\d{2})[ T](?:[01]\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d+)?)?$", "$1-$2-$3"),
     (r"^(\d{4})/(\d{1,2})/(\d{1,2})$", "$1-$2-$3"),
     (r"^(1[3-9]|2\d|3[01])[/-](\d{1,2})[/-](\d{4})$", "$3-$2-$1"),
     (r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})$", "$3-$1-$2"),
@@ -29,6 +33,115 @@ NAMED_REWRITES = [
 ]
 
 
+# Texts that start like this have a format of their own, and are no dates where they do not fit it.
+FIXED_LAYOUT = r"^(?:NULL$|\d{4}/\d{1,2}/\d{1,2}|\d{4} [a-zA-Z]{3,} \d{2})"
+
+#: Years of two digits lie within 50 years of this one.
+TWO_DIGIT_YEARS_AROUND = 2025
+
+# Words that a date may hold beside its parts.
+FILLERS = ["at", "on", "and", "ad", "m", "t", "of"]
+# A time of day, with its zone, behind a date or before it; and an hour alone.
+_TIME = (
+    r"(?:(?<=\d)t|\b)(?:[01]?\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d+)?)?(?:\s*[ap]m\b)?(?:\s*(?:z\b|[+-]\d{2}:?\d{2}\b))?(?![\w:])"
+    r"|(?<=^\d{8})t\d{4}(?:\d{2})?$|\b(?:0?[1-9]|1[0-2])\s*[ap]m\b"
+)
+# Dates that a count of nanoseconds can hold.
+EARLIEST, LATEST = "1677-09-22", "2262-04-10"
+
+
+def _names(full: list[str], *others: str) -> list[tuple[str, int]]:
+    """Names and their first three letters, with their numbers."""
+    return [(form, n) for n, name in enumerate(full) if name for form in {name.lower(), name[:3].lower()}] + [
+        (other, next(n for n, name in enumerate(full) if name.lower().startswith(other[:3]))) for other in others
+    ]
+
+
+def _number_of(token: Column, names: list[tuple[str, int]]) -> Column:
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in names for x in pair]), token)
+
+
+_MONTHS = _names(list(calendar.month_name), "sept")
+_WEEKDAYS = [name for name, _ in _names(list(calendar.day_name))]
+
+
+def clean_dates_lenient(text: Column, around: int = TWO_DIGIT_YEARS_AROUND) -> Column:
+    """Date of a text in words and numbers, read by a grammar of tokens; NULL where they make no date.
+
+    The text, without its time of day, is cut into words and numbers. A word is a month, a weekday or a filler; a number of
+    eight or six digits is three numbers, others are one. The parts that are left, three at most and one month
+    name at most, are year, month and day by their places:
+
+    * with a month name, a number above 31 is the year; if none is, the last number is the year, or the first
+      one where the month comes last;
+    * without, a first number above 31 is the year, then month and day; one above 12 is the day, then month and year;
+      otherwise the month is first, then day and year;
+    * two parts are a year and its month, one of four digits a year: they mean the first day.
+
+    Weekdays are not checked and are no days; a month and day without a year are no date. A year of two digits is the one within
+    50 years of ``around``.
+    """
+    lower = F.trim(F.lower(text))
+    date = F.regexp_replace(F.regexp_replace(lower, _TIME, " "), r"(?<=\d)(?:st|nd|rd|th)\b", "")
+    readable = date.rlike(r"^[a-z0-9\s.,;/'-]{4,60}$") & date.rlike(r"\d")
+    return F.when(readable, let(F.regexp_extract_all(date, F.lit("[a-z]+|[0-9]+"), F.lit(0)), lambda t: _assembled(t, around)))
+
+
+def _assembled(tokens: Column, around: int) -> Column:
+    def part(value: Column, month: bool, digits: Column) -> Column:
+        return F.struct(value.cast("int").alias("value"), F.lit(month).alias("month"), digits.alias("digits"))
+
+    def parts_of(token: Column) -> Column:
+        """The parts of a token; a word that is none of the known is a part without a value."""
+        cuts = {8: [(1, 4), (5, 2), (7, 2)], 6: [(1, 2), (3, 2), (5, 2)]}
+        number = F.array(part(token.try_cast("int"), False, F.length(token)))
+        for length, places in cuts.items():
+            cut = F.array(*[part(F.substring(token, a, n).try_cast("int"), False, F.lit(n)) for a, n in places])
+            number = F.when(F.length(token) == length, cut).otherwise(number)
+        month = _number_of(token, _MONTHS)
+        word = F.when(token.isin(*FILLERS, *_WEEKDAYS), F.array().cast("array<struct<value:int,month:boolean,digits:int>>"))
+        word = word.otherwise(F.array(part(month, True, F.lit(0))))
+        return F.when(token.rlike("^[0-9]"), number).otherwise(word)
+
+    weekday = F.exists(tokens, lambda t: t.isin(*_WEEKDAYS))
+    return let(F.flatten(F.transform(tokens, parts_of)), lambda parts: _date_of(parts, weekday, around))
+
+
+def _date_of(parts: Column, weekday: Column, around: int) -> Column:
+    a, b, c = (F.get(parts, F.lit(n)) for n in range(3))
+    size, named = F.size(parts), F.size(F.filter(parts, lambda p: p["month"]))
+    x, y, z = a["value"], b["value"], c["value"]
+    first = F.struct(F.lit(1).alias("value"), F.lit(False).alias("month"), F.lit(1).alias("digits"))
+
+    def order(year: Column, month: Column, day: Column) -> Column:
+        return F.array(year, month, day)
+
+    three = (
+        F.when(a["month"], F.when(y > 31, order(b, a, c)).otherwise(order(c, a, b)))
+        .when(b["month"], F.when(x > 31, order(a, b, c)).otherwise(order(c, b, a)))
+        .when(c["month"], F.when(y > 31, order(b, c, a)).otherwise(order(a, c, b)))
+        .when((x > 31) | (a["digits"] > 2), order(a, b, c))
+        .when(x > 12, order(c, b, a))
+        .otherwise(order(c, a, b))
+    )
+    two = F.when((x > 31) & ~a["month"], order(a, b, first)).when((y > 31) & ~b["month"], order(b, a, first))
+    one = F.when((a["digits"] == 4) & ~a["month"], order(a, first, first))
+    chosen = F.when(size == 3, three).when((size == 2) & ~weekday, two).when((size == 1) & ~weekday, one)
+    whole = (named <= 1) & ~F.exists(parts, lambda p: p["value"].isNull())
+
+    def written(p: Column) -> Column:
+        year = F.get(p, F.lit(0))
+        near = year["value"] + around // 100 * 100
+        near = F.when(near >= around + 50, near - 100).when(near < around - 50, near + 100).otherwise(near)
+        full = F.when(year["digits"] > 2, year["value"]).otherwise(near)
+        numbers = F.concat_ws("-", F.lpad(full.cast("string"), 4, "0"), F.get(p, F.lit(1))["value"].cast("string"),
+                              F.get(p, F.lit(2))["value"].cast("string"))
+        day = F.try_to_date(numbers, "yyyy-M-d")
+        return F.when(day.between(F.lit(EARLIEST).cast("date"), F.lit(LATEST).cast("date")), day)
+
+    return F.when(whole & chosen.isNotNull(), let(chosen, written))
+
+
 def _rewritten(text: Column, rewrites: list[tuple[str, str]], result: str) -> Column:
     """Text after all rewrites, or NULL unless it ends up as ``result``."""
     for shape, parts in rewrites:
@@ -36,12 +149,20 @@ def _rewritten(text: Column, rewrites: list[tuple[str, str]], result: str) -> Co
     return F.get(F.regexp_extract_all(text, F.lit(result), F.lit(0)), F.lit(0))
 
 
-def clean_dates(text: Column) -> Column:
+def clean_dates(text: Column, around: int = TWO_DIGIT_YEARS_AROUND) -> Column:
     """Date of a mixed-format text; 'NULL', NULL and unreadable text give NULL.
 
-    Only texts of a known shape reach a date parser, so junk costs no parse attempt. A
-    text of a known shape that is no date ('2001-13-45') is a reject like any other. Each
-    step names its input once, which keeps the generated code of a stage small.
+    Texts of a known shape are rewritten and parsed; what is left is read token by token
+    (``clean_dates_lenient``), but for texts that start like a layout with a format of its own and do not fit it. A
+    text of a known shape that is no date ('2001-13-45') is a reject like any other.
+    """
+    known = _of_known_shape(text)
+    return F.when(known.isNotNull(), known).when(text.rlike(FIXED_LAYOUT), F.lit(None)).otherwise(clean_dates_lenient(text, around))
+
+
+def _of_known_shape(text: Column) -> Column:
+    """Only texts of a known shape reach a date parser. Each step names its input once, which keeps the generated code of a
+    stage small.
     """
     named = _rewritten(F.lower(text), NAMED_REWRITES, r"^\d{4}-[a-z]{3}-\d{1,2}$")
     numeric = _rewritten(text, NUMERIC_REWRITES, r"^\d{4}-\d{1,2}-\d{1,2}$")
@@ -66,7 +187,16 @@ def make_full_date(year: Column, month: Column, day: Column) -> Column:
     return F.date_format(F.try_to_date(parts, "yyyy-M-d"), "yyyy-MM-dd")
 
 
-def sale_instant(day: Column, time_of_day: Column) -> Column:
-    """Zone-free timestamp of a date and an 'HH:mm:ss' text; NULL without a date."""
-    text = F.concat_ws(" ", day.cast("string"), time_of_day)
-    return F.when(day.isNotNull(), text.try_cast("timestamp_ntz"))
+def sale_instant(year: Column, month: Column, day: Column, time_of_day: Column) -> Column:
+    """Zone-free timestamp of three numbers and an 'HH:mm:ss' text; NULL where they are none.
+
+    A missing time of day is midnight. No text is made on the way.
+    """
+    parts = F.split(time_of_day, ":")
+    whole = time_of_day.rlike(r"^\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,6})?)?$")
+    hour, minute, second = (F.get(parts, F.lit(n)) for n in range(3))
+    exact = F.try_make_timestamp_ntz(
+        year, month, day, hour.try_cast("int"), minute.try_cast("int"), F.coalesce(second, F.lit("0")).try_cast("decimal(16,6)")
+    )
+    midnight = F.try_make_timestamp_ntz(year, month, day, F.lit(0), F.lit(0), F.lit(0).cast("decimal(16,6)"))
+    return F.when(time_of_day.isNull(), midnight).when(whole, exact)

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from starledger.operators.skew import attach
 from starledger.session import materialised
 
 #: Sees the rows before some are dropped, and the rules by name; returns the rows.
@@ -16,6 +17,17 @@ Watch = Callable[[DataFrame, Mapping[str, Column]], DataFrame]
 _ROW_BITS = 33
 
 
+#: So many rows are numbered in one task where their number is known.
+FEW_ROWS = 200_000
+
+
+def number_few_rows(df: DataFrame, order_by: Sequence[str], key: str) -> DataFrame:
+    """``number_rows`` in one task, for frames of which is known that they have ``FEW_ROWS`` at most."""
+    along = Window.orderBy(*order_by, "_tie")
+    tied = df.withColumn("_tie", F.xxhash64(*df.columns))
+    return tied.select(*df.columns, F.row_number().over(along).cast("long").alias(key))
+
+
 def number_rows(df: DataFrame, order_by: Sequence[str], key: str) -> DataFrame:
     """``key`` = 1..n along ``order_by``, without bringing the rows into one task.
 
@@ -87,7 +99,9 @@ def key_dense(
         marked = watch(marked, flags)
     written = materialised(marked, "cleaned")
     kept = written.where(all_hold(flags)).drop(*[f"_rule_{i}" for i in range(len(flags))])
-    return number_rows(kept, order, key).drop(source)
+    # Counted from the footers of the written files.
+    number = number_few_rows if written.count() <= FEW_ROWS else number_rows
+    return number(kept, order, key).drop(source)
 
 
 def key_ordinal(
@@ -113,3 +127,22 @@ def key_ordinal(
     if watch:
         keyed = watch(keyed, flags)
     return keyed.where(all_hold(flags)).select(*[c for c in df.columns if c != key], key)
+
+
+def stable_keys(df: DataFrame, natural: str, key: str, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """``df`` with ``key`` by its natural key, and the new entries (natural, key) of the key map.
+
+    Natural keys that the map ``known`` holds keep their surrogate; only unseen ones are numbered, in their order, behind the
+    highest surrogate of the map. So keys hold from load to load, whatever rows come or go. Every row of a
+    natural key has the same surrogate; a missing natural key has none. The highest surrogate comes to the driver.
+    """
+    if key in df.columns:
+        raise ValueError(f"the frame has a column {key} already")
+    seen = df.select(natural).where(F.col(natural).isNotNull()).distinct()
+    # One row per natural key on both sides.
+    unseen = seen if known is None else seen.join(known.select(natural), natural, "left_anti")
+    highest = 0 if known is None else known.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
+    numbered = number_rows(unseen, [natural], "_number")
+    new = materialised(numbered.select(natural, (F.col("_number") + highest).cast("long").alias(key)), "new-keys")
+    keys = new if known is None else known.select(natural, key).union(new)
+    return attach(df, keys, natural, "left").select(*df.columns, key), new

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from starledger.functions.dates import make_full_date, sale_instant
+from starledger.functions.dates import sale_instant
 from starledger.functions.gaps import format_gap, mean_gap, micros
 from starledger.functions.numbers import money, percent_of_count
 from starledger.operators.order import gaps_by_group, top_k
@@ -140,10 +140,8 @@ def sale_gaps(star: Star) -> DataFrame:
     The default members have no date and are left out by their keys. An impossible date gives
     no instant; its year then has one sale less to measure between.
     """
-    day = make_full_date(F.col("year"), F.col("month"), F.col("day"))
-    events = star.date_times.where(F.col("date_key") >= 1).select(
-        "year", micros(sale_instant(day, F.col("timestamp"))).alias("at")
-    )
+    instant = sale_instant(*(F.col(c) for c in ("year", "month", "day", "timestamp")))
+    events = star.date_times.where(F.col("date_key") >= 1).select("year", micros(instant).alias("at"))
     return gaps_by_group(events, "year", "at").select(
         "year", mean_gap(F.col("total_gap"), F.col("gaps")).alias("mean_gap")
     )

@@ -27,6 +27,7 @@ CONVERSION_SUBSET = ["USD", "GBP", "EUR"]
 
 
 REPORT_TABLE = "load_rejects"
+QUARANTINE_TABLE = "load_rejected_rows"
 
 
 def load_warehouse(
@@ -36,16 +37,18 @@ def load_warehouse(
     root: str,
     position: str = "position",
     dense_position: bool = False,
+    quarantine: bool = False,
 ) -> Star:
     """Load all datasets under ``root`` and return the star as read back from there.
 
     Every raw frame but stores and orders has a ``position`` column with its source
     order. Keys are resolved before the one write of the fact, and the currency
     dimension is written with its rate keys. What was dropped or did not fit is counted in
-    the table ``load_rejects``. Intermediate files are deleted at the end.
+    the table ``load_rejects``; with ``quarantine`` the rows themselves are kept in ``load_rejected_rows``, at the price of
+    cleaning them once more. Intermediate files are deleted at the end.
     """
     spark = mapping.sparkSession
-    rejects = Rejects()
+    rejects = Rejects(keep=quarantine)
 
     def watch(dataset: str) -> Watch:
         return lambda df, rules: rejects.dropped(df, LAND_TABLES[dataset], rules)
@@ -111,5 +114,7 @@ def load_warehouse(
         )
         # Typed when it was staged; the keys are LONG from the dimensions.
         fact = load_table(resolve_keys(unresolved), f"{root}/{FACT_TABLE}", "replace")
+        if quarantine:
+            load_table(rejects.rows(spark), f"{root}/{QUARANTINE_TABLE}", "replace")
     load_table(rejects.frame(spark), f"{root}/{REPORT_TABLE}", "replace")
     return replace(unresolved, orders=fact)

@@ -2,28 +2,120 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
+from html.entities import html5
 from html.parser import HTMLParser
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# The entities that table cells are decoded from.
-ENTITIES = {
-    "&nbsp;": " ",
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&#39;": "'",
-    "&amp;": "&",
-}
+from starledger.functions.lists import let
+
+_REPLACEMENT = "\N{REPLACEMENT CHARACTER}"
+
+
+@lru_cache(maxsize=1)
+def _entities() -> str:
+    """Names of characters, and the numbers that stand for characters of another page code, as a JSON object."""
+    named = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
+    # Numbers 128 to 159 are written where the characters of that code page are meant.
+    for n in range(128, 160):
+        named[f"#{n}"] = bytes([n]).decode("cp1252", errors="ignore") or chr(n)
+    return json.dumps(named)
+
+
+def _character(entity: Column) -> Column:
+    """The text of one ``&...;``; unknown names stay as they are."""
+    body = F.substring(entity, 2, 40)
+    name = F.rtrim(body, F.lit(";"))
+    number = F.when(
+        name.rlike("^#[xX][0-9a-fA-F]{1,6}$"), F.conv(F.substring(name, 3, 6), 16, 10).try_cast("int")
+    ).when(name.rlike("^#[0-9]{1,7}$"), F.substring(name, 2, 7).try_cast("int"))
+    known = F.from_json(F.lit(_entities()), "map<string,string>")
+    listed = F.try_element_at(known, F.coalesce(F.concat(F.lit("#"), number.cast("string")), name))
+    text = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    outside = (number == 0) | number.between(0xD800, 0xDFFF) | (number > 0x10FFFF)
+    return F.coalesce(listed, F.when(outside, F.lit(_REPLACEMENT)).when(number.isNotNull(), text), entity)
+
+
+def decoded(text: Column) -> Column:
+    """``text`` with named and numeric character references replaced; each is read once."""
+    parts = F.regexp_extract_all(text, F.lit(r"&(?:[a-zA-Z][a-zA-Z0-9]{1,31}|#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6});|[^&]+|&"), F.lit(0))
+    read = F.array_join(F.transform(parts, lambda p: F.when(p.rlike("^&.+;$"), _character(p)).otherwise(p)), "")
+    return F.when(F.contains(text, F.lit("&")), read).otherwise(text)
 
 
 def cell_text(markup: Column) -> Column:
     """Cell markup without tags and entities, white space collapsed; empty cells are NULL."""
-    text = F.regexp_replace(markup, r"(?s)<[^>]*>", "")
-    for entity, character in ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(character))
-    return F.nullif(F.trim(F.regexp_replace(text, r"\s+", " ")), F.lit(""))
+    text = decoded(F.regexp_replace(markup, r"(?s)<[^>]*>", ""))
+    return F.nullif(F.trim(F.regexp_replace(text, r"(?U)\s+", " ")), F.lit(""))
+
+
+_ROW = r"(?is)(?:</?t(?:head|body|foot)\b[^>]*>\s*)*<tr\b.*?</tr\s*>"
+_CELL = r"(?is)<(t[dh]\b[^>]*)>(.*?)</t[dh]\s*>"
+#: Rows that are worked on together where a table has spans.
+ROWS_AT_ONCE = 256
+
+
+def _span(tag: Column, name: str, most: int | None = None) -> Column:
+    """The number of columns or rows that a cell covers; what is no number, and 0, count as 1."""
+    found = F.regexp_extract(tag, rf"(?i)\b{name}\s*=\s*[\"']?\s*(\d{{1,5}})", 1).try_cast("int")
+    span = F.greatest(F.coalesce(found, F.lit(1)), F.lit(1))
+    return span if most is None else F.least(span, F.lit(most))
+
+
+def _grid(rows: Column, width: int) -> Column:
+    """Per row of a table the texts of its first ``width`` columns, spans carried right and down.
+
+    The state is, per column, a text and in how many further rows it still stands. A row's own cells take the columns that
+    are free, in order. Rows are worked on in chunks, so that a long table is not copied row by row. A section ends what its
+    rows carry.
+    """
+    kind = f"array<struct<text:string,left:int>>"
+    nothing = F.array_repeat(F.struct(F.lit(None).cast("string").alias("text"), F.lit(0).alias("left")), width).cast(kind)
+    columns = F.sequence(F.lit(0), F.lit(width - 1))
+
+    def units(row: Column) -> Column:
+        """The row's cells, a cell as often as it covers columns."""
+        cells = F.arrays_zip(
+            F.regexp_extract_all(row, F.lit(_CELL), F.lit(1)).alias("tag"), F.regexp_extract_all(row, F.lit(_CELL), F.lit(2)).alias("body")
+        )
+        covering = F.transform(cells, lambda c: F.array_repeat(
+            F.struct(cell_text(c["body"]).alias("text"), (_span(c["tag"], "rowspan") - 1).alias("left")), _span(c["tag"], "colspan", width)
+        ))
+        return F.flatten(covering).cast(kind)
+
+    def next_row(held: Column, row: Column) -> Column:
+        carried = F.when(row.rlike(r"(?i)^</?t(head|body|foot)"), nothing).otherwise(held)
+        return let(F.struct(carried.alias("carried"), units(row).alias("units")), lambda s: F.transform(columns, lambda c: _at(s, c)))
+
+    def _at(state: Column, c: Column) -> Column:
+        above = F.get(state["carried"], c)
+        free = c - F.size(F.filter(F.slice(state["carried"], F.lit(1), c), lambda k: k["left"] > 0))
+        own = F.coalesce(F.get(state["units"], free), F.get(nothing, F.lit(0)))
+        return F.when(above["left"] > 0, F.struct(above["text"].alias("text"), (above["left"] - 1).alias("left"))).otherwise(own)
+
+    def step(acc: Column, row: Column) -> Column:
+        return let(
+            F.struct(acc["rows"].alias("rows"), next_row(acc["held"], row).alias("held")),
+            lambda s: F.struct(
+                F.concat(s["rows"], F.array(F.transform(s["held"], lambda c: c["text"]))).alias("rows"), s["held"].alias("held")
+            ),
+        )
+
+    def chunk(acc: Column, first: Column) -> Column:
+        empty = F.array().cast("array<array<string>>")
+        inner = F.aggregate(
+            F.slice(rows, first, F.lit(ROWS_AT_ONCE)), F.struct(empty.alias("rows"), acc["held"].alias("held")), step
+        )
+        return let(inner, lambda i: F.struct(F.concat(acc["done"], F.array(i["rows"])).alias("done"), i["held"].alias("held")))
+
+    firsts = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(rows) - 1) / ROWS_AT_ONCE).cast("int")), lambda n: n * ROWS_AT_ONCE + 1
+    )
+    start = F.struct(F.array().cast("array<array<array<string>>>").alias("done"), nothing.alias("held"))
+    return F.aggregate(firsts, start, chunk, lambda acc: F.flatten(acc["done"]))
 
 
 def harvest_tables(
@@ -33,68 +125,86 @@ def harvest_tables(
 
     For well-formed markup without nested tables; all expressions run in the JVM. Pages
     with fewer tables give no rows; short rows are filled with NULL. ``row_no`` counts
-    all rows of the table, ``is_header`` marks rows of header cells only.
+    all rows of the table, ``is_header`` marks rows of header cells only. A cell that spans columns or rows stands in each of them,
+    as far as its section of the table goes.
     """
     table = F.get(
         F.regexp_extract_all(html, F.lit(r"(?is)<table\b.*?</table\s*>"), F.lit(0)), F.lit(index)
     )
-    rows = F.regexp_extract_all(table, F.lit(r"(?is)<tr\b.*?</tr\s*>"), F.lit(0))
-    exploded = pages.select(page_id, F.posexplode(rows).alias("row_no", "row"))
-    cells = F.regexp_extract_all(
-        "row", F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"), F.lit(1)
-    )
-    return exploded.select(
-        page_id,
-        "row_no",
-        (F.col("row").rlike(r"(?i)<th\b") & ~F.col("row").rlike(r"(?i)<td\b")).alias("is_header"),
-        cells.alias("cells"),
-    ).select(
-        page_id,
-        "row_no",
-        "is_header",
-        *[cell_text(F.get("cells", F.lit(i))).alias(c) for i, c in enumerate(columns)],
-    )
+    found = pages.select(page_id, F.regexp_extract_all(table, F.lit(_ROW), F.lit(0)).alias("rows"), _has_spans(table).alias("spans"))
+    plain = found.where(~F.col("spans")).select(page_id, F.posexplode("rows").alias("row_no", "row"))
+    plain = plain.select(page_id, "row_no", "row", F.regexp_extract_all("row", F.lit(_CELL), F.lit(2)).alias("cells"))
+    texts = [cell_text(F.get("cells", F.lit(i))).alias(c) for i, c in enumerate(columns)]
+    plain = plain.select(page_id, "row_no", _is_header("row"), *texts)
+    carried = found.where("spans and size(rows) > 0").select(page_id, F.col("rows"), _grid(F.col("rows"), len(columns)).alias("grid"))
+    carried = carried.select(page_id, F.posexplode(F.arrays_zip("rows", "grid")).alias("row_no", "at"))
+    texts = [F.get("at.grid", F.lit(i)).alias(c) for i, c in enumerate(columns)]
+    return plain.union(carried.select(page_id, "row_no", _is_header("at.rows"), *texts))
+
+
+def _has_spans(table: Column) -> Column:
+    return F.coalesce(table.rlike(r"(?i)<t[dh]\b[^>]*\b(?:row|col)span\s*="), F.lit(False))
+
+
+def _is_header(row: str) -> Column:
+    return (F.col(row).rlike(r"(?i)<th\b") & ~F.col(row).rlike(r"(?i)<td\b")).alias("is_header")
 
 
 ROWS_TOGETHER = 5_000
 
 
 class _TableReader(HTMLParser):
-    """Collects the rows of the ``index``-th outermost table; end tags are optional."""
+    """Collects the rows of the ``index``-th outermost table; end tags are optional.
+
+    A row is whether it has header cells only, whether it starts a section, and its cells: text, columns and rows covered.
+    """
 
     def __init__(self, index: int):
         super().__init__(convert_charrefs=True)
         self.index, self.seen, self.depth = index, -1, 0
-        self.rows: list[tuple[bool, list[str]]] = []
+        self.rows: list[tuple[bool, bool, list[tuple[str, int, int]]]] = []
         self.cell: list[str] | None = None
+        self.spans, self.section = (1, 1), False
 
     def _wanted(self) -> bool:
         return self.depth == 1 and self.seen == self.index
 
     def _close_cell(self) -> None:
         if self.cell is not None:
-            self.rows[-1][1].append(" ".join("".join(self.cell).split()))
+            self.rows[-1][2].append((" ".join("".join(self.cell).split()), *self.spans))
             self.cell = None
 
+    def _open_row(self) -> None:
+        self.rows.append((True, self.section, []))
+        self.section = False
+
     def handle_starttag(self, tag, attrs):
         if tag == "table":
             if self.depth == 0:
                 self.seen += 1
             self.depth += 1
+        elif self._wanted() and tag in ("thead", "tbody", "tfoot"):
+            self._close_cell()
+            self.section = True
         elif self._wanted() and tag == "tr":
             self._close_cell()
-            self.rows.append((True, []))
+            self._open_row()
         elif self._wanted() and tag in ("td", "th"):
             self._close_cell()
             if not self.rows:
-                self.rows.append((True, []))
+                self._open_row()
             if tag == "td":
-                self.rows[-1] = (False, self.rows[-1][1])
+                self.rows[-1] = (False, *self.rows[-1][1:])
+            given = dict(attrs)
+            self.spans = _covered(given.get("colspan")), _covered(given.get("rowspan"))
             self.cell = []
 
     def handle_endtag(self, tag):
         if tag in ("td", "th", "tr") and self._wanted():
             self._close_cell()
+        elif tag in ("thead", "tbody", "tfoot") and self._wanted():
+            self._close_cell()
+            self.section = True
         elif tag == "table" and self.depth:
             if self._wanted():
                 self._close_cell()
@@ -105,12 +215,30 @@ class _TableReader(HTMLParser):
             self.cell.append(data)
 
 
+def _covered(span: str | None) -> int:
+    span = (span or "").strip()
+    return max(1, int(span[:5])) if span.isdecimal() else 1
+
+
+def _spread(rows, width: int) -> Iterator[tuple[bool, list[str | None]]]:
+    """Rows with their first ``width`` columns, spans carried right and down; rows without cells are none."""
+    carried: list[tuple[str | None, int]] = [(None, 0)] * width
+    for header, section, cells in rows:
+        if section:
+            carried = [(None, 0)] * width
+        if not cells:
+            continue
+        units = iter([(text or None, down - 1) for text, across, down in cells for _ in range(min(across, width))])
+        carried = [(text, left - 1) if left > 0 else next(units, (None, 0)) for text, left in carried]
+        yield header, [text for text, _ in carried]
+
+
 def harvest_tables_lenient(
     pages: DataFrame, index: int, columns: Sequence[str], page_id: str = "page_id", html: str = "html"
 ) -> DataFrame:
     """Like ``harvest_tables`` for markup with unclosed cells or rows, or nested tables.
 
-    Pages are parsed one by one inside Arrow batches, spread over all tasks. Only outermost
+    Pages are parsed one by one inside Arrow batches, spread over all tasks. Spans are carried in the same way. Only outermost
     tables count; the text of a nested one belongs to the cell around it. A task holds one batch of pages
     (``spark.sql.execution.arrow.maxRecordsPerBatch``; lower it for very large pages), the
     rows of one page and ``ROWS_TOGETHER`` others.
@@ -129,9 +257,8 @@ def harvest_tables_lenient(
                 reader = _TableReader(index)
                 reader.feed(text)
                 reader.close()
-                for row_no, (header, cells) in enumerate(r for r in reader.rows if r[1]):
-                    named = [c or None for c in cells[:width]] + [None] * (width - len(cells))
-                    out.append((page, row_no, header, *named))
+                for row_no, (header, cells) in enumerate(_spread(reader.rows, width)):
+                    out.append((page, row_no, header, *cells))
                 if len(out) >= ROWS_TOGETHER:
                     yield pd.DataFrame(out, columns=names)
                     out = []

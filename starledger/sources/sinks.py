@@ -1,7 +1,8 @@
-"""Writers: typed loads, three-layer loads, CSV export, empty and declared tables, views."""
+"""Writers: typed loads, three-layer loads, CSV export, empty, declared and bucketed tables, views."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -46,7 +47,8 @@ def load_table(
 
     ``table`` names a declared layout; ``rejects`` then counts the values that do not fit it.
     Reading back cuts the lineage, so a later step
-    neither recomputes the cleaning nor depends on the executors that did it.
+    neither recomputes the cleaning nor depends on the executors that did it. A replacing load writes beside the table and takes its
+    place when it is complete; one that fails leaves the table as it was. ``Published`` keeps versions and counts a batch once.
     """
     if condition not in SAVE_MODES:
         raise ValueError(f"unknown load condition: {condition}")
@@ -56,10 +58,33 @@ def load_table(
         if rejects:
             prepared = rejects.lost(prepared, table, layout)
         prepared = enforce_schema(prepared, layout)
-    prepared.write.mode(SAVE_MODES[condition]).parquet(path)
+    if condition == "replace":
+        _replace(prepared, path)
+    else:
+        prepared.write.mode(SAVE_MODES[condition]).parquet(path)
     return df.sparkSession.read.schema(prepared.schema).parquet(path)
 
 
+def _replace(df: DataFrame, path: str) -> None:
+    """Write the rows beside ``path`` and rename them into its place."""
+    spark = df.sparkSession
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    final, beside, before = (hadoop.Path(f"{path.rstrip('/')}{end}") for end in ("", f"__{uuid.uuid4().hex}", f"__{uuid.uuid4().hex}"))
+    files = final.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        df.write.parquet(beside.toString())
+    except Exception:
+        files.delete(beside, True)
+        raise
+    replaced = files.exists(final) and files.rename(final, before)
+    if not files.rename(beside, final):
+        if replaced:
+            files.rename(before, final)
+        raise RuntimeError(f"{beside} could not take the place of {path}")
+    if replaced:
+        files.delete(before, True)
+
+
 def layered_load(
     raw: DataFrame,
     clean: Callable[[DataFrame], DataFrame],
@@ -123,6 +148,34 @@ def create_tables(
     return tables
 
 
+def load_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
+    """Write a frame as a catalog table in buckets of ``key``, one sorted file each, and return the table.
+
+    One exchange at the load; tables with equal buckets of a key join and group by it without another.
+    """
+    spread = df.repartition(buckets, key)
+    writer = spread.write.mode("overwrite").format("parquet").option("path", path)
+    writer.bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def register_tables(spark: SparkSession, tables: Mapping[str, str], database: str = "default") -> None:
+    """Name written tables (name -> path) in the catalog, so that SQL and other sessions find them."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    for name, path in tables.items():
+        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+        spark.catalog.createTable(f"`{database}`.`{name}`", path=path, source="parquet")
+
+
+def create_stored_views(spark: SparkSession, views: Mapping[str, str], database: str = "default") -> None:
+    """Views stored in the catalog as SQL text; they outlive the session, as far as the catalog does.
+
+    Tables in the text are named by ``{database}``.
+    """
+    for name, text in views.items():
+        spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{name}` AS " + text.replace("{database}", f"`{database}`"))
+
+
 def create_views(views: Mapping[str, Callable[[], DataFrame]]) -> None:
     """Temporary views of plans that are made without hints.
 
