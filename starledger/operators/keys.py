@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from starledger.operators.skew import attach
+from starledger.operators.skew import attach, expected_bytes
 from starledger.session import materialised
 
 #: Sees the rows before some are dropped, and the rules by name; returns the rows.
@@ -17,8 +17,9 @@ Watch = Callable[[DataFrame, Mapping[str, Column]], DataFrame]
 _ROW_BITS = 33
 
 
-#: So many rows are numbered in one task where their number is known.
+#: So many rows are numbered in one task where their number is known, and counted where so many bytes are expected.
 FEW_ROWS = 200_000
+FEW_BYTES = 64 * 1024 * 1024
 
 
 def number_few_rows(df: DataFrame, order_by: Sequence[str], key: str) -> DataFrame:
@@ -28,6 +29,15 @@ def number_few_rows(df: DataFrame, order_by: Sequence[str], key: str) -> DataFra
     return tied.select(*df.columns, F.row_number().over(along).cast("long").alias(key))
 
 
+def _number(df: DataFrame, order_by: Sequence[str], key: str) -> DataFrame:
+    """``df`` numbered in one task where it is counted to be small, else by a range shuffle.
+
+    Counting reads the footers of files only, as long as ``df`` is a projection of them.
+    """
+    few = expected_bytes(df) <= FEW_BYTES and df.count() <= FEW_ROWS
+    return (number_few_rows if few else number_rows)(df, order_by, key)
+
+
 def number_rows(df: DataFrame, order_by: Sequence[str], key: str) -> DataFrame:
     """``key`` = 1..n along ``order_by``, without bringing the rows into one task.
 
@@ -93,15 +103,13 @@ def key_dense(
     order = [source if c == key else c for c in order_by]
     df = df.withColumnRenamed(key, source) if key in order_by else df.drop(key)
     if not rules:
-        return number_rows(df, order, key).drop(source)
+        return _number(df, order, key).drop(source)
     marked, flags = _flagged(df, rules)
     if watch:
         marked = watch(marked, flags)
     written = materialised(marked, "cleaned")
     kept = written.where(all_hold(flags)).drop(*[f"_rule_{i}" for i in range(len(flags))])
-    # Counted from the footers of the written files.
-    number = number_few_rows if written.count() <= FEW_ROWS else number_rows
-    return number(kept, order, key).drop(source)
+    return _number(kept, order, key).drop(source)
 
 
 def key_ordinal(
@@ -123,7 +131,7 @@ def key_ordinal(
         keyed, flags = df.withColumn(key, F.col(position).cast("long") + 1), dict(rules)
     else:
         marked, flags = _flagged(df, rules)
-        keyed = number_rows(marked, order_by, key)
+        keyed = _number(marked, order_by, key)
     if watch:
         keyed = watch(keyed, flags)
     return keyed.where(all_hold(flags)).select(*[c for c in df.columns if c != key], key)

@@ -20,6 +20,8 @@ from starledger.functions.numbers import revenue
 BROADCAST_MAX_ROWS = 200_000
 BROADCAST_MAX_BYTES = 32 * 1024 * 1024
 HEAVY_SHARE = 0.002
+#: A frame that is expected to have so many times the broadcast bound is not added up as a whole.
+EXPECTED_TIMES = 16
 MIN_SALTS = 64
 MIN_HEAVY_ROWS = 64
 
@@ -32,17 +34,22 @@ def measured_small(
 ) -> bool:
     """True when ``df`` was counted and weighed, and stays within the broadcast bounds.
 
-    One job that reads no more rows than the bound. Only texts need weighing, other values
-    have a width.
+    Only texts need weighing, other values have a width. Where the planner expects little to read, all of it is added up
+    in place, with one row per task to add; elsewhere a job takes no more rows than the bound.
     """
     texts = [F.coalesce(F.octet_length(name), F.lit(0)) for name, kind in df.dtypes if kind == "string"]
-    weight = reduce(Column.__add__, texts, F.lit(0)).cast("long").alias("weight")
-    rows, weight = (
-        df.select(weight).limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum("weight"), F.lit(0))).first()
-    )
+    weighed = df.select(reduce(Column.__add__, texts, F.lit(0)).cast("long").alias("weight"))
+    if expected_bytes(df) > EXPECTED_TIMES * max_bytes:
+        weighed = weighed.limit(max_rows + 1)
+    rows, weight = weighed.agg(F.count(F.lit(1)), F.coalesce(F.sum("weight"), F.lit(0))).first()
     return rows <= max_rows and rows * 16 * len(df.columns) + weight <= max_bytes
 
 
+def expected_bytes(df: DataFrame) -> int:
+    """The planner's estimate of the size of a frame: the size of its files, the product of the sides of its joins."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 class KeyProfile:
     """Heavy keys of a frame, for one or several join keys, found together when first needed.
 

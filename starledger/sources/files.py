@@ -190,7 +190,7 @@ def columnar_records(
         "document", "name", F.col("key").cast("long").alias("row_id"), F.col("value").cast("string").alias("cell")
     )
     picked = [F.max(F.when(F.col("name") == c, F.col("cell"))).alias(c) for c in columns]
-    rows = cells.groupBy("document", "row_id").agg(*picked).select("document", "row_id", *columns)
+    rows = cells.groupBy("document", "row_id").agg(*picked)
     records = entries.where(F.col("name").isNull())
     fields = [F.try_variant_get("entry", f"$[{_quoted(c)}]", "string").alias(c) for c in columns]
     found = rows.union(records.select("document", F.col("place").cast("long"), *fields))

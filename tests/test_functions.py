@@ -3,7 +3,9 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from starledger.functions.dates import clean_dates, make_full_date, parse_date_uniform
+from starledger.functions.dates import (
+    clean_dates, clean_dates_lenient, make_full_date, parse_date_uniform, sale_instant,
+)
 from starledger.functions.gaps import format_gap, mean_gap, micros
 from starledger.functions.goods import availability_to_bool, weight_class, weight_to_kg
 from starledger.functions.numbers import percent_of_count, strip_symbol, try_double
@@ -155,3 +157,47 @@ def test_micros_do_not_depend_on_the_session_zone(spark):
             assert df.select(micros(F.col("t")).alias("m")).first()["m"] == expected
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+# Texts that no fixed layout reads, and the dates a lenient reader takes them for, two-digit years around 2025.
+LENIENT = {
+    "3rd March 2011": "2011-03-03", "2011.05.04": "2011-05-04", "05-Mar-2011": "2011-03-05", "Sunday, March 6, 2011": "2011-03-06",
+    "5/4/11": "2011-05-04", "March 2011": "2011-03-01", "2011-07": "2011-07-01", "2011": "2011-01-01", "March 3": None, "3 March": None,
+    "07/2011": "2011-07-01", "2011/07": "2011-07-01", "31-12-99": "1999-12-31", "5/4/74": "2074-05-04", "5/4/75": "1975-05-04",
+    "99-Jan-01": "1999-01-01", "01-Jan-99": "1999-01-01", "Jan 01 99": "1999-01-01", "4 of July, 2011": "2011-07-04",
+    "the 4th of July 2011": None, "110504": "2004-11-05", "20110504T101112": "2011-05-04", "March 6 2011 10:30 pm": "2011-03-06",
+    "10:30 March 6 2011": "2011-03-06", "Mar. 6, 2011": "2011-03-06", "6.3.2011": "2011-06-03", "13.3.2011": "2011-03-13",
+    "2011-Mar-06": "2011-03-06", "Mar-06-2011": "2011-03-06", "6-mar-11": "2011-03-06", "Sept 5 2011": "2011-09-05",
+    "Sun 6 Mar 2011": "2011-03-06", "2011 13 45": None, "30 Feb 2011": None, "29 Feb 2012": "2012-02-29", "29 Feb 2011": None,
+    "QX7123": None, "NULL": None, "  2011 July 4  ": "2011-07-04", "July 4 2011 UTC": None, "2011-05-04T23:00:00+02:00": "2011-05-04",
+    "1/2/3": "2003-01-02", "10 11 12": "2012-10-11", "2011 5": "2011-05-01", "5 2011": "2011-05-01", "May 2011 3": "2011-05-03",
+    "2011 3 May": "2011-05-03", "3 2011 May": "2011-05-03", "march 3rd, 2011 5pm": "2011-03-03", "3/March/2011": "2011-03-03",
+    "2011;05;04": "2011-05-04", "2011, March 4": "2011-03-04", "4th 2011 March": "2011-03-04", "4 July '11": "2011-07-04", "July '11": None,
+    "31/31/2011": None, "2011366": None, "1e5": None, "12": None, "1234567": None, "Tue 2011": None, "3 3 2011 March": None,
+    "2011 2012": None, "Mar 3 Apr 2011": None, "44 March 2011": None, "0 March 2011": None, "12/2011/05": None, "25/2011/12": None,
+    "32 May 2011": None, "1 January 70": "2070-01-01", "March 11": None, "March 74": "2074-03-01", "a 3 march 2011": None,
+    "3 march 2011 ad": "2011-03-03", "2011 10 4 5": None, "2011-05-04 25:00": None, "": None,
+}
+
+
+def test_lenient_dates(spark):
+    df = spark.createDataFrame([(t,) for t in [*LENIENT, None]], "t string")
+    for read in (clean_dates, clean_dates_lenient):
+        found = {r.t: r.d and str(r.d) for r in df.select("t", read(F.col("t"), 2025).alias("d")).collect()}
+        assert found == LENIENT | {None: None}
+
+
+def test_texts_of_a_layout_of_their_own_are_not_read_leniently(spark):
+    df = spark.createDataFrame([(t,) for t in ("2011 Mar 05", "2011/05/04 10:00", "2011/13/45")], "t string")
+    assert {r.d for r in df.select(clean_dates(F.col("t")).alias("d")).collect()} == {None}
+
+
+def test_sale_instants(spark):
+    cases = [
+        (2011, 3, 4, "10:11:12", "2011-03-04 10:11:12"), (2011, 3, 4, "1:2", "2011-03-04 01:02:00"), (2011, 2, 30, "10:11:12", None),
+        (2011, 3, 4, None, "2011-03-04 00:00:00"), (None, 3, 4, "10:11:12", None), (2011, 3, 4, "25:00:00", None),
+        (2011, 3, 4, "noon", None), (2011, 3, 4, "10:11:12.5", "2011-03-04 10:11:12.500000"),
+    ]
+    df = spark.createDataFrame(cases, "y int, m int, d int, t string, expected string")
+    instant = sale_instant(*(F.col(c) for c in "ymdt"))
+    assert [r.i and str(r.i) for r in df.select(instant.alias("i")).collect()] == [c[-1] for c in cases]
