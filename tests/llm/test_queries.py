@@ -23,6 +23,9 @@ COLUMNS = {
     "op8_toxicity_trees": "doc_id held_out score predicted",
     "op9_best_fit_packing": "doc_id piece start length ids_crc32 sequence_id offset",
     "op10_markov_secrets": "doc_id n_assign n_access n_hex base_sha256 spans",
+    "op11_bloom_spelling_groups": "word form root n n_near form_n",
+    "op12_pointer_jumping_manifest": "doc_id leaf subroot root proof_sha256 folded_root verified",
+    "op13_prefix_token_counts": "doc_id n_bytes n_tokens over_limit",
 }
 
 
