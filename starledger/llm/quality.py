@@ -185,7 +185,7 @@ def judged(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source:
     The narrow counts are written once: the hosts are summed from them and joined back.
     """
     narrow = docs.select(
-        F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(source).cast("string").alias("source")
+        F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), F.col(f"`{source}`").cast("string").alias("source")
     )
     counted = _counted(narrow, "text", "source")
     counted = materialised(
@@ -202,6 +202,6 @@ def keep_good(docs: DataFrame, text: str = "text", source: str = "source") -> Da
 
     The texts are read twice, for the hosts and for the filter, rather than written in between.
     """
-    hosts = host_verdicts(_counted(docs.select(text, source), text, source))
-    keys = docs.select(_host(source).alias("host"))
+    hosts = host_verdicts(_counted(docs.select(f"`{text}`", f"`{source}`"), text, source))
+    keys = docs.select(_host(F.col(f"`{source}`")).alias("host"))
     return _with_verdict(_counted(docs, text, source), hosts, keys).where("kept").select("row.*")
