@@ -14,6 +14,7 @@ from starledger.operators.joins import lookup_scalar
 from starledger.operators.rows import default_members
 from starledger.operators.skew import attach
 from starledger.plans.star import Star
+from starledger.sources.sinks import spread
 
 # Date layouts, Spark pattern -> oracle pattern.
 _LAYOUTS = {
@@ -251,9 +252,10 @@ def raw_sql(dataset: str, spark: bool) -> str:
     )
 
 
-def run_sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+def run_sql(spark: SparkSession, sf_dir: str, text: str, spread_rows: bool = False) -> DataFrame:
     names = set(re.findall(r"\{(\w+)\}", text))
-    return spark.sql(text, **{n: table(spark, sf_dir, n) for n in names})
+    tables = {n: table(spark, sf_dir, n) for n in names}
+    return spark.sql(text, **({n: spread(t) for n, t in tables.items()} if spread_rows else tables))
 
 
 def oracle_text(text: str) -> str:
@@ -261,7 +263,8 @@ def oracle_text(text: str) -> str:
 
 
 def raw(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
-    return run_sql(spark, sf_dir, raw_sql(dataset, True))
+    """Texts are made from spread rows: a small table is one file, and so one task."""
+    return run_sql(spark, sf_dir, raw_sql(dataset, True), spread_rows=True)
 
 
 def raw_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

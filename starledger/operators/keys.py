@@ -7,7 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from starledger.operators.skew import attach, expected_bytes
+from starledger.operators import skew
+from starledger.operators.skew import attach
 from starledger.session import materialised
 
 #: Sees the rows before some are dropped, and the rules by name; returns the rows.
@@ -17,24 +18,21 @@ Watch = Callable[[DataFrame, Mapping[str, Column]], DataFrame]
 _ROW_BITS = 33
 
 
-#: So many rows are numbered in one task where their number is known, and counted where so many bytes are expected.
-FEW_ROWS = 200_000
-FEW_BYTES = 64 * 1024 * 1024
+#: So many rows, with order keys of so many bytes, are numbered in one task where they are counted and weighed.
+FEW_ROWS = 50_000
+FEW_BYTES = 8 * 1024 * 1024
 
 
 def number_few_rows(df: DataFrame, order_by: Sequence[str], key: str) -> DataFrame:
-    """``number_rows`` in one task, for frames of which is known that they have ``FEW_ROWS`` at most."""
+    """``number_rows`` in one task, for frames that are known to be small."""
     along = Window.orderBy(*order_by, "_tie")
     tied = df.withColumn("_tie", F.xxhash64(*df.columns))
     return tied.select(*df.columns, F.row_number().over(along).cast("long").alias(key))
 
 
 def _number(df: DataFrame, order_by: Sequence[str], key: str) -> DataFrame:
-    """``df`` numbered in one task where it is counted to be small, else by a range shuffle.
-
-    Counting reads the footers of files only, as long as ``df`` is a projection of them.
-    """
-    few = expected_bytes(df) <= FEW_BYTES and df.count() <= FEW_ROWS
+    """``df`` numbered in one task where it is counted and weighed to be small, else by a range shuffle."""
+    few = skew.measured_small(df.select(*order_by), FEW_ROWS, FEW_BYTES)
     return (number_few_rows if few else number_rows)(df, order_by, key)
 
 

@@ -19,7 +19,7 @@ from starledger.plans import pipelines
 from starledger.plans.star import Star, resolve_keys
 from starledger.schemas import DIM_TABLES, FACT_TABLE, LAND_TABLES, RAW_TABLES
 from starledger.session import scratch_path, scratch_scope
-from starledger.sources.sinks import layered_load, load_table
+from starledger.sources.sinks import layered_load, load_table, spread
 
 # The countries and currencies the dimensions keep.
 CURRENCY_SUBSET = ["US", "GB", "DE"]
@@ -92,7 +92,7 @@ def load_warehouse(
     def stage() -> DataFrame:
         """Staged, because several passes over the fact follow and its source may be slow."""
         path = scratch_path(spark, f"staged-{FACT_TABLE}")
-        return load_table(pipelines.clean_orders(raws["orders"]), path, "replace", FACT_TABLE, rejects)
+        return load_table(pipelines.clean_orders(spread(raws["orders"])), path, "replace", FACT_TABLE, rejects)
 
     # The rates first: the currencies wait for them.
     datasets = sorted(cleaners, key=lambda d: d != "currency_conversion")

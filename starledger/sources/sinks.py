@@ -35,6 +35,28 @@ def prepare_load(
     return df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over as many partitions as tasks run at a time, where its few and small files would give fewer.
+
+    A file is not split inside a row group, so one small file is one task, in every later layer too. Frames that read
+    many files, or files of many partitions, are left as they are.
+    """
+    spark = df.sparkSession
+    tasks, files = spark.sparkContext.defaultParallelism, df.inputFiles()
+    if not 0 < len(files) < tasks:
+        return df
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    paths = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)) for f in files]
+    total = sum(p.getFileSystem(conf).getFileStatus(p).getLen() for p in paths)
+    # Below this size a shuffle costs less than tasks that wait.
+    return df.repartition(tasks) if LEAST_SPREAD <= total < SPREAD_BYTES * tasks else df
+
+
+#: Bytes of files from which, and up to which for each task, rows are spread.
+LEAST_SPREAD = 1 << 20
+SPREAD_BYTES = 64 << 20
+
+
 def load_table(
     df: DataFrame,
     path: str,
@@ -104,7 +126,7 @@ def layered_load(
     included. Returns the dimension.
     """
     if raw_table:
-        raw = load_table(raw, f"{root}/{raw_table}", "replace")
+        raw = load_table(spread(raw), f"{root}/{raw_table}", "replace")
     land = load_table(clean(raw), f"{root}/{land_table}", "replace", land_table, rejects)
     rows = prepare_load(link(land) if link else land, **dim_steps)
     return load_table(finish(rows) if finish else rows, f"{root}/{dim_table}", "replace", dim_table, rejects)
