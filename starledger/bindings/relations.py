@@ -14,7 +14,7 @@ from starledger.functions.gaps import micros
 from starledger.functions.numbers import money, percent_of_amount, percent_of_count, revenue
 from starledger.operators import audits, joins
 from starledger.operators.keys import number_rows
-from starledger.operators.order import previous_value, sort_rows, top_k
+from starledger.operators.order import lead_rows, previous_value, sort_rows, top_k
 from starledger.operators.rows import default_members, literal_rows, union_tables
 from starledger.operators.skew import KeyProfile, attach, salted_join, unhinted
 from starledger.session import scratch_path
@@ -387,6 +387,13 @@ def lead_event_gap(spark, sf_dir):
     return previous_value(events, "value").withColumn("gap", F.col("value") - F.col("next_value"))
 
 
+@register("lead_event_rows", """
+    SELECT epoch_us(ts) AS value, lead(epoch_us(ts)) OVER (ORDER BY ts DESC) AS next_value FROM events""")
+def lead_event_rows(spark, sf_dir):
+    """Every event with the instant of the one before."""
+    return lead_rows(table(spark, sf_dir, "events").select(micros(F.col("ts")).alias("value")), "value")
+
+
 @register("order_by_desc_nulls_first", """
     SELECT row_number() OVER (ORDER BY amount DESC NULLS FIRST, o_orderkey) AS place, o_orderkey, amount
     FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 10 > 0 THEN o_totalprice END AS amount FROM orders)""")

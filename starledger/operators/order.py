@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starledger.operators.keys import number_rows
+from starledger.session import scratch_path
 
 
 def sort_rows(df: DataFrame, *first: Column) -> DataFrame:
@@ -43,6 +45,29 @@ def previous_value(df: DataFrame, column: str) -> DataFrame:
     return to_lower.unionByName(to_same)
 
 
+def lead_rows(df: DataFrame, column: str, to: str = "next_value") -> DataFrame:
+    """Every row with a value, and the value of the next lower row in ``to``: a descending LEAD over all rows.
+
+    One range exchange, whose partitions are written as the buckets of a table, so that the window inside a
+    partition needs no other; what a partition's lowest row is followed by comes from one row per partition. Rows that
+    share a value are dealt over several partitions where they are many.
+    """
+    spark = df.sparkSession
+    spread = F.xxhash64(F.spark_partition_id(), F.monotonically_increasing_id())
+    ranged = df.where(F.col(column).isNotNull()).withColumn("_spread", spread).repartitionByRange(column, "_spread")
+    name, buckets = f"ordered_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = ranged.withColumn("_part", F.spark_partition_id()).write.format("parquet").option("path", scratch_path(spark, "ordered"))
+    writer.bucketBy(buckets, "_part").saveAsTable(name)
+    ordered = spark.table(name)
+    inside = Window.partitionBy("_part").orderBy(column, "_spread")
+    lower = ordered.withColumns({to: F.lag(column).over(inside), "_is_lowest": F.row_number().over(inside) == 1})
+    # One row per partition, in one task and then in all.
+    ends = ordered.groupBy("_part").agg(F.max(column).alias("_high"))
+    below = ends.select("_part", F.lag("_high").over(Window.orderBy("_part")).alias("_below"))
+    joined = lower.join(F.broadcast(below), "_part")
+    return joined.select(*df.columns, F.when(F.col("_is_lowest"), F.col("_below")).otherwise(F.col(to)).alias(to))
+
+
 def gaps_by_group(df: DataFrame, group: str, micros: str) -> DataFrame:
     """Sum and number of the gaps to the previous row in time, per group.
 

@@ -1,8 +1,8 @@
 from pyspark.sql import functions as F
 
 from starledger.operators.keys import key_dense, key_ordinal
+from starledger.operators.order import gaps_by_group, lead_rows, previous_value, sort_rows
 from starledger.operators.rejects import Rejects
-from starledger.operators.order import gaps_by_group, previous_value, sort_rows
 from starledger.operators.rows import (
     dedupe_rows, default_members, drop_last_seen_values, prepend_literal_row, union_tables,
 )
@@ -124,3 +124,19 @@ def test_sort_spreads_ties_and_keeps_the_order(spark):
     ordered = sort_rows(df, F.desc_nulls_first("v"))
     values = [r["v"] for r in ordered.collect()]
     assert values == sorted(values, reverse=True) and ordered.columns == ["v"]
+
+
+def test_lead_of_rows_needs_one_exchange(spark):
+    """A value with a third of all rows, ties, missing values, and partitions without rows."""
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(500)).when(F.col("id") % 41 > 0, F.col("id") * 7919 % 1000).alias("v"), F.col("id").alias("n")
+    )
+    values = sorted((r.v for r in df.collect() if r.v is not None), reverse=True)
+    expected = sorted(zip(values, [*values[1:], None]), key=str)
+    found = lead_rows(df, "v")
+    assert found.columns == ["v", "n", "next_value"]
+    assert sorted(((r.v, r.next_value) for r in found.collect()), key=str) == expected
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # Only the partitions' ends, one row each, are exchanged when the table is read.
+    assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan
+    assert rows(lead_rows(df.limit(1).select("v"), "v")) == [(500, None)] and lead_rows(df.limit(0), "v").count() == 0
