@@ -6,8 +6,6 @@ import calendar
 
 from pyspark.sql import Column, functions as F
 
-from starledger.functions.lists import let
-
 # The recognised layouts. A text that fits one is rewritten as year-month-day,
 # in this order. Year first with a two-digit day takes full month names only. Numeric dates
 # are month first unless only day first fits.
@@ -52,18 +50,78 @@ EARLIEST, LATEST = "1677-09-22", "2262-04-10"
 
 def _names(full: list[str], *others: str) -> list[tuple[str, int]]:
     """Names and their first three letters, with their numbers."""
-    return [(form, n) for n, name in enumerate(full) if name for form in {name.lower(), name[:3].lower()}] + [
+    return [(form, n) for n, name in enumerate(full) if name for form in sorted({name.lower(), name[:3].lower()})] + [
         (other, next(n for n, name in enumerate(full) if name.lower().startswith(other[:3]))) for other in others
     ]
 
 
-def _number_of(token: Column, names: list[tuple[str, int]]) -> Column:
-    return F.try_element_at(F.create_map(*[F.lit(x) for pair in names for x in pair]), token)
+def _listed(words: list[str]) -> str:
+    return ", ".join(f"'{w}'" for w in words)
 
 
-_MONTHS = _names(list(calendar.month_name), "sept")
+_MONTHS = ", ".join(f"'{name}', {n}" for name, n in _names(list(calendar.month_name), "sept"))
 _WEEKDAYS = [name for name, _ in _names(list(calendar.day_name))]
 
+# The grammar as SQL, since a tree of this size is built faster from a text. ``let(a, b)`` below is b with a under a name.
+_READABLE = r"""regexp_replace(regexp_replace(trim(lower(text)), r"{time}", ' '), r"(?<=\d)(?:st|nd|rd|th)\b", '')"""
+# A token's parts: numbers of eight or six digits are three, words are a month or have no value.
+_PARTS = """CASE
+    WHEN t IN ({idle}) THEN CAST(array() AS ARRAY<STRUCT<value: INT, month: BOOLEAN, digits: INT>>)
+    WHEN NOT t RLIKE '^[0-9]' THEN array({month})
+    WHEN length(t) = 8 THEN array({eight})
+    WHEN length(t) = 6 THEN array({six})
+    ELSE array({number}) END"""
+# Year, month and day of the parts p by their places; ``first`` stands for the first day or month.
+_ORDER = """CASE
+    WHEN size(p) = 3 AND p[0].month AND p[1].value > 31 THEN array(p[1], p[0], p[2])
+    WHEN size(p) = 3 AND p[0].month THEN array(p[2], p[0], p[1])
+    WHEN size(p) = 3 AND p[1].month AND p[0].value > 31 THEN array(p[0], p[1], p[2])
+    WHEN size(p) = 3 AND p[1].month THEN array(p[2], p[1], p[0])
+    WHEN size(p) = 3 AND p[2].month AND p[1].value > 31 THEN array(p[1], p[2], p[0])
+    WHEN size(p) = 3 AND p[2].month THEN array(p[0], p[2], p[1])
+    WHEN size(p) = 3 AND (p[0].value > 31 OR p[0].digits > 2) THEN array(p[0], p[1], p[2])
+    WHEN size(p) = 3 AND p[0].value > 12 THEN array(p[2], p[1], p[0])
+    WHEN size(p) = 3 THEN array(p[2], p[0], p[1])
+    WHEN exists(tokens, t -> t IN ({weekdays})) THEN NULL
+    WHEN size(p) = 2 AND p[0].value > 31 AND NOT p[0].month THEN array(p[0], p[1], {first})
+    WHEN size(p) = 2 AND p[1].value > 31 AND NOT p[1].month THEN array(p[1], p[0], {first})
+    WHEN size(p) = 1 AND p[0].digits = 4 AND NOT p[0].month THEN array(p[0], {first}, {first}) END"""
+_WHOLE = "size(filter(p, x -> x.month)) <= 1 AND NOT exists(p, x -> x.value IS NULL)"
+_YEAR = """CASE
+    WHEN o[0].digits > 2 THEN o[0].value
+    WHEN o[0].value + {century} >= {around} + 50 THEN o[0].value + {century} - 100
+    WHEN o[0].value + {century} < {around} - 50 THEN o[0].value + {century} + 100
+    ELSE o[0].value + {century} END"""
+
+
+def _part(value: str, month: str, digits: str | int) -> str:
+    return f"struct({value} AS value, {month} AS month, {digits} AS digits)"
+
+
+def _cuts(*places: tuple[int, int]) -> str:
+    return ", ".join(_part(f"try_cast(substring(t, {start}, {n}) AS INT)", "false", n) for start, n in places)
+
+
+def _let(name: str, value: str, use: str) -> str:
+    return f"get(transform(array({value}), {name} -> {use}), 0)"
+
+
+def _lenient_sql(around: int) -> str:
+    parts = _PARTS.format(
+        idle=_listed([*FILLERS, *_WEEKDAYS]), month=_part(f"try_element_at(map({_MONTHS}), t)", "true", 0),
+        eight=_cuts((1, 4), (5, 2), (7, 2)), six=_cuts((1, 2), (3, 2), (5, 2)),
+        number=_part("try_cast(t AS INT)", "false", "length(t)"),
+    )
+    order = _ORDER.format(weekdays=_listed(_WEEKDAYS), first=_part("1", "false", 1))
+    year = _YEAR.format(around=around, century=around // 100 * 100)
+    written = f"try_to_date(concat_ws('-', lpad(CAST({year} AS STRING), 4, '0'), o[1].value, o[2].value), 'yyyy-M-d')"
+    day = _let("d", written, f"CASE WHEN d BETWEEN DATE '{EARLIEST}' AND DATE '{LATEST}' THEN d END")
+    ordered = f"CASE WHEN {_WHOLE} THEN {_let('o', order, f'CASE WHEN o IS NOT NULL THEN {day} END')} END"
+    assembled = _let("p", f"flatten(transform(tokens, t -> {parts}))", ordered)
+    found = _let("tokens", "regexp_extract_all(date, '[a-z]+|[0-9]+', 0)", assembled)
+    readable = "date RLIKE r\"^[a-z0-9\\s.,;/'-]{4,60}$\" AND date RLIKE r'\\d'"
+    return _let("date", _READABLE.format(time=_TIME), f"CASE WHEN {readable} THEN {found} END")
+
 
 def clean_dates_lenient(text: Column, around: int = TWO_DIGIT_YEARS_AROUND) -> Column:
     """Date of a text in words and numbers, read by a grammar of tokens; NULL where they make no date.
@@ -81,65 +139,7 @@ def clean_dates_lenient(text: Column, around: int = TWO_DIGIT_YEARS_AROUND) -> C
     Weekdays are not checked and are no days; a month and day without a year are no date. A year of two digits is the one within
     50 years of ``around``.
     """
-    lower = F.trim(F.lower(text))
-    date = F.regexp_replace(F.regexp_replace(lower, _TIME, " "), r"(?<=\d)(?:st|nd|rd|th)\b", "")
-    readable = date.rlike(r"^[a-z0-9\s.,;/'-]{4,60}$") & date.rlike(r"\d")
-    return F.when(readable, let(F.regexp_extract_all(date, F.lit("[a-z]+|[0-9]+"), F.lit(0)), lambda t: _assembled(t, around)))
-
-
-def _assembled(tokens: Column, around: int) -> Column:
-    def part(value: Column, month: bool, digits: Column) -> Column:
-        return F.struct(value.cast("int").alias("value"), F.lit(month).alias("month"), digits.alias("digits"))
-
-    def parts_of(token: Column) -> Column:
-        """The parts of a token; a word that is none of the known is a part without a value."""
-        cuts = {8: [(1, 4), (5, 2), (7, 2)], 6: [(1, 2), (3, 2), (5, 2)]}
-        number = F.array(part(token.try_cast("int"), False, F.length(token)))
-        for length, places in cuts.items():
-            cut = F.array(*[part(F.substring(token, a, n).try_cast("int"), False, F.lit(n)) for a, n in places])
-            number = F.when(F.length(token) == length, cut).otherwise(number)
-        month = _number_of(token, _MONTHS)
-        word = F.when(token.isin(*FILLERS, *_WEEKDAYS), F.array().cast("array<struct<value:int,month:boolean,digits:int>>"))
-        word = word.otherwise(F.array(part(month, True, F.lit(0))))
-        return F.when(token.rlike("^[0-9]"), number).otherwise(word)
-
-    weekday = F.exists(tokens, lambda t: t.isin(*_WEEKDAYS))
-    return let(F.flatten(F.transform(tokens, parts_of)), lambda parts: _date_of(parts, weekday, around))
-
-
-def _date_of(parts: Column, weekday: Column, around: int) -> Column:
-    a, b, c = (F.get(parts, F.lit(n)) for n in range(3))
-    size, named = F.size(parts), F.size(F.filter(parts, lambda p: p["month"]))
-    x, y, z = a["value"], b["value"], c["value"]
-    first = F.struct(F.lit(1).alias("value"), F.lit(False).alias("month"), F.lit(1).alias("digits"))
-
-    def order(year: Column, month: Column, day: Column) -> Column:
-        return F.array(year, month, day)
-
-    three = (
-        F.when(a["month"], F.when(y > 31, order(b, a, c)).otherwise(order(c, a, b)))
-        .when(b["month"], F.when(x > 31, order(a, b, c)).otherwise(order(c, b, a)))
-        .when(c["month"], F.when(y > 31, order(b, c, a)).otherwise(order(a, c, b)))
-        .when((x > 31) | (a["digits"] > 2), order(a, b, c))
-        .when(x > 12, order(c, b, a))
-        .otherwise(order(c, a, b))
-    )
-    two = F.when((x > 31) & ~a["month"], order(a, b, first)).when((y > 31) & ~b["month"], order(b, a, first))
-    one = F.when((a["digits"] == 4) & ~a["month"], order(a, first, first))
-    chosen = F.when(size == 3, three).when((size == 2) & ~weekday, two).when((size == 1) & ~weekday, one)
-    whole = (named <= 1) & ~F.exists(parts, lambda p: p["value"].isNull())
-
-    def written(p: Column) -> Column:
-        year = F.get(p, F.lit(0))
-        near = year["value"] + around // 100 * 100
-        near = F.when(near >= around + 50, near - 100).when(near < around - 50, near + 100).otherwise(near)
-        full = F.when(year["digits"] > 2, year["value"]).otherwise(near)
-        numbers = F.concat_ws("-", F.lpad(full.cast("string"), 4, "0"), F.get(p, F.lit(1))["value"].cast("string"),
-                              F.get(p, F.lit(2))["value"].cast("string"))
-        day = F.try_to_date(numbers, "yyyy-M-d")
-        return F.when(day.between(F.lit(EARLIEST).cast("date"), F.lit(LATEST).cast("date")), day)
-
-    return F.when(whole & chosen.isNotNull(), let(chosen, written))
+    return F.get(F.call_function("transform", F.array(text), F.expr(f"text -> {_lenient_sql(around)}")), F.lit(0))
 
 
 def _rewritten(text: Column, rewrites: list[tuple[str, str]], result: str) -> Column:
@@ -156,8 +156,8 @@ def clean_dates(text: Column, around: int = TWO_DIGIT_YEARS_AROUND) -> Column:
     (``clean_dates_lenient``), but for texts that start like a layout with a format of its own and do not fit it. A
     text of a known shape that is no date ('2001-13-45') is a reject like any other.
     """
-    known = _of_known_shape(text)
-    return F.when(known.isNotNull(), known).when(text.rlike(FIXED_LAYOUT), F.lit(None)).otherwise(clean_dates_lenient(text, around))
+    lenient = F.when(~text.rlike(FIXED_LAYOUT), clean_dates_lenient(text, around))
+    return F.coalesce(_of_known_shape(text), lenient)
 
 
 def _of_known_shape(text: Column) -> Column:

@@ -66,9 +66,9 @@ def _span(tag: Column, name: str, most: int | None = None) -> Column:
 
 
 def _grid(rows: Column, width: int) -> Column:
-    """Per row of a table the texts of its first ``width`` columns, spans carried right and down.
+    """Per row of a table the markup in the cells of its first ``width`` columns, spans carried right and down.
 
-    The state is, per column, a text and in how many further rows it still stands. A row's own cells take the columns that
+    The state is, per column, a cell and in how many further rows it still stands. A row's own cells take the columns that
     are free, in order. Rows are worked on in chunks, so that a long table is not copied row by row. A section ends what its
     rows carry.
     """
@@ -82,7 +82,7 @@ def _grid(rows: Column, width: int) -> Column:
             F.regexp_extract_all(row, F.lit(_CELL), F.lit(1)).alias("tag"), F.regexp_extract_all(row, F.lit(_CELL), F.lit(2)).alias("body")
         )
         covering = F.transform(cells, lambda c: F.array_repeat(
-            F.struct(cell_text(c["body"]).alias("text"), (_span(c["tag"], "rowspan") - 1).alias("left")), _span(c["tag"], "colspan", width)
+            F.struct(c["body"].alias("text"), (_span(c["tag"], "rowspan") - 1).alias("left")), _span(c["tag"], "colspan", width)
         ))
         return F.flatten(covering).cast(kind)
 
@@ -132,14 +132,14 @@ def harvest_tables(
         F.regexp_extract_all(html, F.lit(r"(?is)<table\b.*?</table\s*>"), F.lit(0)), F.lit(index)
     )
     found = pages.select(page_id, F.regexp_extract_all(table, F.lit(_ROW), F.lit(0)).alias("rows"), _has_spans(table).alias("spans"))
-    plain = found.where(~F.col("spans")).select(page_id, F.posexplode("rows").alias("row_no", "row"))
-    plain = plain.select(page_id, "row_no", "row", F.regexp_extract_all("row", F.lit(_CELL), F.lit(2)).alias("cells"))
-    texts = [cell_text(F.get("cells", F.lit(i))).alias(c) for i, c in enumerate(columns)]
-    plain = plain.select(page_id, "row_no", _is_header("row"), *texts)
-    carried = found.where("spans and size(rows) > 0").select(page_id, F.col("rows"), _grid(F.col("rows"), len(columns)).alias("grid"))
-    carried = carried.select(page_id, F.posexplode(F.arrays_zip("rows", "grid")).alias("row_no", "at"))
-    texts = [F.get("at.grid", F.lit(i)).alias(c) for i, c in enumerate(columns)]
-    return plain.union(carried.select(page_id, "row_no", _is_header("at.rows"), *texts))
+    # Only tables with spans are laid out as a whole; the rows of others are read one by one.
+    grid = F.when(F.col("spans") & (F.size("rows") > 0), _grid(F.col("rows"), len(columns)))
+    laid = found.select(page_id, "rows", F.coalesce(grid, F.array().cast("array<array<string>>")).alias("grid"))
+    rows = laid.select(page_id, F.posexplode(F.arrays_zip("rows", "grid")).alias("row_no", "at"))
+    rows = rows.select(page_id, "row_no", F.col("at.rows").alias("row"), F.col("at.grid").alias("laid"))
+    cells = F.coalesce("laid", F.slice(F.regexp_extract_all("row", F.lit(_CELL), F.lit(2)), 1, len(columns)))
+    read = rows.select(page_id, "row_no", _is_header("row"), F.transform(cells, cell_text).alias("texts"))
+    return read.select(page_id, "row_no", "is_header", *[F.get("texts", F.lit(i)).alias(c) for i, c in enumerate(columns)])
 
 
 def _has_spans(table: Column) -> Column:
