@@ -9,7 +9,8 @@ places all over the text. Units and steps of training grow with the number of la
 texts, window by window, with thousands of windows in step (fewer with more languages), so memory does not depend
 on the length of a text.
 
-Defined cases: a null text and one without a letter are ``und`` with score 0; repeated rows are
+Defined cases: a null id counts as an empty one and is held out; a null text and one without a letter are ``und`` with score 0;
+repeated rows are
 judged row by row; with nothing to learn from, every text is ``und``; an empty table gives an
 empty result; further columns are ignored. Language, source and id of a row are not looked at
 when it is judged.
