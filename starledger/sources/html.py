@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import zlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from html.entities import html5
@@ -15,14 +16,21 @@ from starledger.functions.lists import let
 _REPLACEMENT = "\N{REPLACEMENT CHARACTER}"
 
 
+#: Parts of the list of entities, so that a name is compared with a few others: a map is searched from end to end.
+_PARTS = 1024
+
+
 @lru_cache(maxsize=1)
 def _entities() -> str:
-    """Names of characters, and the numbers that stand for characters of another page code, as a JSON object."""
+    """Names of characters, and the numbers that stand for characters of another page code, as a JSON array of objects by CRC."""
     named = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
     # Numbers 128 to 159 are written where the characters of that code page are meant.
     for n in range(128, 160):
         named[f"#{n}"] = bytes([n]).decode("cp1252", errors="ignore") or chr(n)
-    return json.dumps(named)
+    parts: list[dict[str, str]] = [{} for _ in range(_PARTS)]
+    for name, text in named.items():
+        parts[zlib.crc32(name.encode()) % _PARTS][name] = text
+    return json.dumps(parts)
 
 
 def _character(entity: Column) -> Column:
@@ -32,15 +40,25 @@ def _character(entity: Column) -> Column:
     number = F.when(
         name.rlike("^#[xX][0-9a-fA-F]{1,6}$"), F.conv(F.substring(name, 3, 6), 16, 10).try_cast("int")
     ).when(name.rlike("^#[0-9]{1,7}$"), F.substring(name, 2, 7).try_cast("int"))
-    known = F.from_json(F.lit(_entities()), "map<string,string>")
-    listed = F.try_element_at(known, F.coalesce(F.concat(F.lit("#"), number.cast("string")), name))
-    text = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-    outside = (number == 0) | number.between(0xD800, 0xDFFF) | (number > 0x10FFFF)
-    return F.coalesce(listed, F.when(outside, F.lit(_REPLACEMENT)).when(number.isNotNull(), text), entity)
+    known = F.from_json(F.lit(_entities()), "array<map<string,string>>")
+
+    def read(of: Column) -> Column:
+        number, key = of["number"], of["key"]
+        part = F.get(known, (F.crc32(key.cast("binary")) % _PARTS).cast("int"))
+        text = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        outside = (number == 0) | number.between(0xD800, 0xDFFF) | (number > 0x10FFFF)
+        return F.coalesce(F.try_element_at(part, key), F.when(outside, F.lit(_REPLACEMENT)).when(number.isNotNull(), text), entity)
+
+    key = lambda n: F.coalesce(F.concat(F.lit("#"), n.cast("string")), name)
+    return let(number, lambda n: let(F.struct(n.alias("number"), key(n).alias("key")), read))
 
 
 def decoded(text: Column) -> Column:
     """``text`` with named and numeric character references replaced; each is read once."""
+    return let(text, _decoded)
+
+
+def _decoded(text: Column) -> Column:
     parts = F.regexp_extract_all(text, F.lit(r"&(?:[a-zA-Z][a-zA-Z0-9]{1,31}|#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6});|[^&]+|&"), F.lit(0))
     read = F.array_join(F.transform(parts, lambda p: F.when(p.rlike("^&.+;$"), _character(p)).otherwise(p)), "")
     return F.when(F.contains(text, F.lit("&")), read).otherwise(text)
@@ -49,7 +67,7 @@ def decoded(text: Column) -> Column:
 def cell_text(markup: Column) -> Column:
     """Cell markup without tags and entities, white space collapsed; empty cells are NULL."""
     text = decoded(F.regexp_replace(markup, r"(?s)<[^>]*>", ""))
-    return F.nullif(F.trim(F.regexp_replace(text, r"(?U)\s+", " ")), F.lit(""))
+    return let(F.trim(F.regexp_replace(text, r"(?U)\s+", " ")), lambda t: F.nullif(t, F.lit("")))
 
 
 _ROW = r"(?is)(?:</?t(?:head|body|foot)\b[^>]*>\s*)*<tr\b.*?</tr\s*>"
@@ -60,17 +78,18 @@ ROWS_AT_ONCE = 256
 
 def _span(tag: Column, name: str, most: int | None = None) -> Column:
     """The number of columns or rows that a cell covers; what is no number, and 0, count as 1."""
-    found = F.regexp_extract(tag, rf"(?i)\b{name}\s*=\s*[\"']?\s*(\d{{1,5}})", 1).try_cast("int")
-    span = F.greatest(F.coalesce(found, F.lit(1)), F.lit(1))
+    found = F.regexp_extract(tag, rf"(?i)\b{name}\s*=\s*[\"']?\s*(\d{{1,5}})", 1)
+    # Most cells have none: a cast of their empty text would raise, and catch, an error for every cell.
+    span = let(found, lambda f: F.when(f == "", F.lit(1)).otherwise(F.greatest(f.cast("int"), F.lit(1))))
     return span if most is None else F.least(span, F.lit(most))
 
 
 def _grid(rows: Column, width: int) -> Column:
-    """Per row of a table the markup in the cells of its first ``width`` columns, spans carried right and down.
+    """Per row of a table the texts of the cells of its first ``width`` columns, spans carried right and down.
 
     The state is, per column, a cell and in how many further rows it still stands. A row's own cells take the columns that
-    are free, in order. Rows are worked on in chunks, so that a long table is not copied row by row. A section ends what its
-    rows carry.
+    are free, in order. A cell is read once, however far it spans. Rows are worked on in chunks, so that a long table is not
+    copied row by row. A section ends what its rows carry.
     """
     kind = f"array<struct<text:string,left:int>>"
     nothing = F.array_repeat(F.struct(F.lit(None).cast("string").alias("text"), F.lit(0).alias("left")), width).cast(kind)
@@ -82,7 +101,7 @@ def _grid(rows: Column, width: int) -> Column:
             F.regexp_extract_all(row, F.lit(_CELL), F.lit(1)).alias("tag"), F.regexp_extract_all(row, F.lit(_CELL), F.lit(2)).alias("body")
         )
         covering = F.transform(cells, lambda c: F.array_repeat(
-            F.struct(c["body"].alias("text"), (_span(c["tag"], "rowspan") - 1).alias("left")), _span(c["tag"], "colspan", width)
+            F.struct(cell_text(c["body"]).alias("text"), (_span(c["tag"], "rowspan") - 1).alias("left")), _span(c["tag"], "colspan", width)
         ))
         return F.flatten(covering).cast(kind)
 
@@ -96,26 +115,21 @@ def _grid(rows: Column, width: int) -> Column:
         own = F.coalesce(F.get(state["units"], free), F.get(nothing, F.lit(0)))
         return F.when(above["left"] > 0, F.struct(above["text"].alias("text"), (above["left"] - 1).alias("left"))).otherwise(own)
 
-    def step(acc: Column, row: Column) -> Column:
-        return let(
-            F.struct(acc["rows"].alias("rows"), next_row(acc["held"], row).alias("held")),
-            lambda s: F.struct(
-                F.concat(s["rows"], F.array(F.transform(s["held"], lambda c: c["text"]))).alias("rows"), s["held"].alias("held")
-            ),
-        )
+    # A lambda's array copies what it holds, so what is gathered is handed on as it is; its last row is the one that carries.
+    def step(done: Column, row: Column) -> Column:
+        return F.concat(done, F.array(next_row(F.element_at(done, -1), row)))
 
-    def chunk(acc: Column, first: Column) -> Column:
-        empty = F.array().cast("array<array<string>>")
-        inner = F.aggregate(
-            F.slice(rows, first, F.lit(ROWS_AT_ONCE)), F.struct(empty.alias("rows"), acc["held"].alias("held")), step
-        )
-        return let(inner, lambda i: F.struct(F.concat(acc["done"], F.array(i["rows"])).alias("done"), i["held"].alias("held")))
+    def chunk(done: Column, first: Column) -> Column:
+        last = F.element_at(F.element_at(done, -1), -1)
+        return F.concat(done, F.array(F.aggregate(F.slice(rows, first, F.lit(ROWS_AT_ONCE)), F.array(last), step)))
 
     firsts = F.transform(
         F.sequence(F.lit(0), F.floor((F.size(rows) - 1) / ROWS_AT_ONCE).cast("int")), lambda n: n * ROWS_AT_ONCE + 1
     )
-    start = F.struct(F.array().cast("array<array<array<string>>>").alias("done"), nothing.alias("held"))
-    return F.aggregate(firsts, start, chunk, lambda acc: F.flatten(acc["done"]))
+    # Every chunk begins with the last row of the one before.
+    start = F.array(F.array(nothing)).cast(f"array<array<{kind}>>")
+    chunks = F.transform(F.aggregate(firsts, start, chunk), lambda done: F.slice(done, F.lit(2), F.size(done)))
+    return F.transform(F.flatten(chunks), lambda row: F.transform(row, lambda c: c["text"]))
 
 
 def harvest_tables(
@@ -137,8 +151,8 @@ def harvest_tables(
     laid = found.select(page_id, "rows", F.coalesce(grid, F.array().cast("array<array<string>>")).alias("grid"))
     rows = laid.select(page_id, F.posexplode(F.arrays_zip("rows", "grid")).alias("row_no", "at"))
     rows = rows.select(page_id, "row_no", F.col("at.rows").alias("row"), F.col("at.grid").alias("laid"))
-    cells = F.coalesce("laid", F.slice(F.regexp_extract_all("row", F.lit(_CELL), F.lit(2)), 1, len(columns)))
-    read = rows.select(page_id, "row_no", _is_header("row"), F.transform(cells, cell_text).alias("texts"))
+    cells = F.slice(F.regexp_extract_all("row", F.lit(_CELL), F.lit(2)), 1, len(columns))
+    read = rows.select(page_id, "row_no", _is_header("row"), F.coalesce("laid", F.transform(cells, cell_text)).alias("texts"))
     return read.select(page_id, "row_no", "is_header", *[F.get("texts", F.lit(i)).alias(c) for i, c in enumerate(columns)])
 
 

@@ -169,6 +169,23 @@ def test_character_references(spark):
     assert [r.a for r in html.harvest_tables_lenient(pages, 0, ["a"]).orderBy("row_no").collect()] == expected
 
 
+def test_every_named_character_is_found_among_few(spark):
+    """A map is searched from end to end, so no reference may be looked for in the whole list."""
+    named = {name: text for name, text in html.html5.items() if name.endswith(";")}
+    parts = json.loads(html._entities())
+    assert max(len(part) for part in parts) <= 12 and sum(map(len, parts)) == len(named) + 32
+    texts = spark.createDataFrame([(f"&{name}", text) for name, text in named.items()], "text string, expected string")
+    assert texts.where(~html.decoded(F.col("text")).eqNullSafe(F.col("expected"))).count() == 0
+
+
+def test_cells_without_spans_raise_no_error(spark):
+    """A tag without the attribute is no text to cast: the plan tries no cast of it."""
+    tag = spark.createDataFrame([("td",), ("td rowspan=3",), ("td rowspan='00'",)], "tag string")
+    found = tag.select(html._span(F.col("tag"), "rowspan").alias("n"))
+    assert sorted(r.n for r in found.collect()) == [1, 1, 3]
+    assert "try_cast" not in found._jdf.queryExecution().toString().lower()
+
+
 def test_a_long_table_with_spans(spark):
     """Twenty thousand rows, every third of which goes on with the cell above."""
     body = "".join(f"<tr><td rowspan=3>g{n}</td><td>{n}a</td></tr><tr><td>{n}b</td></tr><tr><td>{n}c</td></tr>" for n in range(7000))
