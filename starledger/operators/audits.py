@@ -41,27 +41,29 @@ def audit_fk(
     the shuffle, so a key that owns a third of the rows is one row per task by then.
     """
     keys = list(references)
-    entries = ", ".join(f"'{k}', CAST(`{k}` AS BIGINT)" for k in keys)
+    # Numbers stand for the names until the end: a text would be hashed, compared and shuffled with every key.
+    entries = ", ".join(f"{i}, CAST(`{k}` AS BIGINT)" for i, k in enumerate(keys))
     used = (
-        fact.selectExpr(f"stack({len(keys)}, {entries}) AS (fk, key)")
+        fact.selectExpr(f"stack({len(keys)}, {entries}) AS (place, key)")
         .where("key IS NOT NULL")
-        .groupBy("fk", "key")
+        .groupBy("place", "key")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     known = reduce(
         DataFrame.unionByName,
         [
-            dim.select(F.lit(fk).alias("fk"), F.col(key).cast("long").alias("key"))
-            for fk, (dim, key) in references.items()
+            dim.select(F.lit(i).alias("place"), F.col(key).cast("long").alias("key"))
+            for i, (dim, key) in enumerate(references.values())
         ],
     )
     return (
-        used.join(known.distinct().withColumn("found", F.lit(True)), ["fk", "key"], "left")
-        .groupBy("fk")
+        used.join(known.distinct().withColumn("found", F.lit(True)), ["place", "key"], "left")
+        .groupBy("place")
         .agg(
             F.count(F.when(F.col("found").isNull(), 1)).alias("orphan_keys"),
             F.coalesce(F.sum(F.when(F.col("found").isNull(), F.col("n"))), F.lit(0)).alias("orphan_rows"),
         )
+        .select(F.element_at(F.array(*[F.lit(k) for k in keys]), F.col("place") + 1).alias("fk"), "orphan_keys", "orphan_rows")
     )
 
 

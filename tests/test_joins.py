@@ -175,3 +175,13 @@ def test_audits(spark):
     assert rows(audit_pk(fact, ["a"])) == [(1, 2), (None, 1)]
     assert rows(audit_fk(fact, {"a": (dim, "key"), "b": (dim, "key")})) == [("a", 1, 1), ("b", 2, 3)]
     assert rows(row_reconciliation(fact, dim)) == [(4, 2, 2, False)]
+
+
+def test_references_are_counted_by_number(spark):
+    """Keys go through the shuffle with a number, not with the name of their reference."""
+    fact = spark.createDataFrame([(1, 2), (3, None)], "first_key int, second_key int")
+    dim = spark.createDataFrame([(1,)], "key int")
+    found = audit_fk(fact, {"first_key": (dim, "key"), "second_key": (dim, "key")})
+    assert rows(found) == [("first_key", 1, 1), ("second_key", 1, 1)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "stack(2, 0," in plan
