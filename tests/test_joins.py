@@ -27,6 +27,20 @@ def test_salted_join_equals_a_plain_join(spark, how):
     assert rows(skew.salted_join(left, right, "k", how)) == rows(plain)
 
 
+def test_heavy_keys_are_counted_in_about_one_row_per_row(spark, monkeypatch):
+    """Several keys, none or some heavy, nulls among them: exact shares, and no row per key and row on the way."""
+    df = spark.range(10_000).select(
+        F.when(F.col("id") % 4 > 0, F.col("id")).alias("a"), (F.col("id") % 2).alias("b"), "id", F.lit(None).cast("string").alias("n")
+    )
+    made = []
+    collect = type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: made.append(self._jdf.queryExecution()) or collect(self))
+    profile = skew.KeyProfile(df, "a", "b", "id", ["a", "b"], "n")
+    assert sorted(profile.heavy("b").values()) == [0.5, 0.5] and list(profile.heavy("a").values()) == [0.25]
+    assert profile.heavy("id") == {} and list(profile.heavy(("a", "b")).values()) == [0.25] and list(profile.heavy("n").values()) == [1.0]
+    assert "inline" not in made[-1].optimizedPlan().toString().lower()
+
+
 def test_profile_finds_the_heavy_keys(spark):
     left = skewed(spark)
     profile = skew.KeyProfile(left, "k", ["k", "same"])

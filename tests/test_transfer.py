@@ -137,6 +137,19 @@ def test_strict_casts_fail(spark):
         alter_types(df.withColumn("n", F.lit("x")), {"n": "SMALLINT"}).collect()
 
 
+def test_a_shape_is_matched_once(spark):
+    """Counting what does not fit and typing it share one match; flags are not in the result."""
+    texts = spark.createDataFrame([("00000000-0000-4000-8000-00000000000A",), ("x",), (None,)], "date_uuid string")
+    rejects = Rejects(keep=True)
+    watched = rejects.lost(texts, "orders_table", TABLE_LAYOUTS["orders_table"])
+    found = enforce_schema(watched, TABLE_LAYOUTS["orders_table"])
+    assert found.columns == ["date_uuid"]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") == 1
+    assert sorted(r.date_uuid or "" for r in found.collect()) == ["", "", "00000000-0000-4000-8000-00000000000a"]
+    assert rows(rejects.frame(spark).where("rows > 0")) == [("orders_table", "date_uuid", "rejected value", 1)]
+    assert [r.row for r in rejects.rows(spark).collect()] == ['{"date_uuid":"x"}']
+
+
 def test_load_counts_what_it_loses(spark, tmp_path):
     df = spark.createDataFrame([("1", "x" * 31), ("no", "y")], "card_key string, card_number string")
     rejects = Rejects()
